@@ -45,6 +45,10 @@ EXTRACT_STAGES = {
     "logical_cdc": "extract_validate_land_wal_delta",
 }
 
+_KNOWN_TASKS = sorted({task for tasks in EXPECTED_TASKS.values() for task in tasks})
+_EXTRACTS = sorted(EXTRACT_STAGES.values())
+_APPLIES = ["apply_delta", "apply_delta_replay", "merge_curated", "merge_curated_replay"]
+
 COUNTS = ("read_count", "insert_count", "update_count", "delete_count", "unchanged_count")
 
 RUN_DDL = (
@@ -103,15 +107,17 @@ def missing_stages(runs: DataFrame, results: DataFrame) -> DataFrame:
     Any result counts, an empty one too. The finished names of a run come from a
     fixed list, so the set per run stays tiny however often a task was recorded.
     """
-    known = sorted({name for names in EXPECTED_TASKS.values() for name in names})
     done = (
-        results.filter(F.col("task_id").isin(known))
+        results.filter(F.col("task_id").isin(_KNOWN_TASKS))
         .groupBy("run_id")
         .agg(F.collect_set("task_id").alias("_done"))
     )
-    expected = expected_tasks(F.col("strategy"), F.col("run_mode"))
-    finished = F.coalesce("_done", F.array().cast("array<string>"))
-    return runs.join(done, "run_id", "left").withColumn("missing", F.array_except(expected, finished)).drop("_done")
+    return runs.join(done, "run_id", "left").withColumn("missing", _missing(F.col("_done"))).drop("_done")
+
+
+def _missing(done: Column) -> Column:
+    finished = F.coalesce(done, F.array().cast("array<string>"))
+    return F.array_except(expected_tasks(F.col("strategy"), F.col("run_mode")), finished)
 
 
 def _truthy(payload: Column) -> Column:
@@ -130,40 +136,30 @@ def run_outcomes(runs: DataFrame, results: DataFrame, stages: DataFrame) -> Data
     of every stage. A missing task fails the run; its counts come from what did
     finish. The extract payload is the task's result, else the stage record's.
     """
-    extract = F.lit(None).cast("string")
-    for name, stage in EXTRACT_STAGES.items():
-        extract = F.when(F.col("strategy") == name, F.lit(stage)).otherwise(extract)
-    apply = (
-        F.when(F.col("strategy") == "hash_diff", F.lit("merge_curated")).otherwise(F.lit("apply_delta"))
-    )
-    apply = F.when(F.col("run_mode") == "replay", F.concat(apply, F.lit("_replay"))).otherwise(apply)
-
-    applies = ["merge_curated", "apply_delta", "merge_curated_replay", "apply_delta_replay"]
-    extracts = list(EXTRACT_STAGES.values())
-    by_run = (
-        results.filter(F.col("task_id").isin(*extracts, *applies))
-        .groupBy("run_id")
-        .agg(F.map_from_entries(F.collect_set(F.struct("task_id", "payload"))).alias("_results"))
+    task = F.col("task_id")
+    by_run = results.filter(task.isin(_KNOWN_TASKS)).groupBy("run_id").agg(
+        F.collect_set("task_id").alias("_done"),
+        F.max(F.when(task.isin(_EXTRACTS), F.col("payload"))).alias("_extract_result"),
+        F.max(F.when(task.isin(_APPLIES), F.col("payload"))).alias("_apply"),
+        F.max(F.when(task == "persist_checkpoint_task", F.col("payload"))).alias("_checkpoint"),
     )
     records = (
-        stages.filter(F.col("stage_name").isin(extracts))
+        stages.filter(F.col("stage_name").isin(_EXTRACTS))
         .groupBy("run_id")
-        .agg(F.map_from_entries(F.collect_set(F.struct("stage_name", "metrics_json"))).alias("_records"))
-    )
-    checkpointed = (
-        results.filter(F.col("task_id") == "persist_checkpoint_task")
-        .select("run_id", _truthy(F.col("payload")).isNotNull().alias("_checkpointed"))
+        .agg(F.max("metrics_json").alias("_record"))
     )
     joined = (
-        missing_stages(runs.select("run_id", "pipeline_id", "strategy", "run_mode"), results)
+        runs.select("run_id", "pipeline_id", "strategy", "run_mode")
         .join(by_run, "run_id", "left")
         .join(records, "run_id", "left")
-        .join(checkpointed, "run_id", "left")
-        .withColumn("_extract_result", _truthy(F.try_element_at("_results", extract)))
-        .withColumn(
-            "_extract", F.coalesce("_extract_result", _truthy(F.try_element_at("_records", extract)))
+        .withColumns(
+            {
+                "missing": _missing(F.col("_done")),
+                "_extract_result": _truthy(F.col("_extract_result")),
+                "_apply": _truthy(F.col("_apply")),
+            }
         )
-        .withColumn("_apply", _truthy(F.try_element_at("_results", apply)))
+        .withColumn("_extract", F.coalesce("_extract_result", _truthy(F.col("_record"))))
     )
     failed = F.size("missing") > 0
     ingest = F.col("run_mode") == "ingest"
@@ -193,7 +189,7 @@ def run_outcomes(runs: DataFrame, results: DataFrame, stages: DataFrame) -> Data
         F.coalesce(read, zero).alias("read_count"),
         *[F.coalesce(_count(F.col("_apply"), c), zero).alias(c) for c in COUNTS[1:]],
         names.alias("failed_tasks"),
-        F.coalesce("_checkpointed", F.lit(False)).alias("checkpoint_persisted"),
+        _truthy(F.col("_checkpoint")).isNotNull().alias("checkpoint_persisted"),
         F.when(ingest, error_key).alias("validation_error_object_key"),
         F.when(failed, F.concat(prefix, names)).alias("error_text"),
     )
