@@ -22,3 +22,12 @@ def format_lsn(position: Column) -> Column:
     return F.concat(
         F.hex(F.shiftrightunsigned(number, 32)), F.lit("/"), F.hex(number.bitwiseAND(F.lit(_HALF - 1)))
     )
+
+
+def lsn_text(position: int) -> str:
+    return f"{position >> 32:X}/{position & (_HALF - 1):X}"
+
+
+def lsn_number(position: str) -> int:
+    high, low = position.strip().split("/")
+    return (int(high, 16) << 32) + int(low, 16)

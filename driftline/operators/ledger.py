@@ -47,7 +47,8 @@ EXTRACT_STAGES = {
 
 _KNOWN_TASKS = sorted({task for tasks in EXPECTED_TASKS.values() for task in tasks})
 _EXTRACTS = sorted(EXTRACT_STAGES.values())
-_APPLIES = ["apply_delta", "apply_delta_replay", "merge_curated", "merge_curated_replay"]
+_APPLIES = ["apply_delta", "merge_curated"]
+_REPLAYS = ["apply_delta_replay", "merge_curated_replay"]
 
 COUNTS = ("read_count", "insert_count", "update_count", "delete_count", "unchanged_count")
 
@@ -137,10 +138,12 @@ def run_outcomes(runs: DataFrame, results: DataFrame, stages: DataFrame) -> Data
     finish. The extract payload is the task's result, else the stage record's.
     """
     task = F.col("task_id")
+    ingest = F.col("run_mode") == "ingest"
     by_run = results.filter(task.isin(_KNOWN_TASKS)).groupBy("run_id").agg(
         F.collect_set("task_id").alias("_done"),
         F.max(F.when(task.isin(_EXTRACTS), F.col("payload"))).alias("_extract_result"),
-        F.max(F.when(task.isin(_APPLIES), F.col("payload"))).alias("_apply"),
+        F.max(F.when(task.isin(_APPLIES), F.col("payload"))).alias("_applied"),
+        F.max(F.when(task.isin(_REPLAYS), F.col("payload"))).alias("_replayed"),
         F.max(F.when(task == "persist_checkpoint_task", F.col("payload"))).alias("_checkpoint"),
     )
     records = (
@@ -156,13 +159,12 @@ def run_outcomes(runs: DataFrame, results: DataFrame, stages: DataFrame) -> Data
             {
                 "missing": _missing(F.col("_done")),
                 "_extract_result": _truthy(F.col("_extract_result")),
-                "_apply": _truthy(F.col("_apply")),
+                "_apply": _truthy(F.when(ingest, F.col("_applied")).otherwise(F.col("_replayed"))),
             }
         )
         .withColumn("_extract", F.coalesce("_extract_result", _truthy(F.col("_record"))))
     )
     failed = F.size("missing") > 0
-    ingest = F.col("run_mode") == "ingest"
     zero = F.lit(0).cast("bigint")
     source = F.when(F.col("strategy") == "hash_diff", _count(F.col("_extract"), "source_row_count")).otherwise(
         _count(F.col("_extract"), "source_event_count")

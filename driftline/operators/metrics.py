@@ -7,6 +7,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from driftline.functions.payload import first_int, number_or_null, text_or_null
 
 
+RATES = ("source_records_per_second", "processed_records_per_second", "change_ratio", "invalid_ratio")
+
+
 def rate_columns(payload: Column) -> dict[str, Column]:
     """The four rates; each is NULL where its inputs are missing or not positive.
 
@@ -79,31 +82,39 @@ def enrich_metrics(
     types. The stage name is set only when given, so a payload may bring its own.
     """
     body = F.col(payload)
-    added: dict[str, Column] = {name: F.col(name) for name in identity}
+    empty = F.from_json(F.lit("{}"), "map<string,variant>")
+    read = payloads.withColumns(
+        {
+            "_members": F.coalesce(F.from_json(body, "map<string,variant>"), empty),
+            "_summary": problem_struct(body),
+            **{f"_{name}": value for name, value in rate_columns(body).items()},
+        }
+    )
+    fixed: dict[str, Column] = {name: F.col(name) for name in identity}
     if stage_name is not None:
-        added["stage_name"] = F.col(stage_name)
-    derived = rate_columns(body)
+        fixed["stage_name"] = F.col(stage_name)
+    # A rate that cannot be derived leaves a member of that name as it was.
+    kept = {name: F.col(f"_{name}") for name in RATES}
     if artifact_total is not None:
-        derived["artifact_total_bytes"] = F.col(artifact_total)
-    entries = [
-        F.struct(F.lit(name).alias("key"), F.parse_json(F.to_json(F.struct(value.alias("v")))).alias("value"))
-        for name, value in {**added, **derived}.items()
+        kept["artifact_total_bytes"] = F.col(artifact_total)
+    entries = [_entry(name, _variant(value)) for name, value in fixed.items()]
+    entries += [
+        _entry(name, F.coalesce(_variant(value), F.try_element_at("_members", F.lit(name))))
+        for name, value in kept.items()
     ]
-    present = F.filter(F.array(*entries), lambda e: F.variant_get(e["value"], "$.v", "string").isNotNull())
-    scalars = F.transform_values(
-        F.map_from_entries(present), lambda _, v: F.parse_json(F.to_json(F.variant_get(v, "$.v", "variant")))
-    )
-    summary = F.create_map(
-        F.lit("problem_summary"), F.parse_json(F.to_json(problem_struct(body), {"ignoreNullFields": "false"}))
-    )
+    entries.append(_entry("problem_summary", F.to_variant_object("_summary")))
+    replaced = [*fixed, *kept, "problem_summary"]
     merged = F.map_concat(
-        F.map_filter(
-            F.from_json(body, "map<string,variant>"),
-            lambda key, _: ~F.array_contains(
-                F.array_append(F.map_keys(scalars), F.lit("problem_summary")), key
-            ),
-        ),
-        scalars,
-        summary,
+        F.map_filter("_members", lambda key, _: ~key.isin(replaced)),
+        F.map_from_entries(F.array_compact(F.array(*entries))),
     )
-    return payloads.withColumn(payload, F.to_json(merged))
+    return read.withColumn(payload, F.to_json(merged)).select(*payloads.columns)
+
+
+def _variant(value: Column) -> Column:
+    held = F.variant_get(F.to_variant_object(F.struct(value.alias("v"))), "$.v", "variant")
+    return F.when(value.isNotNull(), held)
+
+
+def _entry(name: str, value: Column) -> Column:
+    return F.when(value.isNotNull(), F.struct(F.lit(name).alias("key"), value.alias("value")))

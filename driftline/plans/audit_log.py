@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import time
-from datetime import datetime
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -45,17 +44,19 @@ def ingest_audit_log(
     with recorded_run(ctx, "apply_delta"):
         previous = ctx.ledger.checkpoint(ctx.pipeline_id)
         stored = previous.get("last_applied_watermark")
-        start = _pair(stored) if stored else None
         with ctx.stage("ensure_source_audit_capture") as out:
             out.update(status="skipped", reason="capture_is_set_up_at_the_source")
         with ctx.stage("extract_validate_land_delta") as out:
             began = time.monotonic()
             mode = resolve_watermark_mode(source, watermark_mode, previous.get("watermark_mode"))
-            window = extract_delta(watermark_column(source, mode), start, overlap=overlap)
+            clocked = watermark_column(source, mode)
+            clock = dict(clocked.dtypes)[WATERMARK]
+            start = (F.lit(stored["ts"]).cast(clock), stored["id"]) if stored else None
+            window = extract_delta(clocked, start, overlap=overlap)
             rows = staged(
                 window.select("audit_id", "op", WATERMARK, *ctx.contract.columns), "audit-window"
             )
-            bounds = window_bounds(rows).first()
+            bounds = _texts(window_bounds(rows), clock).first()
             checked = staged(
                 validate(
                     rows,
@@ -68,7 +69,7 @@ def ingest_audit_log(
             )
             accepted, rejected = split_accepted(checked)
             counts = validation_counts(checked, "event").first()
-            first, last = _text(bounds, "window_start"), _text(bounds, "window_end")
+            first, last = bounds["window_start"], bounds["window_end"]
             land(
                 ctx,
                 accepted.select("audit_id", "op", WATERMARK, *ctx.contract.columns),
@@ -104,7 +105,6 @@ def ingest_audit_log(
             )
         with ctx.stage("apply_delta") as out:
             guard = overlap is not None
-            clock = dict(rows.dtypes)[WATERMARK]
             ddl = f"{AUDIT_DDL}, {WATERMARK} {clock}"
             out.update(apply_landed(ctx, keys["accepted_key"], ddl, buckets, guard))
         with ctx.stage("persist_checkpoint") as out:
@@ -137,9 +137,11 @@ def ingest_audit_log(
     return ctx.results
 
 
-def _text(bounds: Any, name: str) -> str | None:
-    return bounds[name].isoformat() if bounds[name] is not None else None
-
-
-def _pair(stored: dict[str, Any]) -> tuple[datetime, int]:
-    return datetime.fromisoformat(stored["ts"]), stored["id"]
+def _texts(bounds: DataFrame, clock: str) -> DataFrame:
+    """Window times as text that reads back as the same time in any session zone."""
+    for name in ("window_start", "window_end"):
+        time_of = F.col(name)
+        if clock == "timestamp":
+            time_of = F.date_format(time_of, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
+        bounds = bounds.withColumn(name, time_of.cast("string"))
+    return bounds

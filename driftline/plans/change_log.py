@@ -7,6 +7,7 @@ from typing import Any
 
 from pyspark.sql import DataFrame, functions as F
 
+from driftline.functions.lsn import lsn_number, lsn_text
 from driftline.operators.checkpoint import lsn_window
 from driftline.operators.validation import (
     VIOLATIONS,
@@ -40,19 +41,21 @@ def ingest_change_log(
     contract = ctx.contract
     with recorded_run(ctx, "apply_delta"):
         previous = ctx.ledger.checkpoint(ctx.pipeline_id)
-        start = previous.get("last_applied_lsn")
+        stored = previous.get("last_applied_lsn")
+        start = lsn_number(stored) if stored else None
         with ctx.stage("ensure_source_logical_cdc_capture") as out:
             out.update(status="skipped", reason="capture_is_set_up_at_the_source")
         with ctx.stage("extract_validate_land_wal_delta") as out:
             began = time.monotonic()
-            pending = feed if start is None else feed.filter(F.col("lsn") > start)
-            pending = pending if end_lsn is None else pending.filter(F.col("lsn") <= end_lsn)
-            old = [f"old_{k}" for k in contract.keys]
-            events = change_event_scan(pending, contract, table=table, keep=("xid", "seq", "op", *old))
-            rows = staged(events, "change-window")
             own = F.lit(True) if table is None else F.col("source_table") == table
             stop = F.lit(end_lsn) if end_lsn is not None else F.lit((1 << 63) - 1)
-            bounds = lsn_window(feed, F.lit(start or 0), stop, own).first()
+            # Bounds before rows: once the feed has passed the window end, a later
+            # read holds every event of the window.
+            bounds = lsn_window(feed, F.lit(start or 0).cast("bigint"), stop, own).first()
+            inside = feed if end_lsn is None else feed.filter(F.col("lsn") <= end_lsn)
+            old = [f"old_{k}" for k in contract.keys]
+            events = change_event_scan(inside, contract, start, table, keep=("xid", "seq", "op", *old))
+            rows = staged(events, "change-window")
             highest = rows.agg(F.max("lsn").alias("m")).first()["m"]
             checked = validate(
                 rows, contract, row_number=F.col("seq"), unique_keys=False, rules_when=F.col("op") != "D"
@@ -95,7 +98,9 @@ def ingest_change_log(
         with ctx.stage("apply_delta") as out:
             out.update(apply_landed(ctx, keys["accepted_key"], change_log_ddl(contract), buckets))
         with ctx.stage("persist_checkpoint") as out:
-            position = max(p for p in (start or 0, highest or 0, end_lsn or 0))
+            reached = end_lsn if bounds["reached_window_end"] and end_lsn is not None else 0
+            number = max(start or 0, highest or 0, reached)
+            position = lsn_text(number) if number else None
             ctx.save_checkpoint(
                 {
                     "pipeline_id": ctx.pipeline_id,

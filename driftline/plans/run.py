@@ -13,11 +13,12 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from driftline.contracts import Contract
-from driftline.operators.checkpoint import checkpoint_payload, latest_checkpoint
+from driftline.operators.checkpoint import CHECKPOINT_MEMBERS, latest_checkpoint
 from driftline.operators.error_lines import normalize_error_lines, write_stage_errors
 from driftline.operators.ledger import COUNTS, EXPECTED_TASKS, EXTRACT_STAGES, fold_runs, latest_stages
 from driftline.operators.metrics import enrich_metrics
 from driftline.operators.validation import ValidationFailed
+from driftline.shared import list_names, write_text
 from driftline.sources.landing import (
     artifact_keys,
     land_accepted,
@@ -33,8 +34,9 @@ _RUN_EVENT_DDL = (
     "metrics_json string, error_text string"
 )
 _STAGE_DDL = (
-    "run_id string, stage_name string, status string, started_at timestamp, finished_at timestamp, "
-    "metrics_json string, error_text string, recorded_at timestamp"
+    "run_id string, stage_name string, pipeline_id string, strategy string, run_mode string, "
+    "status string, started_at timestamp, finished_at timestamp, metrics_json string, "
+    "error_text string, recorded_at timestamp"
 )
 _CHECKPOINT_DDL = "pipeline_id string, run_id string, checkpoint_json string, updated_at timestamp"
 
@@ -50,33 +52,37 @@ class Ledger:
     spark: SparkSession
     root: str
 
-    def _append(self, table: str, ddl: str, row: dict[str, Any]) -> None:
-        names = [part.strip().split(" ")[0] for part in ddl.split(",")]
-        values = [tuple(row.get(name) for name in names)]
-        self.spark.createDataFrame(values, ddl).coalesce(1).write.mode("append").parquet(f"{self.root}/{table}")
+    def _append(self, table: str, row: dict[str, Any]) -> None:
+        stamped = {k: v.isoformat(timespec="microseconds") if isinstance(v, datetime) else v for k, v in row.items()}
+        write_text(self.spark, f"{self.root}/{table}/{uuid.uuid4().hex}.json", json.dumps(stamped))
 
     def _table(self, table: str, ddl: str) -> DataFrame:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{table}")
-        files = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not files.exists(path):
+        if not list_names(self.spark, f"{self.root}/{table}"):
             return self.spark.createDataFrame([], ddl)
-        return self.spark.read.schema(ddl).parquet(f"{self.root}/{table}")
+        return self.spark.read.schema(ddl).option("mode", "FAILFAST").json(f"{self.root}/{table}")
 
     def add_run_event(self, **row: Any) -> None:
-        self._append("run_events", _RUN_EVENT_DDL, row)
+        self._append("run_events", row)
 
     def add_stage(self, **row: Any) -> None:
-        self._append("stage_records", _STAGE_DDL, {**row, "recorded_at": utc_now()})
+        self._append("stage_records", {**row, "recorded_at": utc_now()})
 
     def add_checkpoint(self, **row: Any) -> None:
-        self._append("checkpoints", _CHECKPOINT_DDL, row)
+        self._append("checkpoints", row)
 
     def runs(self) -> DataFrame:
-        return fold_runs(self._table("run_events", _RUN_EVENT_DDL))
+        """Current row of every run, with its metrics enriched."""
+        runs = fold_runs(self._table("run_events", _RUN_EVENT_DDL))
+        return enrich_metrics(runs, "metrics_json")
 
     def stages(self) -> DataFrame:
+        """Latest record of every stage, with its metrics enriched."""
         records = self._table("stage_records", _STAGE_DDL)
-        return latest_stages(records, ["recorded_at", "status"]).drop("recorded_at")
+        latest = latest_stages(records, ["recorded_at", "status"])
+        enriched = enrich_metrics(latest, "metrics_json", stage_name="stage_name")
+        return enriched.select(
+            "run_id", "stage_name", "status", "started_at", "finished_at", "metrics_json", "error_text"
+        )
 
     def checkpoint(self, pipeline_id: str) -> dict[str, Any]:
         """Current checkpoint of a pipeline; empty before its first run."""
@@ -114,18 +120,6 @@ class RunContext:
     def path(self, key: str) -> str:
         return f"{self.landing_root.rstrip('/')}/{key}"
 
-    def enriched(self, payload: dict[str, Any], stage_name: str | None = None) -> str:
-        row = self.spark.range(1).select(
-            F.lit(json.dumps(payload, default=str)).alias("payload"),
-            F.lit(self.strategy).alias("strategy"),
-            F.lit(self.run_mode).alias("run_mode"),
-            F.lit(self.pipeline_id).alias("pipeline_id"),
-            F.lit(self.run_id).alias("run_id"),
-            F.lit(stage_name).cast("string").alias("stage_name"),
-        )
-        named = "stage_name" if stage_name is not None else None
-        return enrich_metrics(row, stage_name=named).first()["payload"]
-
     def start(self) -> None:
         self.ledger.add_run_event(
             run_id=self.run_id,
@@ -144,7 +138,14 @@ class RunContext:
         """Records a stage as running, then as success with the members put into the
         yielded payload, or as failed with what the failure tells."""
         started = utc_now()
-        record = {"run_id": self.run_id, "stage_name": name, "started_at": started}
+        record = {
+            "run_id": self.run_id,
+            "stage_name": name,
+            "pipeline_id": self.pipeline_id,
+            "strategy": self.strategy,
+            "run_mode": self.run_mode,
+            "started_at": started,
+        }
         self.ledger.add_stage(**record, status="running")
         payload: dict[str, Any] = {}
         try:
@@ -161,13 +162,13 @@ class RunContext:
                 **record,
                 status="failed",
                 finished_at=utc_now(),
-                metrics_json=self.enriched(told, name),
+                metrics_json=json.dumps(told),
                 error_text=str(exc),
             )
             self.results[f"failed:{name}"] = told
             raise
         self.ledger.add_stage(
-            **record, status="success", finished_at=utc_now(), metrics_json=self.enriched(payload, name)
+            **record, status="success", finished_at=utc_now(), metrics_json=json.dumps(payload)
         )
         self.results[name] = payload
 
@@ -179,20 +180,16 @@ class RunContext:
             event="finish",
             at=utc_now(),
             status=status,
-            metrics_json=self.enriched(metrics),
+            metrics_json=json.dumps(metrics),
             error_text=error_text,
             **{name: int(counts.get(name) or 0) for name in COUNTS},
         )
 
     def save_checkpoint(self, members: dict[str, Any]) -> None:
         """Stores the run's checkpoint; nested stage results are kept as JSON objects."""
-        row = self.spark.range(1).select(
-            *[
-                (F.parse_json(F.lit(json.dumps(v, default=str))) if isinstance(v, dict) else F.lit(v)).alias(k)
-                for k, v in members.items()
-            ]
-        )
-        text = row.select(checkpoint_payload(row, self.strategy).alias("c")).first()["c"]
+        fixed = {"status": "success", "strategy": self.strategy}
+        stored = {name: {**members, **fixed}.get(name) for name in CHECKPOINT_MEMBERS[self.strategy]}
+        text = json.dumps(stored, default=str)
         self.ledger.add_checkpoint(
             pipeline_id=self.pipeline_id, run_id=self.run_id, checkpoint_json=text, updated_at=utc_now()
         )

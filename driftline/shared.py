@@ -1,4 +1,4 @@
-"""Shared-folder staging and skew-safe joins against small, one-row-per-key sides."""
+"""Shared-folder staging, small files, and skew-safe joins against one-row-per-key sides."""
 
 from __future__ import annotations
 
@@ -39,6 +39,29 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def list_names(spark: SparkSession, folder: str) -> list[str]:
+    """File names in a folder of any Hadoop file system; none if it does not exist."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(path):
+        return []
+    return [status.getPath().getName() for status in files.listStatus(path)]
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """One small file, moved into place whole so that no reader sees part of it."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    final = hadoop.Path(path)
+    part = hadoop.Path(final.getParent(), f"_{final.getName()}.{uuid.uuid4().hex}")
+    files = final.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = files.create(part)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if not files.rename(part, final):
+        files.delete(part, False)
+        raise FileExistsError(path)
+
+
 def scan_bytes(df: DataFrame) -> int:
     """Planner's size estimate; for a staged table this is the size of its files."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

@@ -8,10 +8,13 @@ leaves the previous pointer in force.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import json
+from dataclasses import asdict, dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from driftline.shared import list_names, write_text
+
 BUCKET = "_bucket"
 _POINTER_DDL = (
     "version bigint, run_id string, hash_tag string, keys array<string>, schema string, "
@@ -37,35 +40,11 @@ def bucket_of(keys: list[str], buckets: int) -> Column:
 
 def read_pointer(spark: SparkSession, root: str) -> Pointer | None:
     """The pointer in force, or None before the first write."""
-    version = _newest_version(spark, f"{root}/pointer")
-    if version is None:
-        return None
-    row = spark.read.schema(_POINTER_DDL).json(f"{root}/pointer/version={version}").first()
-    return Pointer(
-        row["version"],
-        row["run_id"],
-        row["hash_tag"],
-        tuple(row["keys"]),
-        row["schema"],
-        row["row_count"],
-        tuple(row["bucket_versions"]),
-        tuple(row["bucket_rows"]),
-    )
-
-
-def _newest_version(spark: SparkSession, folder: str) -> int | None:
-    """Highest version whose pointer was written to the end."""
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    path = hadoop.Path(folder)
-    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not files.exists(path):
+    versions = [int(n[1:-5]) for n in list_names(spark, f"{root}/pointer") if n.startswith("v")]
+    if not versions:
         return None
-    names = [status.getPath().getName() for status in files.listStatus(path)]
-    versions = sorted((int(n.split("=")[1]) for n in names if n.startswith("version=")), reverse=True)
-    for version in versions:
-        if files.exists(hadoop.Path(f"{folder}/version={version}/_SUCCESS")):
-            return version
-    return None
+    row = spark.read.schema(_POINTER_DDL).json(f"{root}/pointer/v{max(versions)}.json").first()
+    return Pointer(**{k: tuple(v) if isinstance(v, list) else v for k, v in row.asDict().items()})
 
 
 def read_curated(
@@ -133,28 +112,10 @@ def write_curated(
     versions = [version if b in rewritten else previous.bucket_versions[b] for b in range(buckets)]
     rows = [counted.get(b, 0) if b in rewritten else previous.bucket_rows[b] for b in range(buckets)]
     pointer = Pointer(version, run_id, hash_tag, tuple(keys), schema, sum(rows), tuple(versions), tuple(rows))
-    _write_pointer(spark, root, pointer)
+    # A second writer of the same version fails here instead of replacing it.
+    write_text(spark, f"{root}/pointer/v{version}.json", json.dumps(asdict(pointer)))
     return pointer
 
 
-def _write_pointer(spark: SparkSession, root: str, pointer: Pointer) -> None:
-    row = spark.createDataFrame(
-        [
-            (
-                pointer.version,
-                pointer.run_id,
-                pointer.hash_tag,
-                list(pointer.keys),
-                pointer.schema,
-                pointer.row_count,
-                list(pointer.bucket_versions),
-                list(pointer.bucket_rows),
-            )
-        ],
-        _POINTER_DDL,
-    )
-    row.write.mode("overwrite").json(f"{root}/pointer/version={pointer.version}")
-
-
 def _ddl(df: DataFrame) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)

@@ -6,11 +6,13 @@ serves as the commit marker of the landing.
 
 from __future__ import annotations
 
+import json
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from driftline.contracts import Contract
+from driftline.shared import write_text
 
 # Directory and file names of the three strategies' artifacts.
 LAYOUT = {
@@ -118,9 +120,8 @@ def read_error_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_manifest(spark: SparkSession, path: str, **fields: Any) -> None:
-    """The run's manifest, one JSON row. Write it only after all else has landed."""
-    row = spark.range(1).select(*[F.lit(value).alias(name) for name, value in fields.items()])
-    row.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+    """The run's manifest, one JSON object. Write it only after all else has landed."""
+    write_text(spark, path, json.dumps(fields))
 
 
 def read_manifest(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -139,7 +140,7 @@ def artifact_listing(spark: SparkSession, root: str) -> DataFrame:
         .select("path", "length")
     )
     folder = F.regexp_replace("path", r"/[^/]+$", "")
-    base = F.lit("/" + root.rstrip("/").split("://")[-1].split(":", 1)[-1].strip("/") + "/")
+    base = "/" + root.split("://")[-1].strip("/") + "/"
     key = F.substring_index(folder, base, -1)
     return files.groupBy(key.alias("artifact_key")).agg(F.sum("length").alias("size_bytes"))
 

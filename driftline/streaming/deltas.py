@@ -101,25 +101,22 @@ def drain(query: StreamingQuery, max_seconds: float, idle_seconds: float | None
     """Waits until a bounded query has read its window, the time is up, or no rows have
     come for ``idle_seconds``; then stops it."""
     began = time.monotonic()
-    last_rows, last_change = -1, began
+    seen: dict[int, int] = {}
+    last_change = began
     done = False
     while not done:
         left = max_seconds - (time.monotonic() - began)
         if left <= 0:
             break
         done = bool(query.awaitTermination(min(left, 0.5)))
-        rows = sum(p["numInputRows"] for p in query.recentProgress)
-        if rows != last_rows:
-            last_rows, last_change = rows, time.monotonic()
+        before = sum(seen.values())
+        seen.update({p["batchId"]: p["numInputRows"] for p in query.recentProgress if p["numInputRows"]})
+        if sum(seen.values()) != before:
+            last_change = time.monotonic()
         busy = query.status["isTriggerActive"]
-        if not done and idle_seconds is not None and not busy and time.monotonic() - last_change >= idle_seconds:
+        idle = idle_seconds is not None and not busy and time.monotonic() - last_change >= idle_seconds
+        if not done and idle:
             break
     if not done:
         query.stop()
-    progress = query.recentProgress
-    return DrainReport(
-        reached_window_end=done,
-        batches=len({p["batchId"] for p in progress}),
-        input_rows=sum(p["numInputRows"] for p in progress),
-        seconds=round(time.monotonic() - began, 3),
-    )
+    return DrainReport(done, len(seen), sum(seen.values()), round(time.monotonic() - began, 3))
