@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from checks.contracts import USERS
 from checks.fixtures import frame, with_fixtures
@@ -36,11 +36,12 @@ from driftline.shared import scratch_path
 from driftline.sources.curated import write_curated
 from driftline.streaming import drain, stream_deltas
 
-_BAD = F.col("bad") == 1
+def _bad() -> Column:
+    return F.col("bad") == 1
 
 
 def _clean(spark: SparkSession, sf: str) -> DataFrame:
-    marked = quarantine_transactions(frame(spark, sf, "wal_events"), _BAD)
+    marked = quarantine_transactions(frame(spark, sf, "wal_events"), _bad())
     return marked.filter(~F.col("_quarantined"))
 
 
@@ -52,12 +53,12 @@ def _change_delta(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def quarantined_events(spark: SparkSession, sf: str) -> DataFrame:
-    marked = quarantine_transactions(frame(spark, sf, "wal_events"), _BAD)
+    marked = quarantine_transactions(frame(spark, sf, "wal_events"), _bad())
     return marked.select("seq", "xid", "_quarantined")
 
 
 def quarantine_count_row(spark: SparkSession, sf: str) -> DataFrame:
-    return quarantine_counts(quarantine_transactions(frame(spark, sf, "wal_events"), _BAD), _BAD)
+    return quarantine_counts(quarantine_transactions(frame(spark, sf, "wal_events"), _bad()), _bad())
 
 
 def watermarks_auto(spark: SparkSession, sf: str) -> DataFrame:

@@ -9,6 +9,7 @@ from checks.fixtures import frame, table, with_fixtures
 from driftline.functions.hashing import row_hash
 from driftline.operators.diff import ROW_HASH, change_counts, hash_diff, merge_snapshot
 from driftline.operators.validation import (
+    REJECTED,
     VIOLATIONS,
     explode_errors,
     gate_decisions,
@@ -181,7 +182,7 @@ def gate_rows(spark: SparkSession, sf: str) -> DataFrame:
     stages = (
         _validated(spark, sf)
         .groupBy("part_no")
-        .agg(F.count_if(F.size(VIOLATIONS) > 0).alias("invalid_row_count"))
+        .agg(F.count_if(REJECTED).alias("invalid_row_count"))
         .withColumn("policy", F.when(F.col("part_no") % 2 == 0, "fail").otherwise("quarantine"))
     )
     return gate_decisions(stages, "invalid_row_count")

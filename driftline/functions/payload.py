@@ -1,38 +1,44 @@
-"""Reading metric payloads: JSON objects whose values may be numbers or text."""
+"""Reading metric payloads: JSON objects whose values may be numbers or text.
+
+A payload is parsed once, into a struct of the wanted members. Each member keeps its
+JSON type, so text and numbers can be told apart where that matters.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-_INTEGER_TEXT = r"^\s*[+-]?[0-9]+\s*$"
-_NUMBER = r"^-?[0-9]+(\.[0-9]+)?([eE][+-]?[0-9]+)?$"
+_BLANKS = " \t\n\r\x0b\x0c"
 
 
-def json_member(payload: Column, key: str) -> Column:
-    """Raw JSON text of a top-level member: strings keep their quotes, null is NULL."""
-    return F.get_json_object(F.concat(F.lit("["), payload, F.lit("]")), f"$[*].{key}")
+def members(payload: Column, names: tuple[str, ...]) -> Column:
+    """The named top-level members of a JSON object as a struct of variants."""
+    return F.from_json(payload, ", ".join(f"`{name}` variant" for name in names))
 
 
-def raw_int(raw: Column, text: Column) -> Column:
-    """Integer of a JSON value: whole-number text as is, JSON numbers cut toward zero."""
-    from_text = F.when(text.rlike(_INTEGER_TEXT), F.trim(text).try_cast("bigint"))
-    from_number = F.when(raw.rlike(_NUMBER), raw.try_cast("double").try_cast("bigint"))
-    flag = F.when(raw == "true", F.lit(1)).when(raw == "false", F.lit(0)).cast("bigint")
-    return F.coalesce(from_text, from_number, flag)
+def member_int(member: Column) -> Column:
+    """Integer of a member: whole-number text as is, numbers cut toward zero, else NULL."""
+    return F.try_variant_get(member, "$", "bigint")
 
 
-def first_int(payload: Column, *keys: str) -> Column:
+def first_int(parsed: str, *names: str) -> Column:
     """First of the members that reads as an integer; unreadable ones are passed over."""
-    return F.coalesce(
-        *[raw_int(json_member(payload, key), F.get_json_object(payload, f"$.{key}")) for key in keys]
-    )
+    return F.coalesce(*[member_int(F.col(f"{parsed}.{name}")) for name in names])
+
+
+def number_or_null(member: Column) -> Column:
+    return F.try_variant_get(member, "$", "double")
+
+
+def member_text(member: Column) -> Column:
+    """Text of a member: strings as they are, anything else as JSON."""
+    return F.try_variant_get(member, "$", "string")
 
 
-def number_or_null(payload: Column, key: str) -> Column:
-    return F.trim(F.get_json_object(payload, f"$.{key}")).try_cast("double")
+def strip(value: Column) -> Column:
+    return F.btrim(value, F.lit(_BLANKS))
 
 
 def text_or_null(value: Column) -> Column:
     """Trimmed text, with blanks as NULL."""
-    trimmed = F.regexp_replace(value, r"^\s+|\s+$", "")
-    return F.when(trimmed != "", trimmed)
+    return F.nullif(strip(value), F.lit(""))

@@ -4,11 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from driftline.functions.payload import json_member, raw_int, text_or_null
+from driftline.functions.payload import member_int, member_text, members, strip, text_or_null
+from driftline.shared import keyed_join, staged
 
 # Defaults of error fields that are missing or empty.
 DEFAULTS = {"field": "$", "code": "validation_error", "message": "validation error"}
 
+# A JSON string, matched without backtracking.
+_STRING = r'"[^"\\\x00-\x1f]*+(?:\\.[^"\\\x00-\x1f]*+)*+"'
+
+_MEMBERS = ("row_number", "field", "code", "message", "constraint", "actual_value")
+
 ERROR_COLUMNS = [
     "error_id",
     "run_id",
@@ -37,7 +43,7 @@ def is_json(line: Column) -> Column:
     """
     alone = F.json_array_length(F.concat(F.lit("["), line, F.lit("]"))) == 1
     nested = F.json_object_keys(F.concat(F.lit('{"v":'), line, F.lit("}"))).isNotNull()
-    bare = F.regexp_replace(line, r'"(\\.|[^"\\\x00-\x1f])*"', "")
+    bare = F.regexp_replace(line, _STRING, "")
     return F.coalesce(alone & nested, F.lit(False)) & ~bare.rlike("[\"']")
 
 
@@ -62,48 +68,67 @@ def normalize_error_lines(
     is not JSON drops its whole artifact. With ``limit`` only the first so many
     object lines of an artifact count, and nothing after them can drop it.
     """
-    text = F.regexp_replace(F.col(line), r"^\s+|\s+$", "")
-    read = (
-        lines.withColumn("_text", text)
-        .filter("_text != ''")
-        .withColumn("_ok", is_json(F.col("_text")))
-        .withColumn("_object", F.col("_ok") & F.col("_text").startswith("{"))
-    )
-    objects = read.filter("_object")
+    read = lines.withColumn("_text", strip(F.col(line))).filter("_text != ''")
+    # Only the search for broken lines checks the syntax. In an artifact without one,
+    # every line that opens an object is an object.
+    objects = read.filter(F.col("_text").startswith("{"))
     place = F.struct(*position)
-    broken = read.filter("not _ok").groupBy(*artifact).agg(F.min(place).alias("_broken"))
+    broken = read.filter(~is_json(F.col("_text"))).groupBy(*artifact).agg(F.min(place).alias("_broken"))
     if limit is None:
-        kept = objects.join(broken.select(*artifact), artifact, "left_anti")
+        dropped = broken.select(*artifact)
+        kept = objects
     else:
-        # Ranking stops at the limit in every task before anything is shuffled.
-        order = Window.partitionBy(*artifact).orderBy(*position)
-        first = objects.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= limit)
-        last = (
-            first.filter(F.col("_rank") == limit).select(*artifact, place.alias("_last"))
-        )
+        kept = _first_lines(objects, artifact, position, limit)
+        last = kept.filter(F.col("_rank") == limit).select(*artifact, place.alias("_last"))
+        # A broken line may open like an object and take a rank. It then stands at or
+        # before the last ranked place, where it drops the artifact anyway.
         dropped = (
             broken.join(last, artifact, "left")
-            .filter(F.col("_last").isNull() | (F.col("_broken") < F.col("_last")))
+            .filter(F.col("_last").isNull() | (F.col("_broken") <= F.col("_last")))
             .select(*artifact)
         )
-        kept = first.join(dropped, artifact, "left_anti").drop("_rank")
-    body = F.col("_text")
-    return kept.withColumns(
-        {
-            "row_number": raw_int(json_member(body, "row_number"), F.get_json_object(body, "$.row_number")),
-            **{name: _or_default(body, name, default) for name, default in DEFAULTS.items()},
-            "constraint": text_or_null(F.get_json_object(body, "$.constraint")),
-            "actual_value": text_or_null(F.get_json_object(body, "$.actual_value")),
-            "details_json": body,
-        }
-    ).drop("_text", "_ok", "_object", line)
-
-
-def _or_default(body: Column, name: str, default: str) -> Column:
+        kept = kept.drop("_rank")
+    # Dropped artifacts are few; the lines are parsed where they were read, so an
+    # artifact with most of the lines is not parsed by one task.
+    kept = keyed_join(kept, staged(dropped, "broken-artifacts"), artifact, "left_anti")
+    parsed = kept.withColumn("_m", members(F.col("_text"), _MEMBERS))
+    texts = {f"_{name}": member_text(F.col(f"_m.{name}")) for name in _MEMBERS[1:]}
+    return (
+        parsed.withColumns({"row_number": member_int(F.col("_m.row_number")), **texts})
+        .withColumns(
+            {
+                **{name: _or_default(name, default) for name, default in DEFAULTS.items()},
+                "constraint": text_or_null(F.col("_constraint")),
+                "actual_value": text_or_null(F.col("_actual_value")),
+                "details_json": F.col("_text"),
+            }
+        )
+        .drop("_text", "_m", line, *texts)
+    )
+
+
+def _first_lines(objects: DataFrame, artifact: list[str], position: list[str], limit: int) -> DataFrame:
+    """The first ``limit`` lines of each artifact with their rank.
+
+    Ranking stops at the limit in every task before anything is shuffled, first per
+    slice of an artifact, then over what the slices kept.
+    """
+    sliced = objects.withColumn("_slice", F.pmod(F.spark_partition_id(), F.lit(64)))
+    within = Window.partitionBy(*artifact, "_slice").orderBy(*position)
+    some = sliced.withColumn("_rank", F.row_number().over(within)).filter(F.col("_rank") <= limit)
+    over = Window.partitionBy(*artifact).orderBy(*position)
+    ranked = some.drop("_rank", "_slice").withColumn("_rank", F.row_number().over(over))
+    return ranked.filter(F.col("_rank") <= limit)
+
+
+def _or_default(name: str, default: str) -> Column:
     """Text of a member; absent, null and empty values of any type become the default."""
-    raw = json_member(body, name)
-    empty = raw.isNull() | raw.isin('""', "false", "[]", "{}") | raw.rlike(r"^-?0+(\.0+)?([eE][+-]?[0-9]+)?$")
-    return F.when(empty, F.lit(default)).otherwise(F.get_json_object(body, f"$.{name}"))
+    text = F.col(f"_{name}")
+    # These texts may stand for an empty value, unless they were JSON strings.
+    hollow = text.isin("false", "[]", "{}") | (text.rlike("^-?0") & (text.try_cast("double") == 0))
+    typed = F.schema_of_variant(F.col(f"_m.{name}")) != "STRING"
+    empty = text.isNull() | (text == "") | (hollow & typed)
+    return F.when(empty, F.lit(default)).otherwise(text)
 
 
 def replace_stage_errors(table: DataFrame, rows: DataFrame, stages: DataFrame) -> DataFrame:
@@ -113,8 +138,8 @@ def replace_stage_errors(table: DataFrame, rows: DataFrame, stages: DataFrame) -
     new error set is empty loses its old rows too.
     """
     pair = ["run_id", "stage_name"]
-    kept = table.join(stages.select(*pair).distinct(), pair, "left_anti")
-    return kept.unionByName(rows)
+    gone = staged(stages.select(*pair).distinct(), "replaced-stages")
+    return keyed_join(table, gone, pair, "left_anti").unionByName(rows)
 
 
 def write_stage_errors(spark: SparkSession, root: str, rows: DataFrame, run_id: str, stage_name: str) -> None:

@@ -4,48 +4,79 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from driftline.functions.payload import first_int, number_or_null, text_or_null
-
+from driftline.functions.payload import first_int, member_text, members, number_or_null, text_or_null
+
+_PARSED = "_parsed"
+_READ = (
+    "source_row_count",
+    "source_event_count",
+    "read_count",
+    "insert_count",
+    "update_count",
+    "delete_count",
+    "source_read_seconds",
+    "total_seconds",
+    "invalid_row_count",
+    "invalid_event_count",
+    "invalid_transaction_count",
+    "quarantined_event_count",
+    "quarantined_transaction_count",
+    "failed_tasks",
+    "validation_error_object_key",
+    "error_object_key",
+)
 
 RATES = ("source_records_per_second", "processed_records_per_second", "change_ratio", "invalid_ratio")
 
 
-def rate_columns(payload: Column) -> dict[str, Column]:
-    """The four rates; each is NULL where its inputs are missing or not positive.
-
-    Rounding goes half away from zero.
-    """
-    source = first_int(payload, "source_row_count", "source_event_count")
-    read = first_int(payload, "read_count")
-    invalid = first_int(payload, "invalid_row_count", "invalid_event_count")
-    read_seconds = number_or_null(payload, "source_read_seconds")
-    total_seconds = number_or_null(payload, "total_seconds")
-    changed = sum(
-        (F.coalesce(first_int(payload, k), F.lit(0)) for k in ("insert_count", "update_count", "delete_count")),
-        F.lit(0).cast("bigint"),
+def _parsed(payloads: DataFrame, payload: str) -> DataFrame:
+    """Adds the numbers the metrics are derived from, read with one parse per payload."""
+    held = payloads.withColumn(_PARSED, members(F.col(payload), _READ))
+    zero = F.lit(0).cast("bigint")
+    changed = zero
+    for name in ("insert_count", "update_count", "delete_count"):
+        changed = changed + F.coalesce(first_int(_PARSED, name), zero)
+    return held.withColumns(
+        {
+            "_source": first_int(_PARSED, "source_row_count", "source_event_count"),
+            "_read": first_int(_PARSED, "read_count"),
+            "_changed": changed,
+            "_invalid": first_int(_PARSED, "invalid_row_count", "invalid_event_count"),
+            "_read_seconds": number_or_null(F.col(f"{_PARSED}.source_read_seconds")),
+            "_total_seconds": number_or_null(F.col(f"{_PARSED}.total_seconds")),
+        }
     )
+
+
+def _rate_columns() -> dict[str, Column]:
+    source, read, seconds = F.col("_source"), F.col("_read"), F.col("_read_seconds")
+    total = F.col("_total_seconds")
     return {
-        "source_records_per_second": F.when(read_seconds > 0, F.round(source / read_seconds, 3)),
-        "processed_records_per_second": F.when(total_seconds > 0, F.round(read / total_seconds, 3)),
-        "change_ratio": F.when(read > 0, F.round(changed / read, 6)),
-        "invalid_ratio": F.when(source > 0, F.round(invalid / source, 6)),
+        "source_records_per_second": F.when(seconds > 0, F.round(source / seconds, 3)),
+        "processed_records_per_second": F.when(total > 0, F.round(read / total, 3)),
+        "change_ratio": F.when(read > 0, F.round(F.col("_changed") / read, 6)),
+        "invalid_ratio": F.when(source > 0, F.round(F.col("_invalid") / source, 6)),
     }
 
 
 def rate_metrics(payloads: DataFrame, payload: str = "payload") -> DataFrame:
-    """Adds the derived rates of each payload as columns."""
-    return payloads.withColumns(rate_columns(F.col(payload)))
+    """Adds the four rates of each payload as columns.
+
+    Each is NULL where its inputs are missing or not positive. Rounding goes half
+    away from zero.
+    """
+    rates = [value.alias(name) for name, value in _rate_columns().items()]
+    return _parsed(payloads, payload).select(*payloads.columns, *rates)
 
 
-def problem_struct(payload: Column) -> Column:
-    """Counts of what went wrong, whether anything did, and where the errors are."""
+def _problem_struct() -> Column:
     zero = F.lit(0).cast("bigint")
-    failed = F.json_array_length(F.get_json_object(payload, "$.failed_tasks")).cast("bigint")
+    failed = F.json_array_length(F.to_json(F.col(f"{_PARSED}.failed_tasks"))).cast("bigint")
     counts = {
-        "invalid_record_count": first_int(payload, "invalid_row_count", "invalid_event_count"),
-        "invalid_transaction_count": first_int(payload, "invalid_transaction_count"),
-        "quarantined_event_count": first_int(payload, "quarantined_event_count"),
-        "quarantined_transaction_count": first_int(payload, "quarantined_transaction_count"),
+        "invalid_record_count": F.col("_invalid"),
+        "invalid_transaction_count": first_int(_PARSED, "invalid_transaction_count"),
+        "quarantined_event_count": first_int(_PARSED, "quarantined_event_count"),
+        "quarantined_transaction_count": first_int(_PARSED, "quarantined_transaction_count"),
         "failed_task_count": failed,
     }
     counts = {name: F.coalesce(value, zero) for name, value in counts.items()}
@@ -53,8 +84,8 @@ def problem_struct(payload: Column) -> Column:
     for value in counts.values():
         any_problem = any_problem | (value != 0)
     artifact = F.coalesce(
-        text_or_null(F.get_json_object(payload, "$.validation_error_object_key")),
-        text_or_null(F.get_json_object(payload, "$.error_object_key")),
+        text_or_null(member_text(F.col(f"{_PARSED}.validation_error_object_key"))),
+        text_or_null(member_text(F.col(f"{_PARSED}.error_object_key"))),
     )
     return F.struct(
         any_problem.alias("has_problems"),
@@ -64,8 +95,9 @@ def problem_struct(payload: Column) -> Column:
 
 
 def problem_summary(payloads: DataFrame, payload: str = "payload") -> DataFrame:
-    """Adds ``problem_summary`` to each payload."""
-    return payloads.withColumn("problem_summary", problem_struct(F.col(payload)))
+    """Adds ``problem_summary`` to each payload: counts of what went wrong, whether
+    anything did, and where the errors are."""
+    return _parsed(payloads, payload).select(*payloads.columns, _problem_struct().alias("problem_summary"))
 
 
 def enrich_metrics(
@@ -81,13 +113,12 @@ def enrich_metrics(
     problem summary are set over members of the same name. Members keep their JSON
     types. The stage name is set only when given, so a payload may bring its own.
     """
-    body = F.col(payload)
     empty = F.from_json(F.lit("{}"), "map<string,variant>")
-    read = payloads.withColumns(
+    read = _parsed(payloads, payload).withColumns(
         {
-            "_members": F.coalesce(F.from_json(body, "map<string,variant>"), empty),
-            "_summary": problem_struct(body),
-            **{f"_{name}": value for name, value in rate_columns(body).items()},
+            "_members": F.coalesce(F.from_json(F.col(payload), "map<string,variant>"), empty),
+            "_summary": _problem_struct(),
+            **{f"_{name}": value for name, value in _rate_columns().items()},
         }
     )
     fixed: dict[str, Column] = {name: F.col(name) for name in identity}
@@ -97,24 +128,15 @@ def enrich_metrics(
     kept = {name: F.col(f"_{name}") for name in RATES}
     if artifact_total is not None:
         kept["artifact_total_bytes"] = F.col(artifact_total)
-    entries = [_entry(name, _variant(value)) for name, value in fixed.items()]
-    entries += [
-        _entry(name, F.coalesce(_variant(value), F.try_element_at("_members", F.lit(name))))
-        for name, value in kept.items()
-    ]
-    entries.append(_entry("problem_summary", F.to_variant_object("_summary")))
-    replaced = [*fixed, *kept, "problem_summary"]
+    added = F.struct(*[value.alias(name) for name, value in {**fixed, **kept}.items()])
+    # One variant object holds all that is added; absent values are dropped from it.
+    read = read.withColumn("_added", F.from_json(F.to_json(added), "map<string,variant>"))
+    replaced = [*fixed, "problem_summary"]
     merged = F.map_concat(
-        F.map_filter("_members", lambda key, _: ~key.isin(replaced)),
-        F.map_from_entries(F.array_compact(F.array(*entries))),
+        F.map_filter(
+            "_members", lambda key, _: ~key.isin(replaced) & ~F.array_contains(F.map_keys("_added"), key)
+        ),
+        "_added",
+        F.create_map(F.lit("problem_summary"), F.to_variant_object("_summary")),
     )
     return read.withColumn(payload, F.to_json(merged)).select(*payloads.columns)
-
-
-def _variant(value: Column) -> Column:
-    held = F.variant_get(F.to_variant_object(F.struct(value.alias("v"))), "$.v", "variant")
-    return F.when(value.isNotNull(), held)
-
-
-def _entry(name: str, value: Column) -> Column:
-    return F.when(value.isNotNull(), F.struct(F.lit(name).alias("key"), value.alias("value")))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from driftline.functions.payload import json_member, text_or_null
+from driftline.functions.payload import member_text, members, strip, text_or_null
 from driftline.operators.ledger import EXTRACT_STAGES
 from driftline.sources.landing import LAYOUT, MANIFEST_FILE, with_artifact_keys
 
@@ -34,7 +34,7 @@ def manifest_key_of(accepted_key: Column) -> Column:
     """Manifest next to an accepted snapshot; NULL for any other key."""
     folder, file = LAYOUT["hash_diff"]
     suffix = f"/{folder}/{file}"
-    key = F.regexp_replace(F.regexp_replace(accepted_key, r"^\s+|\s+$", ""), "^/+|/+$", "")
+    key = F.btrim(strip(accepted_key), F.lit("/"))
     base = F.substring(key, F.lit(1), F.char_length(key) - len(suffix))
     return F.when(key.endswith(suffix), F.concat(base, F.lit(f"/{folder}/{MANIFEST_FILE}")))
 
@@ -57,28 +57,34 @@ def resolve_replays(
         *[text_or_null(F.col(c)).alias(c) for c in ("object_key", "parent_run_id", "contract_version")],
     )
     laid_out = with_artifact_keys(asked, run_id="parent_run_id")
-    metrics = F.when(F.size(F.json_object_keys("metrics_json")) > 0, F.col("metrics_json"))
     extracts = (
         stages.filter((F.col("status") == "success") & F.col("stage_name").isin(list(EXTRACT_STAGES.values())))
-        .select(F.col("run_id").alias("parent_run_id"), "stage_name", metrics.alias("_metrics"))
-        .filter("_metrics is not null")
+        .filter(F.size(F.json_object_keys("metrics_json")) > 0)
+        .withColumn("_m", members(F.col("metrics_json"), ("delta_object_key", "manifest_key")))
+        .select(
+            F.col("run_id").alias("parent_run_id"),
+            "stage_name",
+            F.lit(True).alias("_recorded"),
+            text_or_null(member_text(F.col("_m.delta_object_key"))).alias("_delta_key"),
+            text_or_null(member_text(F.col("_m.manifest_key"))).alias("_stage_manifest"),
+        )
     )
     stage = F.lit(None).cast("string")
     for name, stage_name in EXTRACT_STAGES.items():
         if name != "hash_diff":
             stage = F.when(F.col("strategy") == name, F.lit(stage_name)).otherwise(stage)
-    found = laid_out.withColumn("stage_name", stage).join(extracts, ["parent_run_id", "stage_name"], "left")
+    found = _lookup(laid_out.withColumn("stage_name", stage), extracts, ["parent_run_id", "stage_name"])
 
     snapshot = F.col("strategy") == "hash_diff"
-    recorded = F.col("_metrics").isNotNull()
+    recorded = F.coalesce("_recorded", F.lit(False))
     key = (
         F.when(snapshot & F.col("parent_run_id").isNull(), F.col("object_key"))
-        .when(recorded, text_or_null(F.get_json_object("_metrics", "$.delta_object_key")))
+        .when(recorded, F.col("_delta_key"))
         .otherwise(F.col("accepted_key"))
     )
     manifest = (
         F.when(snapshot & F.col("parent_run_id").isNull(), manifest_key_of(F.col("object_key")))
-        .when(recorded, text_or_null(F.get_json_object("_metrics", "$.manifest_key")))
+        .when(recorded, F.col("_stage_manifest"))
         .otherwise(F.col("manifest_key"))
     )
     located = found.select(
@@ -92,13 +98,13 @@ def resolve_replays(
         manifest.alias("manifest_key"),
     )
     # Only a text version counts; a number in its place is not one.
-    raw = json_member(F.col("manifest_json"), "contract_version")
-    version = F.when(
-        raw.startswith('"'), text_or_null(F.get_json_object("manifest_json", "$.contract_version"))
+    stated = F.col("_m.contract_version")
+    version = F.when(F.schema_of_variant(stated) == "STRING", text_or_null(member_text(stated)))
+    known = manifests.withColumn("_m", members(F.col("manifest_json"), ("contract_version",))).select(
+        "manifest_key", version.alias("_version"), F.lit(True).alias("_manifest")
     )
-    known = manifests.select("manifest_key", version.alias("_version"), F.lit(True).alias("_manifest"))
     present = listing.select("artifact_key", F.lit(True).alias("_landed"))
-    joined = located.join(known, "manifest_key", "left").join(present, "artifact_key", "left")
+    joined = _lookup(_lookup(located, known, ["manifest_key"]), present, ["artifact_key"])
 
     resolved = F.coalesce("_asked_version", "_version")
     return joined.select(
@@ -113,6 +119,18 @@ def resolve_replays(
     )
 
 
+def _lookup(requests: DataFrame, known: DataFrame, keys: list[str]) -> DataFrame:
+    """Left join on keys that are often NULL. A NULL key would send its rows to one
+    task; here it stands as a value of its own per request, which finds nothing."""
+    first = keys[0]
+    own = F.concat(F.lit("\0"), F.col("request_id"))
+    right = known.withColumnsRenamed({k: f"_k_{k}" for k in keys})
+    matches = F.coalesce(F.col(first), own) == F.col(f"_k_{first}")
+    for key in keys[1:]:
+        matches = matches & (F.col(key) == F.col(f"_k_{key}"))
+    return requests.join(right, matches, "left").drop(*[f"_k_{k}" for k in keys])
+
+
 def _problem(version: Column) -> Column:
     snapshot = F.col("strategy") == "hash_diff"
     has_key, has_parent = F.col("object_key").isNotNull(), F.col("parent_run_id").isNotNull()

@@ -15,6 +15,7 @@ from driftline.shared import keyed_join, staged
 from driftline.sources.landing import ERROR_DDL
 
 VIOLATIONS = "_violations"
+REJECTED = "_rejected"
 _VIOLATION_TYPE = f"array<struct<{ERROR_DDL.replace(' bigint', ':bigint').replace(' string', ':string')}>>"
 
 
@@ -25,44 +26,49 @@ def validate(
     unique_keys: bool = True,
     rules_when: Column | None = None,
 ) -> DataFrame:
-    """Casts the contract's columns to their types and adds ``_violations``.
+    """Casts the contract's columns to their types and adds ``_rejected`` and ``_violations``.
 
     ``row_number`` names the row in its violations: an audit id or sequence where
     the source has one, else the scan position. ``rules_when`` limits the rules of
     non-key columns, for example to events that carry values. Other columns pass
-    through unchanged.
+    through unchanged. Violations are built for rejected rows only.
     """
     number = (F.monotonically_increasing_id() + 1) if row_number is None else row_number
     missing = [c for c in contract.columns if c not in df.columns]
     if missing:
         raise ValueError(f"source lacks contract columns: {', '.join(missing)}")
     rows = df.withColumn("_row_number", number.cast("bigint"))
-    rules: list[Column] = []
-    for rule in contract.fields:
-        scope = None if rule.name in contract.keys else rules_when
-        rules += _field_rules(rule, rule.name in contract.keys, scope)
+    types = dict(df.dtypes)
+    rules: list[_Rule] = []
+    for field in contract.fields:
+        scope = None if field.name in contract.keys else rules_when
+        rules += _field_rules(field, types[field.name], field.name in contract.keys, scope)
     if unique_keys:
         keys = list(contract.keys)
-        copies = duplicate_keys(df, contract)
-        rows = keyed_join(rows, copies, keys, "left")
+        rows = keyed_join(rows, duplicate_keys(df, contract), keys, "left")
+        copies = F.col("_copies")
         rules.append(
-            _violation(
-                F.col("_copies").isNotNull(),
+            _Rule(
+                copies.isNotNull(),
                 "$",
                 "duplicate_key",
                 "key occurs more than once",
                 "unique=" + ",".join(keys),
-                F.col("_copies").cast("string"),
+                copies.cast("string"),
             )
         )
-    found = F.filter(F.array(*rules), lambda v: v.isNotNull()) if rules else F.array()
-    typed = {f.name: F.col(f"`{f.name}`").try_cast(f.type) for f in contract.fields}
-    kept = [c for c in df.columns if c not in typed]
+    rejected = F.lit(False)
+    for rule in rules:
+        rejected = rejected | F.coalesce(rule.broken, F.lit(False))
+    found = F.array_compact(F.array(*[rule.violation() for rule in rules]))
+    none = F.array().cast(_VIOLATION_TYPE)
+    kept = [c for c in df.columns if c not in contract.columns]
     return rows.select(
-        *[typed[c].alias(c) for c in contract.columns],
+        *[_typed(f, types[f.name]).alias(f.name) for f in contract.fields],
         *kept,
         "_row_number",
-        found.cast(_VIOLATION_TYPE).alias(VIOLATIONS),
+        rejected.alias(REJECTED),
+        F.when(rejected, found).otherwise(none).alias(VIOLATIONS),
     )
 
 
@@ -78,29 +84,42 @@ def duplicate_keys(df: DataFrame, contract: Contract) -> DataFrame:
     return staged(counted, "duplicate-keys")
 
 
-def _violation(
-    broken: Column, field: str, code: str, message: str, constraint: str, actual: Column
-) -> Column:
-    return F.when(
-        broken,
-        F.struct(
-            F.col("_row_number").alias("row_number"),
-            F.lit(field).alias("field"),
-            F.lit(code).alias("code"),
-            F.lit(message).alias("message"),
-            F.lit(constraint).alias("constraint"),
-            actual.alias("actual_value"),
-        ),
-    )
+@dataclass(frozen=True)
+class _Rule:
+    broken: Column
+    field: str
+    code: str
+    message: str
+    constraint: str
+    actual: Column
+
+    def violation(self) -> Column:
+        return F.when(
+            self.broken,
+            F.struct(
+                F.col("_row_number").alias("row_number"),
+                F.lit(self.field).alias("field"),
+                F.lit(self.code).alias("code"),
+                F.lit(self.message).alias("message"),
+                F.lit(self.constraint).alias("constraint"),
+                self.actual.alias("actual_value"),
+            ),
+        )
+
+
+def _typed(rule: FieldRule, source_type: str) -> Column:
+    raw = F.col(f"`{rule.name}`")
+    return raw if source_type == rule.type else raw.try_cast(rule.type)
 
 
-def _field_rules(rule: FieldRule, is_key: bool, scope: Column | None) -> list[Column]:
+def _field_rules(rule: FieldRule, source_type: str, is_key: bool, scope: Column | None) -> list[_Rule]:
     raw = F.col(f"`{rule.name}`")
-    value = raw.try_cast(rule.type)
+    value = _typed(rule, source_type)
     text = raw.cast("string")
-    checks: list[tuple[Column, str, str, str]] = [
-        (raw.isNotNull() & value.isNull(), "type", f"value is not a {rule.type}", f"type={rule.type}")
-    ]
+    checks: list[tuple[Column, str, str, str]] = []
+    if source_type != rule.type:
+        unread = raw.isNotNull() & value.isNull()
+        checks.append((unread, "type", f"value is not a {rule.type}", f"type={rule.type}"))
     if is_key:
         checks.append((raw.isNull(), "null_key", "key is missing", "key"))
     elif not rule.nullable:
@@ -110,13 +129,11 @@ def _field_rules(rule: FieldRule, is_key: bool, scope: Column | None) -> list[Co
     if rule.maximum is not None:
         checks.append((value > F.lit(rule.maximum), "range", "value is too large", f"max={rule.maximum}"))
     if rule.min_length is not None:
-        checks.append(
-            (F.char_length(text) < rule.min_length, "length", "text is too short", f"min_length={rule.min_length}")
-        )
+        short = F.char_length(text) < rule.min_length
+        checks.append((short, "length", "text is too short", f"min_length={rule.min_length}"))
     if rule.max_length is not None:
-        checks.append(
-            (F.char_length(text) > rule.max_length, "length", "text is too long", f"max_length={rule.max_length}")
-        )
+        long = F.char_length(text) > rule.max_length
+        checks.append((long, "length", "text is too long", f"max_length={rule.max_length}"))
     if rule.pattern is not None:
         checks.append((~text.rlike(rule.pattern), "pattern", "text does not match", f"pattern={rule.pattern}"))
     if rule.allowed is not None:
@@ -124,27 +141,26 @@ def _field_rules(rule: FieldRule, is_key: bool, scope: Column | None) -> list[Co
         checks.append((~value.isin(*rule.allowed), "allowed", "value is not allowed", f"allowed={listed}"))
     if scope is not None:
         checks = [(scope & broken, *rest) for broken, *rest in checks]
-    return [
-        _violation(broken, rule.name, code, message, constraint, text)
-        for broken, code, message, constraint in checks
-    ]
+    return [_Rule(broken, rule.name, code, message, bound, text) for broken, code, message, bound in checks]
 
 
 def split_accepted(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Accepted and rejected halves of a validated frame."""
-    return df.filter(F.size(VIOLATIONS) == 0), df.filter(F.size(VIOLATIONS) > 0)
+    return df.filter(~F.col(REJECTED)), df.filter(REJECTED)
 
 
 def explode_errors(df: DataFrame, *keep: str) -> DataFrame:
     """One row per violation."""
-    return df.select(*keep, F.inline(VIOLATIONS))
+    # A rejected row has a violation, so the outer form adds no rows. It also spares
+    # the size check that the plain form would evaluate the whole array for.
+    return df.filter(REJECTED).select(*keep, F.inline_outer(VIOLATIONS))
 
 
 def validation_counts(df: DataFrame, unit: str = "row") -> DataFrame:
     """Source, invalid and accepted counts in one pass; ``unit`` is ``row`` or ``event``."""
     if unit not in ("row", "event"):
         raise ValueError("unit must be one of: row, event")
-    invalid = F.size(VIOLATIONS) > 0
+    invalid = F.col(REJECTED)
     return df.agg(
         F.count("*").alias(f"source_{unit}_count"),
         F.count_if(invalid).alias(f"invalid_{unit}_count"),
@@ -187,7 +203,7 @@ def quarantine_counts(marked: DataFrame, invalid: Column, xid: str = "xid") -> D
 def number_rows(df: DataFrame, order_by: list[str], partitions: int | None = None) -> DataFrame:
     """Adds ``_row_number``, consecutive from 1 in the given order, without gathering rows.
 
-    Rows are range-partitioned and staged once; each part is numbered on its own
+    ``order_by`` must order the rows totally, best by a key. Rows are range-partitioned and staged once; each part is numbered on its own
     and shifted by the size of the parts before it. The only single-task step is a
     running sum over one row per part.
     """

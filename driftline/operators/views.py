@@ -13,6 +13,20 @@ _PROBLEMS = (
     "quarantined_transaction_count",
 )
 
+PROBLEM_COLUMNS = (
+    "run_id",
+    "pipeline_id",
+    "strategy",
+    "run_mode",
+    "stage_name",
+    "observed_at",
+    "scope",
+    "problem_type",
+    "problem_count",
+    "error_artifact_key",
+    "error_text",
+)
+
 # The payload members the views read. One parse per row serves all of them; values
 # stay text until the strict casts below.
 _METRICS_DDL = (
@@ -153,7 +167,14 @@ def _problem_rows(rows: DataFrame, scope: str, stage: Column, observed: Column)
         .otherwise("none")
     )
     as_count = F.when(failed, F.lit(1)).otherwise(F.lit(0)).cast("bigint")
-    return rows.filter(some).select(
+    # A row without problems yields an empty list. As a plain filter, the condition
+    # would be pushed below the parsed metrics and parse them once more per count.
+    found = F.struct(
+        kind.alias("problem_type"),
+        F.greatest(as_count, *_PROBLEMS).alias("problem_count"),
+        F.col("error_artifact_key").alias("error_artifact_key"),
+    )
+    return rows.select(
         "run_id",
         "pipeline_id",
         "strategy",
@@ -161,8 +182,6 @@ def _problem_rows(rows: DataFrame, scope: str, stage: Column, observed: Column)
         stage.alias("stage_name"),
         observed.alias("observed_at"),
         F.lit(scope).alias("scope"),
-        kind.alias("problem_type"),
-        F.greatest(as_count, *_PROBLEMS).alias("problem_count"),
-        "error_artifact_key",
         "error_text",
-    )
+        F.inline(F.when(some, F.array(found))),
+    ).select(*PROBLEM_COLUMNS)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from driftline.functions.lsn import lsn_number, lsn_text
 from driftline.operators.checkpoint import lsn_window
 from driftline.operators.validation import (
-    VIOLATIONS,
+    REJECTED,
     explode_errors,
     quarantine_counts,
     quarantine_transactions,
@@ -60,7 +60,7 @@ def ingest_change_log(
             checked = validate(
                 rows, contract, row_number=F.col("seq"), unique_keys=False, rules_when=F.col("op") != "D"
             )
-            invalid = F.size(VIOLATIONS) > 0
+            invalid = F.col(REJECTED)
             marked = staged(quarantine_transactions(checked, invalid), "quarantine")
             counts = validation_counts(marked, "event").first()
             held = quarantine_counts(marked, invalid).first().asDict()

@@ -287,7 +287,8 @@ def _close(ctx: RunContext, apply_stage: str) -> None:
             counts["read_count"] = source or counts["read_count"]
         copied = () if ctx.strategy == "hash_diff" else _EVENT_METRICS
         ctx.finish("success", counts, {**applied, **metrics, **{k: extract.get(k) for k in copied}})
-    if not replay:
+    broken = extract.get("invalid_row_count") or extract.get("invalid_event_count")
+    if not replay and broken:
         ctx.record_errors(extract_stage, error_key)
 
 

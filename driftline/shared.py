@@ -28,7 +28,11 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark)}/driftline/{label}-{uuid.uuid4().hex}"
+    """A fresh folder in the shared folder, removed when the application ends."""
+    folder = f"{shared_folder(spark)}/driftline/{label}-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return folder
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:

@@ -15,7 +15,7 @@ from typing import Any
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from driftline.operators.validation import VIOLATIONS, quarantine_counts, quarantine_transactions, validate
+from driftline.operators.validation import REJECTED, quarantine_counts, quarantine_transactions, validate
 from driftline.plans.deltas import apply_compacted, last_events
 from driftline.plans.run import RunContext
 from driftline.shared import keyed_join, staged
@@ -80,7 +80,7 @@ def _apply_batch(ctx: RunContext, events: DataFrame, name: str, buckets: int) ->
     checked = validate(
         events, ctx.contract, row_number=F.col("seq"), unique_keys=False, rules_when=F.col("op") != "D"
     )
-    invalid = F.size(VIOLATIONS) > 0
+    invalid = F.col(REJECTED)
     marked = staged(quarantine_transactions(checked, invalid), "stream-marked")
     counts = quarantine_counts(marked, invalid).first().asDict()
     clean = marked.filter(~F.col("_quarantined"))
