@@ -32,7 +32,7 @@ from driftline.operators.replay import manifest_key_of, resolve_replays
 from driftline.operators.validation import quarantine_counts, quarantine_transactions
 from driftline.plans import ingest_audit_log, ingest_change_log, replay
 from driftline.plans.snapshot import current_rows
-from driftline.shared import scratch_path
+from driftline.shared import scratch_path, staged
 from driftline.sources.curated import write_curated
 from driftline.streaming import drain, stream_deltas
 
@@ -49,7 +49,7 @@ def _change_delta(spark: SparkSession, sf: str) -> DataFrame:
     """Quarantine, then key changes, then the last event of each key."""
     halves = expand_key_changes(_clean(spark, sf).select("lsn", "op", "k", "old_k", "v"), ["k"], ["old_k"])
     halves = halves.withColumn("v", F.when(F.col(SUB_ORDER) == 1, F.col("v")))
-    return compact_delta(halves, ["k"], ["lsn", SUB_ORDER]).select("k", "op", "v")
+    return staged(compact_delta(halves, ["k"], ["lsn", SUB_ORDER]).select("k", "op", "v"), "delta")
 
 
 def quarantined_events(spark: SparkSession, sf: str) -> DataFrame:

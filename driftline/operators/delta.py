@@ -129,8 +129,9 @@ def apply_delta(
 
     Curated rows whose key the delta names drop out and the upserts take their
     place; a small delta is broadcast, so the curated table is not shuffled. Deleting
-    an absent key does nothing, and applying a delta twice changes nothing. With
-    ``guard`` an event no newer than the row's ``_position`` is ignored.
+    an absent key does nothing, and applying a delta twice changes nothing. The
+    delta is read more than once, so pass a landed or staged one. With ``guard`` an
+    event no newer than the row's ``_position`` is ignored.
     """
     if guard:
         delta = delta.join(_outdated(curated, delta, keys), keys, "left_anti")

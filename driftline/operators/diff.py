@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from driftline.functions.hashing import row_hash
+from driftline.shared import keyed_join, staged
 
 ROW_HASH = "_row_hash"
 RUN_ID = "_run_id"
@@ -46,21 +47,19 @@ def hash_diff(
     old = fingerprints(curated, keys, columns, method).withColumnRenamed(ROW_HASH, "_old")
     new = new.withColumn("_in_new", F.lit(True))
     old = old.withColumn("_in_old", F.lit(True))
+    joined = new.join(old, keys, "full_outer")
     if rejected is None:
-        joined = new.join(old, keys, "full_outer").withColumn("_rejected", F.lit(False))
+        joined = joined.withColumn("_rejected", F.lit(False))
     else:
-        held = rejected.select(*keys).dropna("any").withColumn("_rejected", F.lit(True))
-        # Grouped on the join key: the join reuses this shuffle.
-        sides = new.unionByName(held, allowMissingColumns=True)
-        merged = sides.groupBy(*keys).agg(
-            F.first("_new", ignorenulls=True).alias("_new"),
-            F.max("_in_new").alias("_in_new"),
-            F.coalesce(F.max("_rejected"), F.lit(False)).alias("_rejected"),
-        )
-        joined = merged.join(old, keys, "full_outer").filter("_in_new or _in_old")
+        joined = keyed_join(joined, _rejected_keys(rejected, keys), keys, "left")
     return joined.select(*keys, _action().alias("action"))
 
 
+def _rejected_keys(rejected: DataFrame, keys: list[str]) -> DataFrame:
+    held = rejected.select(*keys).dropna("any").distinct()
+    return staged(held.withColumn("_rejected", F.lit(True)), "rejected-keys")
+
+
 def _action() -> Column:
     return (
         F.when(F.col("_in_old").isNull(), INSERT)
@@ -99,14 +98,11 @@ def merge_snapshot(
     ``rejected``, which keep their curated row.
     """
     columns = [c for c in snapshot.columns if c not in META]
-    values = [c for c in columns if c not in keys]
-    new = snapshot.select(*columns, row_hash(snapshot, values or keys, method).alias(ROW_HASH))
+    values = [c for c in columns if c not in keys] or keys
+    new = snapshot.select(*columns, row_hash(snapshot, values, method).alias(ROW_HASH))
     if curated is None:
         return new.withColumns({RUN_ID: F.lit(run_id), CHANGE: F.lit(INSERT)})
-    old_run = F.col(RUN_ID) if RUN_ID in curated.columns else F.lit(None).cast("string")
-    old_hash = (
-        F.col(ROW_HASH) if ROW_HASH in curated.columns else row_hash(curated, values or keys, method)
-    )
+    old_run, old_hash = _stored(curated, values, method)
     old = curated.select(*keys, old_hash.alias("_old"), old_run.alias("_old_run"), F.lit(True).alias("_known"))
     same = F.col("_known") & F.col(ROW_HASH).eqNullSafe(F.col("_old"))
     change = F.when(F.col("_known").isNull(), INSERT).when(same, UNCHANGED).otherwise(UPDATE)
@@ -118,13 +114,32 @@ def merge_snapshot(
     )
     if rejected is None:
         return merged
-    held = curated.select(*columns, old_hash.alias(ROW_HASH), old_run.alias(RUN_ID))
-    protected = (
-        held.join(rejected.select(*keys).dropna("any").distinct(), keys, "left_semi")
-        .join(snapshot.select(*keys), keys, "left_anti")
-        .withColumn(CHANGE, F.lit(PROTECTED))
+    return merged.unionByName(protected_rows(snapshot, curated, keys, rejected, method))
+
+
+def protected_rows(
+    snapshot: DataFrame, curated: DataFrame, keys: list[str], rejected: DataFrame, method: str = "xxh128"
+) -> DataFrame:
+    """Curated rows whose key was rejected and is not in the snapshot either.
+
+    Both large sides are only filtered by the rejected keys, without a shuffle while
+    those are few. ``curated`` may be just the buckets the rejected keys fall into.
+    """
+    columns = [c for c in snapshot.columns if c not in META]
+    old_run, old_hash = _stored(curated, [c for c in columns if c not in keys] or keys, method)
+    held_keys = _rejected_keys(rejected, keys)
+    held = curated.select(
+        *columns, old_hash.alias(ROW_HASH), old_run.alias(RUN_ID), F.lit(PROTECTED).alias(CHANGE)
     )
-    return merged.unionByName(protected)
+    present = keyed_join(snapshot.select(*keys), held_keys, keys, "left_semi")
+    return keyed_join(held, held_keys, keys, "left_semi").join(present, keys, "left_anti")
+
+
+def _stored(curated: DataFrame, values: list[str], method: str) -> tuple[Column, Column]:
+    """Run id and fingerprint of curated rows, stored or computed."""
+    run = F.col(RUN_ID) if RUN_ID in curated.columns else F.lit(None).cast("string")
+    stored = ROW_HASH in curated.columns
+    return run, F.col(ROW_HASH) if stored else row_hash(curated, values, method)
 
 
 def merge_counts(merged: DataFrame, curated_rows: Column | int) -> DataFrame:

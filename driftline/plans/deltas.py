@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, functions as F
 from driftline.contracts import Contract
 from driftline.operators.delta import POSITION, SUB_ORDER, apply_delta, compact_delta, delta_counts, expand_key_changes
 from driftline.plans.run import RunContext
-from driftline.shared import staged
-from driftline.sources.curated import read_curated, read_pointer, touched_buckets, write_curated
+from driftline.shared import broadcast_limit, scan_bytes, staged
+from driftline.sources.curated import aligned, read_curated, read_pointer, touched_buckets, write_curated
 from driftline.sources.landing import read_landed
 
 # Bookkeeping columns of a landed delta, beside the contract's.
@@ -71,14 +71,19 @@ def apply_compacted(
     else:
         state = read_curated(spark, ctx.target_root, pointer, touched)
     counts = delta_counts(state, delta, keys).first().asDict()
-    if touched or pointer is None:
-        write_curated(
-            apply_delta(state, delta, keys, guard=guard),
-            ctx.target_root,
-            keys,
-            run_id or ctx.run_id,
-            total,
-            previous=pointer,
-            only=touched if pointer else None,
-        )
+    if not touched and pointer is not None:
+        return counts
+    if scan_bytes(delta) > broadcast_limit(spark):
+        # Too large to broadcast: shuffle the curated rows once, for join and write.
+        state = aligned(state, keys, total)
+    write_curated(
+        apply_delta(state, aligned(delta, keys, total), keys, guard=guard),
+        ctx.target_root,
+        keys,
+        run_id or ctx.run_id,
+        total,
+        previous=pointer,
+        only=touched if pointer else None,
+        in_place=True,
+    )
     return counts

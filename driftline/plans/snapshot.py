@@ -7,7 +7,7 @@ from typing import Any
 
 from pyspark.sql import DataFrame, functions as F
 
-from driftline.operators.diff import CHANGE, PROTECTED, merge_counts, merge_snapshot
+from driftline.operators.diff import RUN_ID, merge_counts, merge_snapshot, protected_rows
 from driftline.operators.validation import (
     explode_errors,
     split_accepted,
@@ -17,7 +17,14 @@ from driftline.operators.validation import (
 )
 from driftline.plans.run import RunContext, land, recorded_run
 from driftline.shared import staged
-from driftline.sources.curated import read_curated, read_pointer, write_curated
+from driftline.sources.curated import (
+    Pointer,
+    aligned,
+    read_curated,
+    read_pointer,
+    touched_buckets,
+    write_curated,
+)
 from driftline.sources.landing import read_landed
 
 
@@ -70,7 +77,8 @@ def ingest_snapshot(
                 manifest_key=keys["manifest_key"],
                 source_read_seconds=round(time.monotonic() - began, 3),
             )
-        held = rejected.select(*ctx.contract.keys) if protect_rejected else None
+        some = protect_rejected and counts["invalid_row_count"] > 0
+        held = rejected.select(*ctx.contract.keys) if some else None
         with ctx.stage("merge_curated") as out:
             out.update(merge_landed(ctx, keys["accepted_key"], held, buckets))
         with ctx.stage("persist_checkpoint") as out:
@@ -106,39 +114,44 @@ def merge_landed(
     """
     spark, keys = ctx.spark, list(ctx.contract.keys)
     began = time.monotonic()
-    landed = read_landed(spark, ctx.path(accepted_key), ctx.contract)
     pointer = read_pointer(spark, ctx.target_root)
-    curated = read_curated(spark, ctx.target_root, pointer)
-    tag = f"xxh128:{ctx.contract.checksum}"
-    if pointer is not None and curated is not None:
-        stored = [c for c in curated.columns if c in ctx.contract.columns or c.startswith("_")]
-        curated = curated.select(*stored)
-        if pointer.hash_tag != tag:
-            curated = _under_contract(ctx, curated)
-    merged = merge_snapshot(landed, curated, keys, ctx.run_id, rejected)
-    written = write_curated(merged, ctx.target_root, keys, ctx.run_id, buckets, tag, pointer)
+    buckets = len(pointer.bucket_versions) if pointer else buckets
+    landed = read_landed(spark, ctx.path(accepted_key), ctx.contract)
+    curated = _comparable(ctx, pointer)
+    # The one shuffle of whole rows: the join and the bucketed write both keep it.
+    merged = merge_snapshot(aligned(landed, keys, buckets), curated, keys, ctx.run_id)
+    if rejected is not None and pointer is not None:
+        lost = touched_buckets(rejected.dropna("any", subset=keys), keys, buckets)
+        merged = merged.unionByName(protected_rows(landed, _comparable(ctx, pointer, lost), keys, rejected))
+    tag = _hash_tag(ctx)
+    written = write_curated(merged, ctx.target_root, keys, ctx.run_id, buckets, tag, pointer, in_place=True)
     before = pointer.row_count if pointer else 0
     counts = merge_counts(read_curated(spark, ctx.target_root, written), before).first().asDict()
     counts["total_seconds"] = round(time.monotonic() - began, 3)
     return counts
 
 
-def _under_contract(ctx: RunContext, curated: DataFrame) -> DataFrame:
-    """Curated rows under the present contract, without their stored fingerprints."""
+def _hash_tag(ctx: RunContext) -> str:
+    return f"xxh128:{ctx.contract.checksum}"
+
+
+def _comparable(ctx: RunContext, pointer: Pointer | None, buckets: list[int] | None = None) -> DataFrame | None:
+    """Curated rows, with stored fingerprints only if they were made the same way."""
+    if pointer is None:
+        return None
+    curated = read_curated(ctx.spark, ctx.target_root, pointer, buckets)
+    if pointer.hash_tag == _hash_tag(ctx):
+        return curated
     columns = [
         F.col(f"`{f.name}`").cast(f.type).alias(f.name)
         if f.name in curated.columns
         else F.lit(None).cast(f.type).alias(f.name)
         for f in ctx.contract.fields
     ]
-    meta = [c for c in ("_run_id",) if c in curated.columns]
-    return curated.select(*columns, *meta)
+    return curated.select(*columns, *[c for c in (RUN_ID,) if c in curated.columns])
 
 
 def current_rows(ctx: RunContext) -> DataFrame | None:
     """The curated table without its bookkeeping columns."""
     state = read_curated(ctx.spark, ctx.target_root)
     return None if state is None else state.select(*ctx.contract.columns)
-
-
-__all__ = ["CHANGE", "PROTECTED", "current_rows", "ingest_snapshot", "merge_landed"]

@@ -9,6 +9,7 @@ leaves the previous pointer in force.
 from __future__ import annotations
 
 import json
+import math
 from dataclasses import asdict, dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -38,6 +39,16 @@ def bucket_of(keys: list[str], buckets: int) -> Column:
     return F.pmod(F.hash(*[F.col(f"`{k}`") for k in keys]), F.lit(buckets))
 
 
+def aligned(df: DataFrame, keys: list[str], buckets: int) -> DataFrame:
+    """Shuffles by key into a multiple of the bucket count.
+
+    Spark places a row by the same hash that names its bucket, so every task then
+    holds rows of one bucket only, and a join on the keys keeps it that way.
+    """
+    shuffle = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(buckets * max(1, math.ceil(shuffle / buckets)), *keys)
+
+
 def read_pointer(spark: SparkSession, root: str) -> Pointer | None:
     """The pointer in force, or None before the first write."""
     versions = [int(n[1:-5]) for n in list_names(spark, f"{root}/pointer") if n.startswith("v")]
@@ -81,12 +92,14 @@ def write_curated(
     previous: Pointer | None = None,
     only: list[int] | None = None,
     expected_rows: int | None = None,
+    in_place: bool = False,
 ) -> Pointer:
     """Write a version and move the pointer to it.
 
     With ``only`` the frame holds the new content of just those buckets and all
     others stay where ``previous`` points. ``expected_rows`` is checked against
-    the files written before the pointer moves.
+    the files written before the pointer moves. ``in_place`` tells that each task
+    already holds rows of few buckets, so that nothing is shuffled for the write.
     """
     spark = df.sparkSession
     if previous is not None:
@@ -96,8 +109,8 @@ def write_curated(
     version = previous.version + 1 if previous else 1
     target = f"{root}/data/version={version}"
     schema = _ddl(df)
-    # Rebalance by bucket: few files per bucket, with oversized buckets split.
-    bucketed = df.withColumn(BUCKET, bucket_of(keys, buckets)).hint("rebalance", F.col(BUCKET))
+    placed = df if in_place else aligned(df, keys, buckets)
+    bucketed = placed.withColumn(BUCKET, bucket_of(keys, buckets))
     bucketed.write.mode("overwrite").partitionBy(BUCKET).parquet(target)
 
     written = spark.read.schema(f"{schema}, {BUCKET} int").parquet(target)

@@ -166,3 +166,11 @@ def test_salted_join_equals_broadcast_join(spark, how):
     salted = keyed_join(big, small, ["k"], how, limit_bytes=0, salts=4)
     assert "BroadcastHashJoin" in plain._jdf.queryExecution().executedPlan().toString()
     assert sorted(map(str, plain.collect())) == sorted(map(str, salted.collect()))
+
+
+def test_each_task_writes_one_bucket(spark, tmp_path):
+    root = str(tmp_path / "c")
+    df = spark.range(4000).select(F.col("id").alias("k"), F.lit("a").alias("v"))
+    write_curated(df, root, ["k"], "r1", buckets=4)
+    files = [n for b in range(4) for n in os.listdir(f"{root}/data/version=1/_bucket={b}") if n.endswith(".parquet")]
+    assert len(files) == 8
