@@ -20,6 +20,16 @@ _SNAPSHOT_SIZES = {"source_batch_size": 1000, "merge_load_batch_size": 1000, "up
 _APPLY_SIZES = {"apply_load_batch_size": 1000, "upsert_batch_size": 1000}
 REPLICA_IDENTITY_MODES = ("default", "full")
 
+# How the source is read: bounds of a partitioned JDBC read, and where decoded change
+# events are.
+_READ_OPTIONS = (
+    "source_partition_column",
+    "source_lower_bound",
+    "source_upper_bound",
+    "source_num_partitions",
+    "change_feed_path",
+)
+
 KINDS: dict[tuple[str, str], dict[str, Any]] = {
     ("hash_diff", "ingest"): {"required": _SOURCE, "sizes": _SNAPSHOT_SIZES},
     ("hash_diff", "replay"): {"required": _TARGET, "sizes": _SNAPSHOT_SIZES},
@@ -91,6 +101,8 @@ class RunArguments:
                 raise ValueError(f"{name} must be one of: {', '.join(sorted(allowed))}")
         if (strategy, run_mode) == ("logical_cdc", "ingest"):
             values.update(_change_log_extras(conf, values))
+        if run_mode == "ingest":
+            values.update({name: _text(conf.get(name)) for name in _READ_OPTIONS})
         if run_mode == "replay":
             values["replay_reason"] = _text(conf.get("replay_reason"))
         if (strategy, run_mode) == ("hash_diff", "replay"):

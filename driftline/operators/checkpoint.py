@@ -131,7 +131,7 @@ def checkpoint_payload(runs: DataFrame, strategy: str) -> Column:
     return F.to_json(F.struct(*members), {"ignoreNullFields": "false"})
 
 
-def checkpoint_lineage(checkpoints: DataFrame, slice_unit: str = "day") -> DataFrame:
+def checkpoint_lineage(checkpoints: DataFrame, slice_unit: str = "hour") -> DataFrame:
     """Adds the run id and time of each pipeline's previous checkpoint.
 
     Rows are ordered within slices of time; only the last row of each slice is

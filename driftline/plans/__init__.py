@@ -5,5 +5,14 @@ from driftline.plans.change_log import ingest_change_log
 from driftline.plans.replay import replay
 from driftline.plans.run import Ledger, RunContext
 from driftline.plans.snapshot import ingest_snapshot
+from driftline.plans.submit import submit
 
-__all__ = ["Ledger", "RunContext", "ingest_audit_log", "ingest_change_log", "ingest_snapshot", "replay"]
+__all__ = [
+    "Ledger",
+    "RunContext",
+    "ingest_audit_log",
+    "ingest_change_log",
+    "ingest_snapshot",
+    "replay",
+    "submit",
+]

@@ -14,9 +14,11 @@ from dataclasses import asdict, dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from driftline.shared import list_names, write_text
+from driftline.shared import list_names, scan_bytes, write_text
 
 BUCKET = "_bucket"
+# Input bytes per shuffled partition; landed lines are compressed about tenfold.
+_PARTITION_BYTES = 16 * 1024 * 1024
 _POINTER_DDL = (
     "version bigint, run_id string, hash_tag string, keys array<string>, schema string, "
     "row_count bigint, bucket_versions array<bigint>, bucket_rows array<bigint>"
@@ -46,7 +48,9 @@ def aligned(df: DataFrame, keys: list[str], buckets: int) -> DataFrame:
     holds rows of one bucket only, and a join on the keys keeps it that way.
     """
     shuffle = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(buckets * max(1, math.ceil(shuffle / buckets)), *keys)
+    # Small inputs take fewer partitions; the setting bounds large or unknown sizes.
+    wanted = min(shuffle, math.ceil(scan_bytes(df) / _PARTITION_BYTES))
+    return df.repartition(buckets * max(1, math.ceil(wanted / buckets)), *keys)
 
 
 def read_pointer(spark: SparkSession, root: str) -> Pointer | None:

@@ -33,7 +33,7 @@ def read_table(spark: SparkSession, source: Source, table: str) -> DataFrame:
     """One table of a source; JDBC reads are split over ``partition_column``."""
     reader = spark.read.options(**source.options)
     if source.format != "jdbc":
-        return reader.format(source.format).load(f"{source.path}/{table}")
+        return reader.format(source.format).load(f"{source.path}/{table}".rstrip("/"))
     reader = reader.format("jdbc").options(
         url=source.url, dbtable=table, fetchsize=str(source.fetch_size)
     )

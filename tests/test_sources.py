@@ -173,4 +173,4 @@ def test_each_task_writes_one_bucket(spark, tmp_path):
     df = spark.range(4000).select(F.col("id").alias("k"), F.lit("a").alias("v"))
     write_curated(df, root, ["k"], "r1", buckets=4)
     files = [n for b in range(4) for n in os.listdir(f"{root}/data/version=1/_bucket={b}") if n.endswith(".parquet")]
-    assert len(files) == 8
+    assert len(files) == 4
