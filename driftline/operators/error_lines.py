@@ -72,12 +72,13 @@ def normalize_error_lines(
     # Only the search for broken lines checks the syntax. In an artifact without one,
     # every line that opens an object is an object.
     objects = read.filter(F.col("_text").startswith("{"))
-    place = F.struct(*position)
-    broken = read.filter(~is_json(F.col("_text"))).groupBy(*artifact).agg(F.min(place).alias("_broken"))
+    valid = is_json(F.col("_text"))
     if limit is None:
-        dropped = broken.select(*artifact)
+        dropped = read.groupBy(*artifact).agg(F.max(~valid).alias("_broken")).filter("_broken").select(*artifact)
         kept = objects
     else:
+        place = F.struct(*position)
+        broken = read.filter(~valid).groupBy(*artifact).agg(F.min(place).alias("_broken"))
         kept = _first_lines(objects, artifact, position, limit)
         last = kept.filter(F.col("_rank") == limit).select(*artifact, place.alias("_last"))
         # A broken line may open like an object and take a rank. It then stands at or
