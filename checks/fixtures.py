@@ -388,7 +388,10 @@ def frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         df = df.where(condition)
     if grouping:
         return df.groupBy(F.expr(columns[0])).agg(*[F.expr(c) for c in columns[1:]])
-    return df.selectExpr(*columns)
+    rows = df.selectExpr(*columns)
+    # date_trunc yields a zoned time; the tables, and the oracle, have times without a zone.
+    zoned = [name for name, kind in rows.dtypes if kind == "timestamp"]
+    return rows.withColumns({name: F.col(name).cast("timestamp_ntz") for name in zoned}) if zoned else rows
 
 
 def sql_of(name: str) -> str:
