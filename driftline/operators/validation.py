@@ -44,8 +44,11 @@ def validate(
         scope = None if field.name in contract.keys else rules_when
         rules += _field_rules(field, types[field.name], field.name in contract.keys, scope)
     if unique_keys:
-        keys = list(contract.keys)
-        rows = keyed_join(rows, duplicate_keys(df, contract), keys, "left")
+        # Keys are compared as typed: the texts "1" and "01" are one bigint.
+        typed = {f"_key_{f.name}": _typed(f, types[f.name]) for f in contract.fields if f.name in contract.keys}
+        rows = rows.withColumns(typed)
+        keys = df.select(*[value.alias(name) for name, value in typed.items()])
+        rows = keyed_join(rows, duplicate_keys(keys), list(typed), "left")
         copies = F.col("_copies")
         rules.append(
             _Rule(
@@ -53,7 +56,7 @@ def validate(
                 "$",
                 "duplicate_key",
                 "key occurs more than once",
-                "unique=" + ",".join(keys),
+                "unique=" + ",".join(contract.keys),
                 copies.cast("string"),
             )
         )
@@ -72,16 +75,14 @@ def validate(
     )
 
 
-def duplicate_keys(df: DataFrame, contract: Contract) -> DataFrame:
+def duplicate_keys(keys: DataFrame) -> DataFrame:
     """Keys that occur more than once, with their count, written to the shared folder.
 
     Copies are counted before the shuffle, so a key holding a third of the rows
     costs one partial count per task.
     """
-    keys = list(contract.keys)
-    present = df.select(*keys).dropna("any")
-    counted = present.groupBy(*keys).agg(F.count("*").alias("_copies")).filter("_copies > 1")
-    return staged(counted, "duplicate-keys")
+    counted = keys.dropna("any").groupBy(*keys.columns).agg(F.count("*").alias("_copies"))
+    return staged(counted.filter("_copies > 1"), "duplicate-keys")
 
 
 @dataclass(frozen=True)

@@ -63,6 +63,13 @@ def test_every_copy_of_a_key_is_rejected(spark):
     assert sorted(found) == ["duplicate_key", "duplicate_key", "null_key", "null_key"]
 
 
+def test_keys_are_compared_as_typed(spark):
+    df = spark.createDataFrame([("1", 1, "a"), ("01", 1, "a"), ("2", 1, "a"), ("x", 1, "a")], "k string, n int, s string")
+    out = validate(df, CONTRACT)
+    assert [r["k"] for r in split_accepted(out)[0].collect()] == [2]
+    assert sorted(r["code"] for r in explode_errors(out).collect()) == ["duplicate_key", "duplicate_key", "type"]
+
+
 def test_rules_when_spares_deletes(spark):
     df = spark.createDataFrame([(1, None, None, "D"), (2, None, "a", "U")], "k bigint, n int, s string, op string")
     out = validate(df, CONTRACT, unique_keys=False, rules_when=F.col("op") != "D")
