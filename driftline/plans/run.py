@@ -18,7 +18,7 @@ from driftline.operators.error_lines import normalize_error_lines, write_stage_e
 from driftline.operators.ledger import COUNTS, EXPECTED_TASKS, EXTRACT_STAGES, fold_runs, latest_stages
 from driftline.operators.metrics import enrich_metrics
 from driftline.operators.validation import ValidationFailed
-from driftline.shared import list_names, write_text
+from driftline.shared import list_names, scratch_scope, write_text
 from driftline.sources.landing import (
     artifact_keys,
     land_accepted,
@@ -252,10 +252,11 @@ def land(
 def recorded_run(ctx: RunContext, apply_stage: str) -> Iterator[None]:
     """Opens the run, and closes it with the outcome of its stages whatever happens."""
     ctx.start()
-    try:
-        yield
-    finally:
-        _close(ctx, apply_stage)
+    with scratch_scope(ctx.spark):
+        try:
+            yield
+        finally:
+            _close(ctx, apply_stage)
 
 
 def _close(ctx: RunContext, apply_stage: str) -> None:

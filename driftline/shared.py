@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 _SALTS = 32
 _local_fallback: str | None = None
+_scope = threading.local()
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -28,11 +32,30 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh folder in the shared folder, removed when the application ends."""
-    folder = f"{shared_folder(spark)}/driftline/{label}-{uuid.uuid4().hex}"
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
-    return folder
+    """A fresh path in the shared folder, removed with all others when the application ends."""
+    own = f"{shared_folder(spark)}/driftline/{spark.sparkContext.applicationId}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(own)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    fresh = f"{own}/{label}-{uuid.uuid4().hex}"
+    if getattr(_scope, "paths", None) is not None:
+        _scope.paths.append(fresh)
+    return fresh
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Removes at its end what was staged inside it, so long-lived jobs keep no leftovers."""
+    outer = getattr(_scope, "paths", None)
+    _scope.paths = []
+    try:
+        yield
+    finally:
+        for name in _scope.paths:
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        _scope.paths = outer
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:

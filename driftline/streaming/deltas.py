@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from driftline.operators.validation import REJECTED, quarantine_counts, quarantine_transactions, validate
 from driftline.plans.deltas import apply_compacted, last_events
 from driftline.plans.run import RunContext
-from driftline.shared import keyed_join, staged
+from driftline.shared import keyed_join, scratch_scope, staged
 from driftline.sources.curated import read_pointer
 
 
@@ -43,8 +43,9 @@ def stream_deltas(
         pointer = read_pointer(ctx.spark, ctx.target_root)
         if pointer is not None and _batch_of(pointer.run_id, ctx.run_id) >= batch_id:
             return
-        events = _closed_transactions(ctx, batch, batch_id, checkpoint, commit)
-        _apply_batch(ctx, events, name, buckets)
+        with scratch_scope(ctx.spark):
+            events = _closed_transactions(ctx, batch, batch_id, checkpoint, commit)
+            _apply_batch(ctx, events, name, buckets)
 
     writer = source.writeStream.foreachBatch(one_batch).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()

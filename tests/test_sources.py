@@ -17,7 +17,15 @@ from driftline.sources.landing import (
     write_manifest,
 )
 from driftline.operators.replay import manifest_key_of
-from driftline.shared import broadcast_limit, keyed_join, scan_bytes, shared_folder, staged, write_text
+from driftline.shared import (
+    broadcast_limit,
+    keyed_join,
+    scan_bytes,
+    scratch_scope,
+    shared_folder,
+    staged,
+    write_text,
+)
 
 ROWS = Contract(
     "r",
@@ -158,6 +166,14 @@ def test_staged_tables_live_in_the_shared_folder(spark):
     assert 0 < scan_bytes(table) < broadcast_limit(spark)
 
 
+def test_a_scope_removes_what_it_staged(spark):
+    outside = staged(spark.range(3), "out").inputFiles()[0].removeprefix("file://")
+    with scratch_scope(spark):
+        inside = staged(spark.range(3), "in").inputFiles()[0].removeprefix("file://")
+        assert os.path.exists(inside)
+    assert os.path.exists(outside) and not os.path.exists(inside)
+
+
 @pytest.mark.parametrize("how", ["left", "left_anti", "left_semi", "inner"])
 def test_salted_join_equals_broadcast_join(spark, how):
     big = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("k"), "id").repartition(6)
