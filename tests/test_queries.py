@@ -5,8 +5,8 @@ import pytest
 import __spark_entry__ as entry_point
 from checks.compare import compare
 
-QUERIES = entry_point.queries()
-SQL = entry_point.oracle_sql()
+QUERIES = {name: run for name, (run, _) in entry_point.ENGINE.items()}
+SQL = {name: sql for name, (_, sql) in entry_point.ENGINE.items() if sql}
 
 
 def test_every_query_has_sql():
