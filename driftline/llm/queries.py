@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from driftline.llm import url_filter
+from driftline.llm import simhash, url_filter
 from driftline.llm.common import table
 
 # Fixed values of the rule set: host, path, verdict.
@@ -48,7 +48,15 @@ SELECT page_id, host, path,
 FROM judged
 """
 
+def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
 #: Name: (query, SQL or None).
 QUERIES = {
     "op1_url_filter": (op1_url_filter, _OP1),
+    "op10_simhash_dedup": (op10_simhash_dedup, None),
 }
