@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from driftline.llm import simhash, url_filter
+from driftline.llm import simhash, toxicity, url_filter
 from driftline.llm.common import table
 
 # Fixed values of the rule set: host, path, verdict.
@@ -55,8 +55,22 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit_held_in(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score_documents(docs, model).select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id"), 4, 2).alias("held_out"),
+        "score",
+        "predicted",
+        "n_sentences",
+        F.size("offending").alias("n_offending"),
+    )
+
+
 #: Name: (query, SQL or None).
 QUERIES = {
     "op1_url_filter": (op1_url_filter, _OP1),
+    "op9_toxicity": (op9_toxicity, None),
     "op10_simhash_dedup": (op10_simhash_dedup, None),
 }
