@@ -25,3 +25,8 @@ def parts_for(spark: SparkSession, rows: int, per_part: int) -> int:
 def bucket_of(key: Column, salt: int, parts: int) -> Column:
     """A reproducible remainder of a column's 64-bit hash."""
     return F.pmod(F.xxhash64(key, F.lit(salt)), F.lit(parts))
+
+
+def held_out(doc_id: Column, folds: int, fold: int) -> Column:
+    """Whether crc32 of an id's text falls on the fold that no fit may learn from."""
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds == fold, F.lit(False))

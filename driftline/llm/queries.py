@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from driftline.llm import simhash, toxicity, url_filter
-from driftline.llm.common import table
+from driftline.llm import language, simhash, toxicity, url_filter
+from driftline.llm.common import held_out, table
 
 # Fixed values of the rule set: host, path, verdict.
 URL_RULES = [
@@ -55,12 +55,20 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    kept_back = held_out(F.col("doc_id"), 3, 1)
+    model = language.train(language.training_rows(docs.where(~kept_back)))
+    found = language.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", kept_back.alias("held_out"), "lang_pred", "score")
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit_held_in(docs, table(spark, sf_dir, "labels"))
     return toxicity.score_documents(docs, model).select(
         "doc_id",
-        toxicity.held_out(F.col("doc_id"), 4, 2).alias("held_out"),
+        held_out(F.col("doc_id"), 4, 2).alias("held_out"),
         "score",
         "predicted",
         "n_sentences",
@@ -71,6 +79,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 #: Name: (query, SQL or None).
 QUERIES = {
     "op1_url_filter": (op1_url_filter, _OP1),
+    "op4_language_id": (op4_language_id, None),
     "op9_toxicity": (op9_toxicity, None),
     "op10_simhash_dedup": (op10_simhash_dedup, None),
 }

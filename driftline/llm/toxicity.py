@@ -17,6 +17,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from driftline.llm.common import held_out
 from driftline.shared import staged
 
 #: Most labelled documents that the fit reads, spread evenly over all by a hash of their id.
@@ -184,11 +185,6 @@ def score_documents(docs: DataFrame, model: ToxicityModel, threshold: float = TH
     return plain.mapInPandas(run, f"{kept}, {extra}")
 
 
-def held_out(doc_id, folds: int, fold: int):
-    """Whether crc32 of an id's text falls on the fold that no fit may learn from."""
-    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds == fold, F.lit(False))
-
-
 def fit_held_in(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_DOCS) -> ToxicityModel:
     """The model learnt from the labels of all folds of four but number 2."""
     return train(labelled(docs, labels.where(~held_out(F.col("doc_id"), 4, 2)), limit))
