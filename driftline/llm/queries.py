@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from driftline.llm import language, simhash, toxicity, url_filter
+from driftline.llm import language, pieces, simhash, toxicity, url_filter
 from driftline.llm.common import held_out, table
 
 # Fixed values of the rule set: host, path, verdict.
@@ -63,6 +63,16 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", kept_back.alias("held_out"), "lang_pred", "score")
 
 
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = pieces.encode_documents(table(spark, sf_dir, "documents"), with_decoded=True)
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_pieces"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit_held_in(docs, table(spark, sf_dir, "labels"))
@@ -80,6 +90,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_url_filter": (op1_url_filter, _OP1),
     "op4_language_id": (op4_language_id, None),
+    "op5_sentencepiece": (op5_sentencepiece, None),
     "op9_toxicity": (op9_toxicity, None),
     "op10_simhash_dedup": (op10_simhash_dedup, None),
 }
