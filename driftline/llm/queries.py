@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from driftline.llm import language, pieces, secrets, simhash, toxicity, url_filter
+from driftline.llm import language, licenses, pieces, secrets, simhash, toxicity, url_filter
 from driftline.llm.common import held_out, table
 
 # Fixed values of the rule set: host, path, verdict.
@@ -55,6 +55,47 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_report(table(spark, sf_dir, "documents"))
+
+
+def _license_sql() -> str:
+    """Every word of every template votes for the place where the template would begin."""
+    rows = []
+    for n, t in enumerate(licenses.BASE_TEMPLATES + licenses.NOTICES):
+        key = range(t.key_at, t.key_at + len(t.key.split()))
+        for at, word in enumerate(t.words):
+            rows.append(f"({n}, '{t.label}', {t.base}, {t.least}, {len(t.words)}, {len(key)}, {at}, '{word}', {at in key})")
+    return f"""
+WITH posting(t, label, base, least, n, n_key, place, word, in_key) AS (VALUES {", ".join(rows)}),
+texts AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+') AS words
+  FROM documents
+), placed AS (
+  SELECT r, unnest(words) AS word, generate_subscripts(words, 1) - 1 AS pos FROM texts
+), hits AS (
+  SELECT r, t, any_value(label) AS label, any_value(base) AS base, pos - place AS start,
+    count(*) / any_value(n)::DOUBLE AS cover
+  FROM placed JOIN posting USING (word)
+  GROUP BY r, t, pos - place
+  HAVING count(*) FILTER (in_key) = any_value(n_key) AND count(*) / any_value(n)::DOUBLE >= any_value(least)
+), per AS (
+  SELECT r, count(*) FILTER (base) AS n_base, min(start) FILTER (base) AS first_word,
+    max(start) FILTER (base) AS last_word,
+    array_to_string(list_sort(list_distinct(list(label) FILTER (base))), ',') AS base_labels,
+    array_to_string(list_sort(list_distinct(list(label))), ',') AS labels, max(cover) AS score
+  FROM hits GROUP BY r
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base,
+  first_word::BIGINT AS first_word, last_word::BIGINT AS last_word,
+  coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+  coalesce(score, 0.0)::DOUBLE AS score
+FROM texts LEFT JOIN per USING (r)
+"""
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     kept_back = held_out(F.col("doc_id"), 3, 1)
@@ -102,6 +143,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 #: Name: (query, SQL or None).
 QUERIES = {
     "op1_url_filter": (op1_url_filter, _OP1),
+    "op2_license_scan": (op2_license_scan, _license_sql()),
     "op4_language_id": (op4_language_id, None),
     "op5_sentencepiece": (op5_sentencepiece, None),
     "op6_secret_scan": (op6_secret_scan, None),
