@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from driftline.llm import language, licenses, pieces, secrets, simhash, toxicity, url_filter
+from driftline.llm import embeddings, language, licenses, pieces, secret_scan, simhash, toxicity, url_filter
 from driftline.llm.common import held_out, table
 
 # Fixed values of the rule set: host, path, verdict.
@@ -115,18 +115,22 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secrets.find_secrets(table(spark, sf_dir, "documents"))
+    found = secret_scan.find_secrets(table(spark, sf_dir, "documents"))
     spans = F.col("spans")
     return found.select(
         "doc_id",
-        *[secrets.count_kind(F.col("base"), k).alias(f"n_{k}") for k in secrets.BASE_KINDS],
-        F.sha2(secrets.spans_text(F.col("base")), 256).alias("base_sha256"),
-        secrets.spans_text(spans).alias("spans"),
+        *[secret_scan.count_kind(F.col("base"), k).alias(f"n_{k}") for k in secret_scan.BASE_KINDS],
+        F.sha2(secret_scan.spans_text(F.col("base")), 256).alias("base_sha256"),
+        secret_scan.spans_text(spans).alias("spans"),
         F.size(F.filter(spans, lambda s: s["live"])).cast("long").alias("n_live"),
         F.size(F.filter(spans, lambda s: ~s["live"])).cast("long").alias("n_example"),
     )
 
 
+def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit_held_in(docs, table(spark, sf_dir, "labels"))
@@ -147,6 +151,7 @@ QUERIES = {
     "op4_language_id": (op4_language_id, None),
     "op5_sentencepiece": (op5_sentencepiece, None),
     "op6_secret_scan": (op6_secret_scan, None),
+    "op8_embedding_dedup": (op8_embedding_dedup, None),
     "op9_toxicity": (op9_toxicity, None),
     "op10_simhash_dedup": (op10_simhash_dedup, None),
 }
