@@ -8,6 +8,10 @@ import string
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
+#: A word: ASCII letters and digits, and every character beyond ASCII.
+WORD = r"[0-9A-Za-z\x{80}-\x{10FFFF}]+"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -17,6 +21,10 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
 
 
+def words_of(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
+
+
 def parts_for(spark: SparkSession, rows: int, per_part: int) -> int:
     """Partitions for so many rows: grows with them, and never under the session's own number."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(rows / per_part))

@@ -14,9 +14,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from driftline.llm.common import ascii_lower
+from driftline.llm.common import WORD, ascii_lower, words_of
 
-_WORD = r"[0-9A-Za-z\x{80}-\x{10FFFF}]+"
 _HIT = "array<struct<label:string,start:int,cover:double,base:boolean>>"
 
 
@@ -61,10 +60,6 @@ NOTICES = [
 ]
 
 
-def words_of(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(_WORD), F.lit(0))
-
-
 def word_frequencies(docs: DataFrame, templates: list[Template]) -> tuple[int, dict[str, int]]:
     """How many files there are, and in how many each template word stands.
 
@@ -97,7 +92,7 @@ def scan_licenses(docs: DataFrame, templates: list[Template] | None = None) -> D
     text = F.coalesce("text", F.lit(""))
     looked_up = {t: rarest_place(t, idf) for t in templates}
     rare = sorted({t.words[at] for t, at in looked_up.items()})
-    sign = f"(?i)(?<!{_WORD[:-1]})(?:{'|'.join(rare)})(?!{_WORD[:-1]})"
+    sign = f"(?i)(?<!{WORD[:-1]})(?:{'|'.join(rare)})(?!{WORD[:-1]})"
     plain = docs.select("doc_id", text.alias("text"))
     counted = plain.select(
         "doc_id",

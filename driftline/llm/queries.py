@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from driftline.llm import embeddings, language, licenses, pieces, secret_scan, simhash, toxicity, url_filter
+from driftline.llm import decontamination, embeddings, language, licenses, pieces, secret_scan, simhash, toxicity, url_filter
 from driftline.llm.common import held_out, table
 
 # Fixed values of the rule set: host, path, verdict.
@@ -127,6 +127,11 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    leaks = decontamination.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return leaks.select("doc_id", "item_id", "start_word", "similarity")
+
+
 def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
 
@@ -151,6 +156,7 @@ QUERIES = {
     "op4_language_id": (op4_language_id, None),
     "op5_sentencepiece": (op5_sentencepiece, None),
     "op6_secret_scan": (op6_secret_scan, None),
+    "op7_decontamination": (op7_decontamination, None),
     "op8_embedding_dedup": (op8_embedding_dedup, None),
     "op9_toxicity": (op9_toxicity, None),
     "op10_simhash_dedup": (op10_simhash_dedup, None),
