@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from driftline.llm import decontamination, embeddings, language, licenses, pieces, secret_scan, simhash, toxicity, url_filter
+from driftline.llm import decontamination, embeddings, language, licenses, pieces, secret_scan, simhash, suffix_dedup, toxicity, url_filter
 from driftline.llm.common import held_out, table
 
 # Fixed values of the rule set: host, path, verdict.
@@ -96,6 +96,10 @@ FROM texts LEFT JOIN per USING (r)
 """
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     kept_back = held_out(F.col("doc_id"), 3, 1)
@@ -153,6 +157,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_url_filter": (op1_url_filter, _OP1),
     "op2_license_scan": (op2_license_scan, _license_sql()),
+    "op3_suffix_dedup": (op3_suffix_dedup, None),
     "op4_language_id": (op4_language_id, None),
     "op5_sentencepiece": (op5_sentencepiece, None),
     "op6_secret_scan": (op6_secret_scan, None),
