@@ -318,30 +318,32 @@ def _coder(model: dict) -> PieceCoder:
 _TEXTS = 2000
 
 
-def encode_documents(docs: DataFrame, path: str = MODEL, with_decoded: bool = False) -> DataFrame:
-    """(doc_id, ids), and with ``with_decoded`` also (decoded), for every row of ``docs``.
+def encode_documents(
+    docs: DataFrame, path: str = MODEL, with_decoded: bool = False, keep: list[str] | None = None
+) -> DataFrame:
+    """(doc_id, ids), then with ``with_decoded`` (decoded), then ``keep``, for every row of ``docs``.
 
     Whole texts are encoded; a null or empty text has no ids and decodes to the empty text.
     Blanks, line ends and repeated rows stay as they are. The word mark itself, U+2581,
-    decodes to a blank, as the model defines. Other columns are not read.
+    decodes to a blank, as the model defines. Columns not named in ``keep`` are not read.
     """
     spark = docs.sparkSession
     sent = spark.sparkContext.broadcast(read_model(spark, path))
-    kind = dict(docs.dtypes)["doc_id"]
+    kept = docs.select("doc_id", *(keep or []))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         coder = _coder(sent.value)
         for rows in batches:
             for at in range(0, len(rows), _TEXTS):
-                part = rows.iloc[at : at + _TEXTS]
-                ids = coder.encode([t or "" for t in part["text"]])
-                out = pd.DataFrame({"doc_id": part["doc_id"].to_numpy(), "ids": ids})
+                part = rows.iloc[at : at + _TEXTS].copy()
+                part["ids"] = coder.encode([t or "" for t in part.pop("text")])
                 if with_decoded:
-                    out["decoded"] = [coder.decode(i) for i in ids]
-                yield out
+                    part["decoded"] = [coder.decode(i) for i in part["ids"]]
+                yield part
 
-    shape = f"doc_id {kind}, ids array<int>" + (", decoded string" if with_decoded else "")
-    return docs.select("doc_id", "text").mapInPandas(run, shape)
+    shape = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
+    shape += ", ids array<int>" + (", decoded string" if with_decoded else "")
+    return docs.select(*kept.columns, "text").mapInPandas(run, shape)
 
 
 def decode_ids(encoded: DataFrame, path: str = MODEL) -> DataFrame:
