@@ -21,6 +21,13 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
 
 
+def packed(docs: DataFrame, **extra: Column) -> DataFrame:
+    """The rows whole, in one column ``row``, beside ``extra``: no name of theirs can clash."""
+    return docs.select(
+        F.struct(*docs.columns).alias("row"), *[column.alias(name) for name, column in extra.items()]
+    )
+
+
 def words_of(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
 

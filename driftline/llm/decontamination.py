@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from driftline.llm.common import ascii_lower, words_of
+from driftline.llm.common import ascii_lower, packed, words_of
 from driftline.shared import keyed_join, staged
 
 SHINGLE_WORDS = 5
@@ -165,4 +165,5 @@ def find_leaks(
 def remove_leaking(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The documents in which no item of the benchmark stands."""
     leaking = staged(find_leaks(docs, benchmark, **options).select("row_key").distinct(), "leaking")
-    return keyed_join(docs.withColumn("row_key", _row_key(docs)), leaking, ["row_key"], "left_anti").select(*docs.columns)
+    rows = packed(docs, row_key=_row_key(docs))
+    return keyed_join(rows, leaking, ["row_key"], "left_anti").select("row.*")

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from driftline.llm.common import packed
 from driftline.shared import keyed_join, staged
 
 #: A value that at least so many owners publish is an example.
@@ -157,11 +158,12 @@ def redact(docs: DataFrame, **options) -> DataFrame:
     bad = found.select(
         F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.array_sort(values).alias("_values")
     ).where("size(_values) > 0").distinct()
-    same = docs["doc_id"].eqNullSafe(bad["_id"]) & (F.xxhash64(docs["text"]) == bad["_hash"])
+    rows = packed(docs, id=F.col("doc_id"), hash=F.xxhash64("text"))
+    same = rows["id"].eqNullSafe(bad["_id"]) & (rows["hash"] == bad["_hash"])
     # Longer values first, so that none is cut by a shorter one inside it.
-    clean = F.aggregate("_values", docs["text"], lambda t, v: F.replace(t, v["v"], F.lit(REDACTED)))
-    out = docs.join(bad, same, "left").withColumn("text", F.when(F.col("_values").isNull(), F.col("text")).otherwise(clean))
+    clean = F.aggregate("_values", F.col("row.text"), lambda t, v: F.replace(t, v["v"], F.lit(REDACTED)))
+    row = F.col("row").withField("text", clean)
     if "n_chars" in docs.columns:
-        changed = F.length("text").cast(dict(docs.dtypes)["n_chars"])
-        out = out.withColumn("n_chars", F.when(F.col("_values").isNull(), F.col("n_chars")).otherwise(changed))
-    return out.select(*docs.columns)
+        row = row.withField("n_chars", F.length(clean).cast(dict(docs.dtypes)["n_chars"]))
+    out = rows.join(bad, same, "left")
+    return out.select(F.when(F.col("_values").isNull(), F.col("row")).otherwise(row).alias("row")).select("row.*")

@@ -17,6 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from driftline.llm import block_tree
+from driftline.llm.common import packed
 from driftline.llm.components import connected_components, merge_labels
 from driftline.shared import keyed_join, staged
 
@@ -187,12 +188,12 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
     chosen = marked.groupBy("root").agg(F.min(order).alias("least")).select(
         F.col("least.id").alias("_id"), F.col("least.hash").alias("_hash")
     )
-    named = docs.withColumn("_text_hash", F.xxhash64("text"))
-    same = named["doc_id"].eqNullSafe(chosen["_id"]) & (named["_text_hash"] == chosen["_hash"])
-    copies = Window.partitionBy("doc_id", "_text_hash").orderBy("_text_hash")
+    rows = packed(docs, text_hash=F.xxhash64("text"))
+    same = rows["row.doc_id"].eqNullSafe(chosen["_id"]) & (rows["text_hash"] == chosen["_hash"])
+    copies = Window.partitionBy("row.doc_id", "text_hash").orderBy("text_hash")
     return (
-        named.join(chosen, same, "left_semi")
-        .withColumn("_copy", F.row_number().over(copies))
-        .where("_copy = 1")
-        .select(*docs.columns)
+        rows.join(chosen, same, "left_semi")
+        .withColumn("copy", F.row_number().over(copies))
+        .where("copy = 1")
+        .select("row.*")
     )

@@ -27,7 +27,8 @@ _PREFIXES = (4, 5, 6)
 _SLOTS = 1 << 18
 _ROUNDS = 150
 _RATE = 0.08
-_DECAY = 1e-4
+# Strength of the pull towards zero weights, against all documents together.
+_PRIOR = 0.3
 _MIN_DOCS = 3
 _CACHE = 400_000
 
@@ -112,7 +113,7 @@ def train(sample: DataFrame) -> ToxicityModel:
 
 
 def _fit(toxic: np.ndarray, words: list, sizes: list, places: list) -> ToxicityModel:
-    """Adam on the mean noisy-or log loss with weight decay; all documents in every step.
+    """Adam on the mean noisy-or log loss with a Gaussian prior; all documents in every step.
 
     ``words[i]`` are the distinct words of document i; ``places[i]`` points into them,
     sentence after sentence, ``sizes[i]`` giving how many each sentence has.
@@ -145,7 +146,7 @@ def _fit(toxic: np.ndarray, words: list, sizes: list, places: list) -> ToxicityM
         # d loss / d z of a sentence: p for clean documents, p * (1 - 1 / chance) for toxic ones.
         slope = p * (1 - toxic / chance)[doc_of] / len(toxic)
         by_word = np.bincount(word_of, slope[sentence_of], len(forms))
-        gradient = np.append(np.bincount(pair_slot, by_word[pair_word], _SLOTS) + _DECAY * weights, slope.sum())
+        gradient = np.append(np.bincount(pair_slot, by_word[pair_word], _SLOTS) + _PRIOR / len(toxic) * weights, slope.sum())
         means = 0.9 * means + 0.1 * gradient
         squares = 0.99 * squares + 0.01 * gradient**2
         move = _RATE * (means / (1 - 0.9**step)) / (np.sqrt(squares / (1 - 0.99**step)) + 1e-8)
