@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from checks.contracts import USERS
 from checks.fixtures import frame, with_fixtures
 from checks.snapshot_queries import _context
+from driftline.contracts import Contract, FieldRule
 from driftline.functions.lsn import format_lsn, parse_lsn
 from driftline.operators.checkpoint import (
     carry_forward,
@@ -217,6 +218,73 @@ def audit_log_run(spark: SparkSession, sf: str) -> DataFrame:
     return current_rows(second)
 
 
+def audit_run_null_clock(spark: SparkSession, sf: str) -> DataFrame:
+    """A run whose clock some events lack is refused, and tells how many they are."""
+    ctx = _context(spark, USERS, "incremental_audit", scratch_path(spark, "null-clock"))
+    try:
+        ingest_audit_log(ctx, frame(spark, sf, "audit_events"), "commit_timestamp", buckets=4)
+        told = "0"
+    except ValueError as exc:
+        told = str(exc).split()[0]
+    status = ctx.ledger.runs().first()["status"]
+    return spark.range(1).select(F.lit(int(told)).cast("bigint").alias("without_clock"), F.lit(status).alias("status"))
+
+
+def delta_unknown_op(spark: SparkSession, sf: str) -> DataFrame:
+    """Events with an unknown or missing operation are rejected; the others decide the state."""
+    events = frame(spark, sf, "audit_events")
+    place = F.col("audit_id") % 10
+    odd = events.withColumn("op", F.when(place == 3, F.lower("op")).when(place != 7, F.col("op")))
+    ctx = _context(spark, USERS, "incremental_audit", scratch_path(spark, "unknown-op"))
+    ingest_audit_log(ctx, odd, buckets=4)
+    return current_rows(ctx)
+
+
+def delta_run_new_column(spark: SparkSession, sf: str) -> DataFrame:
+    """The second run's contract has one column more; rows it does not touch have NULL there."""
+    folder = scratch_path(spark, "new-column")
+    events = frame(spark, sf, "audit_events").withColumn("w", F.col("audit_id") * 2)
+    first = events.filter(F.col("recorded_at") < F.lit("2024-01-15").cast("timestamp_ntz"))
+    ingest_audit_log(_context(spark, USERS, "incremental_audit", folder), first, buckets=4)
+    wider = Contract("users", "2.0.0", (*USERS.fields, FieldRule("w", "bigint")), USERS.keys)
+    second = _context(spark, wider, "incremental_audit", folder)
+    ingest_audit_log(second, events, buckets=4)
+    return current_rows(second)
+
+
+def delta_run_wider_key(spark: SparkSession, sf: str) -> DataFrame:
+    """The second run's contract gives the key and the value other types."""
+    folder = scratch_path(spark, "wider-key")
+    events = frame(spark, sf, "audit_events")
+    first = events.filter(F.col("recorded_at") < F.lit("2024-01-15").cast("timestamp_ntz"))
+    narrow = Contract("users", "1.0.0", (FieldRule("k", "int"), FieldRule("v", "string")), USERS.keys)
+    ingest_audit_log(_context(spark, narrow, "incremental_audit", folder), first, buckets=4)
+    second = _context(spark, USERS, "incremental_audit", folder)
+    ingest_audit_log(second, events, buckets=4)
+    return current_rows(second)
+
+
+def replay_audit_run(spark: SparkSession, sf: str) -> DataFrame:
+    """A delta landed with a zoned clock, applied again: the state stays the same."""
+    folder = scratch_path(spark, "replay-audit")
+    events = frame(spark, sf, "audit_events")
+    zoned = events.withColumns({c: F.col(c).cast("timestamp") for c in ("commit_timestamp", "recorded_at")})
+    ctx = _context(spark, USERS, "incremental_audit", folder)
+    ingest_audit_log(ctx, zoned, buckets=4)
+    again = _context(spark, USERS, "incremental_audit", folder, mode="replay")
+    replay(again, ctx.keys["accepted_key"])
+    return current_rows(again)
+
+
+def quarantined_artifact(spark: SparkSession, sf: str) -> DataFrame:
+    """Valid events of bad transactions, as the run landed them beside its delta."""
+    ctx = _context(spark, USERS, "logical_cdc", scratch_path(spark, "held-events"))
+    _users_seed(spark, sf, ctx.target_root)
+    ingest_change_log(ctx, _feed(spark, sf))
+    key = ctx.results["extract_validate_land_wal_delta"]["quarantined_object_key"]
+    return spark.read.schema("seq bigint, xid bigint").json(ctx.path(key))
+
+
 def change_log_run(spark: SparkSession, sf: str) -> DataFrame:
     """One run over the whole feed, from a seeded curated table."""
     ctx = _context(spark, USERS, "logical_cdc", scratch_path(spark, "change-run"))
@@ -506,6 +574,54 @@ QUERIES = {
             QUALIFY row_number() OVER (PARTITION BY k ORDER BY recorded_at DESC, audit_id DESC) = 1 AND op <> 'D'""",
         ),
     ),
+    "audit_run_null_clock": (
+        audit_run_null_clock,
+        with_fixtures(
+            "audit_events",
+            "SELECT count(*) FILTER (commit_timestamp IS NULL) AS without_clock, 'failed' AS status FROM audit_events",
+        ),
+    ),
+    "delta_unknown_op": (
+        delta_unknown_op,
+        with_fixtures(
+            "audit_events",
+            """SELECT k, v FROM (SELECT * FROM audit_events WHERE (op = 'D' OR v >= 2) AND audit_id % 10 NOT IN (3, 7)) t
+            QUALIFY row_number() OVER (PARTITION BY k ORDER BY recorded_at DESC, audit_id DESC) = 1 AND op <> 'D'""",
+        ),
+    ),
+    "delta_run_new_column": (
+        delta_run_new_column,
+        with_fixtures(
+            "audit_events",
+            """SELECT k, v, CASE WHEN recorded_at >= TIMESTAMP '2024-01-15' THEN audit_id * 2 END AS w
+            FROM (SELECT * FROM audit_events WHERE op = 'D' OR v >= 2) t
+            QUALIFY row_number() OVER (PARTITION BY k ORDER BY recorded_at DESC, audit_id DESC) = 1 AND op <> 'D'""",
+        ),
+    ),
+    "delta_run_wider_key": (
+        delta_run_wider_key,
+        with_fixtures(
+            "audit_events",
+            """SELECT k, v FROM (SELECT * FROM audit_events WHERE op = 'D' OR v >= 2 OR recorded_at < TIMESTAMP '2024-01-15') t
+            QUALIFY row_number() OVER (PARTITION BY k ORDER BY recorded_at DESC, audit_id DESC) = 1 AND op <> 'D'""",
+        ),
+    ),
+    "replay_audit_run": (
+        replay_audit_run,
+        with_fixtures(
+            "audit_events",
+            """SELECT k, v FROM (SELECT * FROM audit_events WHERE op = 'D' OR v >= 2) t
+            QUALIFY row_number() OVER (PARTITION BY k ORDER BY recorded_at DESC, audit_id DESC) = 1 AND op <> 'D'""",
+        ),
+    ),
+    "quarantined_artifact": (
+        quarantined_artifact,
+        with_fixtures(
+            "wal_events",
+            """WITH marked AS (SELECT seq, xid, coalesce(v < 2 AND op <> 'D', false) AS bad FROM wal_events)
+            SELECT seq, xid FROM marked WHERE NOT bad AND xid IN (SELECT xid FROM marked WHERE bad)""",
+        ),
+    ),
     "change_log_run": (change_log_run, with_fixtures("wal_events cur_users", f"WITH {_RUN_DELTA} {_APPLIED}")),
     "replay_run": (replayed_run, with_fixtures("wal_events cur_users", f"WITH {_RUN_DELTA} {_APPLIED}")),
     "stream_deltas": (streamed_deltas, with_fixtures("wal_events cur_users", f"WITH {_STREAM_DELTA} {_APPLIED}")),

@@ -28,18 +28,12 @@ _PLACE = ["line_no", "line_sub", "place_a", "place_b", "place_c"]
 
 
 def normalized_lines(spark: SparkSession, sf: str) -> DataFrame:
-    rows = normalize_error_lines(frame(spark, sf, "error_lines"), ["run_id"], _PLACE)
-    return rows.select("run_id", "line_no", *_ERROR_FIELDS)
-
-
-def first_lines(spark: SparkSession, sf: str) -> DataFrame:
-    """Only the first 500 object lines of each artifact count."""
-    rows = normalize_error_lines(frame(spark, sf, "error_lines"), ["run_id"], _PLACE, limit=500)
+    rows = normalize_error_lines(frame(spark, sf, "error_lines"), ["run_id"])
     return rows.select("run_id", "line_no", *_ERROR_FIELDS)
 
 
 def _error_table(spark: SparkSession, sf: str) -> DataFrame:
-    rows = normalize_error_lines(frame(spark, sf, "error_lines"), ["run_id"], _PLACE)
+    rows = normalize_error_lines(frame(spark, sf, "error_lines"), ["run_id"])
     return rows.select(
         F.concat_ws("-", "run_id", "part", "line_no", "line_sub").alias("error_id"),
         "run_id",
@@ -142,7 +136,7 @@ def problem_rows(spark: SparkSession, sf: str) -> DataFrame:
     return problems(run_metric_rows(spark, sf), stage_metric_rows(spark, sf))
 
 
-def _lines_sql(limit: int | None) -> str:
+def _lines_sql() -> str:
     falsy = "raw IS NULL OR raw IN ('\"\"', '0', 'false', 'null', '[]', '{}')"
 
     def filled(name: str, default: str) -> str:
@@ -156,13 +150,7 @@ def _lines_sql(limit: int | None) -> str:
         return f"nullif(trim(json_extract_string(t, '$.{name}')), '') AS \"{name}\""
 
     place = ", ".join(_PLACE)
-    kept = (
-        "SELECT * FROM objects WHERE run_id NOT IN (SELECT run_id FROM lines WHERE NOT ok)"
-        if limit is None
-        else f"""SELECT * FROM objects WHERE rn <= {limit} AND run_id NOT IN (
-          SELECT b.run_id FROM lines b LEFT JOIN (SELECT run_id, max(pos) AS pos FROM objects WHERE rn = {limit} GROUP BY run_id) x
-          ON b.run_id = x.run_id WHERE NOT ok AND (x.pos IS NULL OR b.pos < x.pos))"""
-    )
+    kept = "SELECT * FROM objects WHERE run_id NOT IN (SELECT run_id FROM lines WHERE NOT ok)"
     return f"""WITH lines AS (
       SELECT *, trim(line) AS t, json_valid(line) AS ok,
         row_number() OVER (PARTITION BY run_id ORDER BY {place}) AS pos
@@ -303,17 +291,13 @@ _OUTCOME_SELECT = f"""SELECT run_id, pipeline_id, strategy, run_mode,
 QUERIES = {
     "error_lines": (
         normalized_lines,
-        with_fixtures("error_lines", f"{_lines_sql(None)} SELECT {_ERROR_SELECT} FROM errors"),
-    ),
-    "error_lines_limited": (
-        first_lines,
-        with_fixtures("error_lines", f"{_lines_sql(500)} SELECT {_ERROR_SELECT} FROM errors"),
+        with_fixtures("error_lines", f"{_lines_sql()} SELECT {_ERROR_SELECT} FROM errors"),
     ),
     "replace_stage_errors": (
         replaced_errors,
         with_fixtures(
             "error_lines",
-            f"""{_lines_sql(None)}, {_ERROR_TABLE}
+            f"""{_lines_sql()}, {_ERROR_TABLE}
             SELECT run_id, stage_name, error_id, row_number, field FROM full_errors
             WHERE NOT (stage_name = 'a' AND CAST(run_id AS INTEGER) % 4 = 0)
             UNION ALL SELECT run_id, 'a', error_id, row_number, field FROM full_errors
@@ -324,7 +308,7 @@ QUERIES = {
         error_view,
         with_fixtures(
             "error_lines",
-            f"""{_lines_sql(None)}, {_ERROR_TABLE}
+            f"""{_lines_sql()}, {_ERROR_TABLE}
             SELECT * EXCLUDE (created_at), created_at AS observed_at FROM full_errors""",
         ),
     ),

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from checks.contracts import DIRTY_LINES, EVENTS, ORDERS
 from checks.fixtures import frame, table, with_fixtures
+from driftline.contracts import Contract, FieldRule
 from driftline.functions.hashing import row_hash
 from driftline.operators.diff import ROW_HASH, change_counts, hash_diff, merge_snapshot
 from driftline.operators.validation import (
@@ -18,7 +19,7 @@ from driftline.operators.validation import (
     validate,
     validation_counts,
 )
-from driftline.plans import Ledger, RunContext, ingest_snapshot
+from driftline.plans import Ledger, RunContext, ingest_snapshot, replay
 from driftline.plans.snapshot import current_rows
 from driftline.shared import scratch_path
 from driftline.sources.curated import read_curated, write_curated
@@ -249,6 +250,19 @@ def snapshot_run(spark: SparkSession, sf: str) -> DataFrame:
     return current_rows(second)
 
 
+def replay_snapshot_run(spark: SparkSession, sf: str) -> DataFrame:
+    """A snapshot with rejected rows, merged and merged again by replay: their keys stay."""
+    folder = scratch_path(spark, "replay-snapshot")
+    last = FieldRule("o_orderpriority", "string", nullable=False)
+    strict = Contract("orders", "1.0.0", (*ORDERS.fields[:-1], last), ORDERS.keys)
+    ingest_snapshot(_context(spark, ORDERS, "hash_diff", folder), frame(spark, sf, "cur_orders"), buckets=4)
+    run = _context(spark, strict, "hash_diff", folder)
+    ingest_snapshot(run, frame(spark, sf, "src_orders"), buckets=4)
+    again = _context(spark, strict, "hash_diff", folder, mode="replay")
+    replay(again, run.keys["accepted_key"])
+    return current_rows(again)
+
+
 def snapshot_run_ledger(spark: SparkSession, sf: str) -> DataFrame:
     """Counts the ledger keeps of a first and a second snapshot run."""
     folder = scratch_path(spark, "snapshot-ledger")
@@ -437,6 +451,14 @@ QUERIES = {
         ),
     ),
     "snapshot_run": (snapshot_run, with_fixtures("src_orders", "SELECT * FROM src_orders")),
+    "replay_snapshot_run": (
+        replay_snapshot_run,
+        with_fixtures(
+            "src_orders cur_orders",
+            """SELECT * FROM src_orders WHERE o_orderpriority IS NOT NULL
+            UNION ALL SELECT c.* FROM cur_orders c JOIN src_orders s USING (o_orderkey) WHERE s.o_orderpriority IS NULL""",
+        ),
+    ),
     "snapshot_run_ledger": (
         snapshot_run_ledger,
         with_fixtures(

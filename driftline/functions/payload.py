@@ -27,7 +27,8 @@ def first_int(parsed: str, *names: str) -> Column:
 
 
 def number_or_null(member: Column) -> Column:
-    return F.try_variant_get(member, "$", "double")
+    number = F.try_variant_get(member, "$", "double")
+    return F.when(~F.isnan(number), number)
 
 
 def member_text(member: Column) -> Column:

@@ -31,6 +31,10 @@ def resolve_watermark_mode(events: DataFrame, mode: str, stored: str | None = No
         mode = "recorded_at" if unknown else "commit_timestamp"
     if stored is not None and mode != stored:
         raise ValueError(f"watermark_mode changed from {stored} to {mode}; start a new checkpoint instead")
+    # A row without the run's clock lies in no window, and would be passed over for ever.
+    without = events.filter(F.col(mode).isNull()).count()
+    if without:
+        raise ValueError(f"{without} events have no {mode}; mend them or choose another watermark_mode")
     return mode
 
 
@@ -123,10 +127,18 @@ def compact_delta(events: DataFrame, keys: list[str], order_by: list[str]) -> Da
 
 
 def apply_delta(
-    curated: DataFrame, delta: DataFrame, keys: list[str], op: str = "op", guard: bool = False
+    curated: DataFrame,
+    delta: DataFrame,
+    keys: list[str],
+    op: str = "op",
+    guard: bool = False,
+    columns: list[str] | None = None,
 ) -> DataFrame:
     """Curated state after a compacted delta: ``I`` and ``U`` upsert, ``D`` removes.
 
+    ``columns`` are those of the result, by default the curated ones; columns that only
+    one side has are NULL in rows of the other.
+
     Curated rows whose key the delta names drop out and the upserts take their
     place; a small delta is broadcast, so the curated table is not shuffled. Deleting
     an absent key does nothing, and applying a delta twice changes nothing. The
@@ -135,9 +147,12 @@ def apply_delta(
     """
     if guard:
         delta = delta.join(_outdated(curated, delta, keys), keys, "left_anti")
+    # Codes other than these three change nothing: neither do they remove a row.
+    delta = delta.filter(F.col(op).isin("I", "U", "D"))
     kept = curated.join(delta.select(*keys), keys, "left_anti")
-    upserts = delta.filter(F.col(op) != "D").select(*[c for c in delta.columns if c in curated.columns])
-    return kept.unionByName(upserts, allowMissingColumns=True).select(*curated.columns)
+    columns = columns or curated.columns
+    upserts = delta.filter(F.col(op).isin("I", "U")).select(*[c for c in delta.columns if c in columns])
+    return kept.unionByName(upserts, allowMissingColumns=True).select(*columns)
 
 
 def _outdated(curated: DataFrame, delta: DataFrame, keys: list[str]) -> DataFrame:

@@ -42,7 +42,8 @@ def hash_diff(
     contract, so they come out as ``protected`` instead of ``delete``. Leave it out
     to have them deleted.
     """
-    columns = columns or [c for c in snapshot.columns if c not in keys and c not in META]
+    # With nothing but keys, every key on both sides is unchanged.
+    columns = columns or [c for c in snapshot.columns if c not in keys and c not in META] or keys
     new = fingerprints(snapshot, keys, columns, method).withColumnRenamed(ROW_HASH, "_new")
     old = fingerprints(curated, keys, columns, method).withColumnRenamed(ROW_HASH, "_old")
     new = new.withColumn("_in_new", F.lit(True))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from driftline.functions.payload import member_int, member_text, members, strip, text_or_null
 from driftline.shared import keyed_join, staged
@@ -55,40 +55,18 @@ def error_artifact_key(payload: Column) -> Column:
     )
 
 
-def normalize_error_lines(
-    lines: DataFrame,
-    artifact: list[str],
-    position: list[str],
-    line: str = "line",
-    limit: int | None = None,
-) -> DataFrame:
+def normalize_error_lines(lines: DataFrame, artifact: list[str], line: str = "line") -> DataFrame:
     """Error rows of each artifact, parsed and with defaults filled in.
 
     Blank lines and JSON values that are not objects are passed over. One line that
-    is not JSON drops its whole artifact. With ``limit`` only the first so many
-    object lines of an artifact count, and nothing after them can drop it.
+    is not JSON drops its whole artifact.
     """
     read = lines.withColumn("_text", strip(F.col(line))).filter("_text != ''")
     # Only the search for broken lines checks the syntax. In an artifact without one,
     # every line that opens an object is an object.
-    objects = read.filter(F.col("_text").startswith("{"))
+    kept = read.filter(F.col("_text").startswith("{"))
     valid = is_json(F.col("_text"))
-    if limit is None:
-        dropped = read.groupBy(*artifact).agg(F.max(~valid).alias("_broken")).filter("_broken").select(*artifact)
-        kept = objects
-    else:
-        place = F.struct(*position)
-        broken = read.filter(~valid).groupBy(*artifact).agg(F.min(place).alias("_broken"))
-        kept = _first_lines(objects, artifact, position, limit)
-        last = kept.filter(F.col("_rank") == limit).select(*artifact, place.alias("_last"))
-        # A broken line may open like an object and take a rank. It then stands at or
-        # before the last ranked place, where it drops the artifact anyway.
-        dropped = (
-            broken.join(last, artifact, "left")
-            .filter(F.col("_last").isNull() | (F.col("_broken") <= F.col("_last")))
-            .select(*artifact)
-        )
-        kept = kept.drop("_rank")
+    dropped = read.groupBy(*artifact).agg(F.max(~valid).alias("_broken")).filter("_broken").select(*artifact)
     # Dropped artifacts are few; the lines are parsed where they were read, so an
     # artifact with most of the lines is not parsed by one task.
     kept = keyed_join(kept, staged(dropped, "broken-artifacts"), artifact, "left_anti")
@@ -108,20 +86,6 @@ def normalize_error_lines(
     )
 
 
-def _first_lines(objects: DataFrame, artifact: list[str], position: list[str], limit: int) -> DataFrame:
-    """The first ``limit`` lines of each artifact with their rank.
-
-    Ranking stops at the limit in every task before anything is shuffled, first per
-    slice of an artifact, then over what the slices kept.
-    """
-    sliced = objects.withColumn("_slice", F.pmod(F.spark_partition_id(), F.lit(64)))
-    within = Window.partitionBy(*artifact, "_slice").orderBy(*position)
-    some = sliced.withColumn("_rank", F.row_number().over(within)).filter(F.col("_rank") <= limit)
-    over = Window.partitionBy(*artifact).orderBy(*position)
-    ranked = some.drop("_rank", "_slice").withColumn("_rank", F.row_number().over(over))
-    return ranked.filter(F.col("_rank") <= limit)
-
-
 def _or_default(name: str, default: str) -> Column:
     """Text of a member; absent, null and empty values of any type become the default."""
     text = F.col(f"_{name}")

@@ -70,7 +70,8 @@ def fold_runs(events: DataFrame) -> DataFrame:
     identity = ["pipeline_id", "strategy", "run_mode", "contract_id", "version", "checksum"]
     start = F.min_by(F.struct(*identity, F.col("at").alias("started_at")), F.when(started, F.col("at")))
     outcome = F.struct(F.col("at").alias("finished_at"), *COUNTS, "status", "metrics_json", "error_text")
-    finish = F.max_by(outcome, F.when(F.col("event") == "finish", F.col("at")))
+    # Records of one instant are told apart by what they say.
+    finish = F.max_by(outcome, F.when(F.col("event") == "finish", F.struct("at", "status", "metrics_json")))
     folded = events.groupBy("run_id").agg(start.alias("s"), finish.alias("f")).filter("s is not null")
     zero = F.lit(0).cast("bigint")
     return folded.select(
@@ -130,21 +131,27 @@ def _count(payload: Column, key: str) -> Column:
     return F.get_json_object(payload, f"$.{key}").try_cast("bigint")
 
 
-def run_outcomes(runs: DataFrame, results: DataFrame, stages: DataFrame) -> DataFrame:
+def run_outcomes(runs: DataFrame, results: DataFrame, stages: DataFrame, at: str | None = None) -> DataFrame:
     """Status, counts and error text each run is closed with.
 
     ``results`` holds one payload per finished task, ``stages`` the latest record
     of every stage. A missing task fails the run; its counts come from what did
-    finish. The extract payload is the task's result, else the stage record's.
+    finish. The extract payload is the task's result, else the stage record's. ``at``
+    names the time of a result: of several of one task the last counts.
     """
     task = F.col("task_id")
     ingest = F.col("run_mode") == "ingest"
+    order = F.col("payload") if at is None else F.struct(at, "payload")
+
+    def last(which: Column) -> Column:
+        return F.max_by(F.col("payload"), F.when(which, order))
+
     by_run = results.filter(task.isin(_KNOWN_TASKS)).groupBy("run_id").agg(
         F.collect_set("task_id").alias("_done"),
-        F.max(F.when(task.isin(_EXTRACTS), F.col("payload"))).alias("_extract_result"),
-        F.max(F.when(task.isin(_APPLIES), F.col("payload"))).alias("_applied"),
-        F.max(F.when(task.isin(_REPLAYS), F.col("payload"))).alias("_replayed"),
-        F.max(F.when(task == "persist_checkpoint_task", F.col("payload"))).alias("_checkpoint"),
+        last(task.isin(_EXTRACTS)).alias("_extract_result"),
+        last(task.isin(_APPLIES)).alias("_applied"),
+        last(task.isin(_REPLAYS)).alias("_replayed"),
+        last(task == "persist_checkpoint_task").alias("_checkpoint"),
     )
     records = (
         stages.filter(F.col("stage_name").isin(_EXTRACTS))

@@ -100,6 +100,16 @@ def problem_summary(payloads: DataFrame, payload: str = "payload") -> DataFrame:
     return _parsed(payloads, payload).select(*payloads.columns, _problem_struct().alias("problem_summary"))
 
 
+def _members(payload: Column) -> Column:
+    """All members of a payload; of members with one name the last counts."""
+    pairs = F.map_entries(F.from_json(payload, "map<string,variant>"))
+
+    def later(pair: Column, place: Column) -> Column:
+        return F.exists(F.slice(pairs, place + 2, F.size(pairs)), lambda other: other["key"] == pair["key"])
+
+    return F.map_from_entries(F.filter(pairs, lambda pair, place: ~later(pair, place)))
+
+
 def enrich_metrics(
     payloads: DataFrame,
     payload: str = "payload",
@@ -116,7 +126,7 @@ def enrich_metrics(
     empty = F.from_json(F.lit("{}"), "map<string,variant>")
     read = _parsed(payloads, payload).withColumns(
         {
-            "_members": F.coalesce(F.from_json(F.col(payload), "map<string,variant>"), empty),
+            "_members": F.coalesce(_members(F.col(payload)), empty),
             "_summary": _problem_struct(),
             **{f"_{name}": value for name, value in _rate_columns().items()},
         }

@@ -14,6 +14,9 @@ from driftline.contracts import Contract, FieldRule
 from driftline.shared import keyed_join, staged
 from driftline.sources.landing import ERROR_DDL
 
+# Insert, update, delete.
+OPERATIONS = ("I", "U", "D")
+
 VIOLATIONS = "_violations"
 REJECTED = "_rejected"
 _VIOLATION_TYPE = f"array<struct<{ERROR_DDL.replace(' bigint', ':bigint').replace(' string', ':string')}>>"
@@ -25,13 +28,15 @@ def validate(
     row_number: Column | None = None,
     unique_keys: bool = True,
     rules_when: Column | None = None,
+    op: str | None = None,
 ) -> DataFrame:
     """Casts the contract's columns to their types and adds ``_rejected`` and ``_violations``.
 
     ``row_number`` names the row in its violations: an audit id or sequence where
     the source has one, else the scan position. ``rules_when`` limits the rules of
     non-key columns, for example to events that carry values. Other columns pass
-    through unchanged. Violations are built for rejected rows only.
+    through unchanged. ``op`` names an operation code that must be one of ``OPERATIONS``.
+    Violations are built for rejected rows only.
     """
     number = (F.monotonically_increasing_id() + 1) if row_number is None else row_number
     missing = [c for c in contract.columns if c not in df.columns]
@@ -60,6 +65,13 @@ def validate(
                 copies.cast("string"),
             )
         )
+    if op is not None:
+        unknown = ~F.coalesce(F.col(op).isin(*OPERATIONS), F.lit(False))
+        rules.append(
+            _Rule(
+                unknown, op, "operation", "operation is not known", f"allowed={','.join(OPERATIONS)}", F.col(op)
+            )
+        )
     rejected = F.lit(False)
     for rule in rules:
         rejected = rejected | F.coalesce(rule.broken, F.lit(False))
@@ -193,11 +205,17 @@ def quarantine_counts(marked: DataFrame, invalid: Column, xid: str = "xid") -> D
     per_xid = marked.groupBy(xid).agg(
         F.count_if(invalid).alias("bad"), F.count_if(F.col("_quarantined")).alias("held")
     )
+
+    def transactions(count: str) -> Column:
+        # Without an id, every event is a transaction of its own.
+        known = F.when(F.col(xid).isNull(), F.col(count)).otherwise((F.col(count) > 0).cast("bigint"))
+        return F.coalesce(F.sum(known), F.lit(0)).cast("bigint")
+
     return per_xid.agg(
         F.coalesce(F.sum("bad"), F.lit(0)).cast("bigint").alias("invalid_event_count"),
-        F.count_if(F.col("bad") > 0).alias("invalid_transaction_count"),
+        transactions("bad").alias("invalid_transaction_count"),
         F.coalesce(F.sum("held"), F.lit(0)).cast("bigint").alias("quarantined_event_count"),
-        F.count_if(F.col("held") > 0).alias("quarantined_transaction_count"),
+        transactions("held").alias("quarantined_transaction_count"),
     )
 
 
@@ -234,6 +252,20 @@ def number_rows(df: DataFrame, order_by: list[str], partitions: int | None = Non
     )
 
 
+# The members under which a failed stage publishes each field.
+PUBLISHED = {
+    "error_object_key": ("validation_error_object_key", "error_object_key"),
+    "manifest_key": ("validation_manifest_key", "manifest_key"),
+    "accepted_object_key": ("accepted_object_key",),
+    "delta_object_key": ("delta_object_key",),
+    "invalid_row_count": ("invalid_row_count",),
+    "invalid_event_count": ("invalid_event_count",),
+    "invalid_transaction_count": ("invalid_transaction_count",),
+    "quarantined_event_count": ("quarantined_event_count",),
+    "quarantined_transaction_count": ("quarantined_transaction_count",),
+}
+
+
 @dataclass
 class ValidationFailed(Exception):
     """Raised by the gate after everything has landed; carries keys and counts."""
@@ -253,28 +285,13 @@ class ValidationFailed(Exception):
         return self.message
 
     def context(self) -> dict[str, object]:
-        """Members a failed stage publishes: the keys under both of their names, and
-        the counts that are known."""
-        out: dict[str, object] = {}
-        if self.error_object_key:
-            out["validation_error_object_key"] = self.error_object_key
-            out["error_object_key"] = self.error_object_key
-        if self.manifest_key:
-            out["validation_manifest_key"] = self.manifest_key
-            out["manifest_key"] = self.manifest_key
-        for name in (
-            "accepted_object_key",
-            "delta_object_key",
-            "invalid_row_count",
-            "invalid_event_count",
-            "invalid_transaction_count",
-            "quarantined_event_count",
-            "quarantined_transaction_count",
-        ):
-            value = getattr(self, name)
-            if value is not None and value != "":
-                out[name] = value
-        return out
+        """What a failed stage publishes: every known field under its published names."""
+        return {
+            name: value
+            for own, names in PUBLISHED.items()
+            for name in names
+            if (value := getattr(self, own)) not in (None, "")
+        }
 
 
 def validation_gate(invalid_count: int, policy: str = "quarantine", **context: object) -> None:

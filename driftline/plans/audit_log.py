@@ -64,6 +64,7 @@ def ingest_audit_log(
                     row_number=F.col("audit_id"),
                     unique_keys=False,
                     rules_when=F.col("op") != "D",
+                    op="op",
                 ),
                 "validated",
             )
@@ -81,6 +82,7 @@ def ingest_audit_log(
                     "errors": counts["error_count"],
                 },
                 (first, last),
+                clock,
             )
             keys = ctx.keys
             validation_gate(

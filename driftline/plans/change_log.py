@@ -19,8 +19,9 @@ from driftline.operators.validation import (
     validation_gate,
 )
 from driftline.plans.deltas import apply_landed, change_log_ddl
-from driftline.plans.run import RunContext, land, recorded_run
+from driftline.plans.run import RunContext, land, land_quarantined, recorded_run
 from driftline.shared import staged
+from driftline.sources.landing import quarantine_key
 from driftline.sources.scan import change_event_scan
 
 
@@ -58,13 +59,15 @@ def ingest_change_log(
             rows = staged(events, "change-window")
             highest = rows.agg(F.max("lsn").alias("m")).first()["m"]
             checked = validate(
-                rows, contract, row_number=F.col("seq"), unique_keys=False, rules_when=F.col("op") != "D"
+                rows, contract, row_number=F.col("seq"), unique_keys=False, rules_when=F.col("op") != "D", op="op"
             )
             invalid = F.col(REJECTED)
             marked = staged(quarantine_transactions(checked, invalid), "quarantine")
             counts = validation_counts(marked, "event").first()
             held = quarantine_counts(marked, invalid).first().asDict()
             clean = marked.filter(~F.col("_quarantined"))
+            waiting = marked.filter(F.col("_quarantined") & ~invalid)
+            land_quarantined(ctx, waiting.select("lsn", "seq", "xid", "op", *old, *contract.columns))
             land(
                 ctx,
                 clean.select("lsn", "seq", "xid", "op", *old, *contract.columns),
@@ -90,6 +93,7 @@ def ingest_change_log(
                 source_event_count=counts["source_event_count"],
                 delta_object_key=keys["accepted_key"],
                 error_object_key=keys["error_key"],
+                quarantined_object_key=quarantine_key(ctx.strategy, ctx.namespace, ctx.name, ctx.run_id),
                 manifest_key=keys["manifest_key"],
                 source_read_seconds=round(time.monotonic() - began, 3),
                 **held,

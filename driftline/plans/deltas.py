@@ -6,12 +6,13 @@ import time
 from typing import Any
 
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StructType
 
 from driftline.contracts import Contract
 from driftline.operators.delta import POSITION, SUB_ORDER, apply_delta, compact_delta, delta_counts, expand_key_changes
 from driftline.plans.run import RunContext
 from driftline.shared import broadcast_limit, scan_bytes, staged
-from driftline.sources.curated import aligned, read_curated, read_pointer, touched_buckets, write_curated
+from driftline.sources.curated import Pointer, aligned, read_curated, read_pointer, touched_buckets, write_curated
 from driftline.sources.landing import read_landed
 
 # Bookkeeping columns of a landed delta, beside the contract's.
@@ -29,6 +30,25 @@ def curated_ddl(contract: Contract) -> str:
     return f"{contract.ddl}, {POSITION} bigint"
 
 
+def retyped(contract: Contract, pointer: Pointer) -> bool:
+    """Whether a column that is stored already has another type in the contract."""
+    stored = {f.name: f.dataType.simpleString() for f in StructType.fromDDL(pointer.schema).fields}
+    wanted = StructType.fromDDL(contract.ddl).fields
+    return any(stored.get(f.name, f.dataType.simpleString()) != f.dataType.simpleString() for f in wanted)
+
+
+def conformed(state: DataFrame, contract: Contract) -> DataFrame:
+    """Curated rows under the contract: new columns are NULL, values that no longer fit too."""
+    columns = [
+        F.col(f"`{f.name}`").try_cast(f.type).alias(f.name)
+        if f.name in state.columns
+        else F.lit(None).cast(f.type).alias(f.name)
+        for f in contract.fields
+    ]
+    position = F.col(POSITION) if POSITION in state.columns else F.lit(None).cast("bigint").alias(POSITION)
+    return state.select(*columns, position)
+
+
 def last_events(contract: Contract, landed: DataFrame, strategy: str) -> DataFrame:
     """Last event per key of a landed delta, with the position it came from."""
     keys = list(contract.keys)
@@ -66,18 +86,24 @@ def apply_compacted(
     pointer = read_pointer(spark, ctx.target_root)
     total = len(pointer.bucket_versions) if pointer else buckets
     touched = touched_buckets(delta, keys, total)
+    columns = [*ctx.contract.columns, POSITION]
     if pointer is None:
         state = spark.createDataFrame([], curated_ddl(ctx.contract))
     else:
-        state = read_curated(spark, ctx.target_root, pointer, touched)
+        if retyped(ctx.contract, pointer):
+            # Stored values, or the buckets of their keys, no longer fit: all are rewritten.
+            touched = list(range(total))
+        state = conformed(read_curated(spark, ctx.target_root, pointer, touched), ctx.contract)
     counts = delta_counts(state, delta, keys).first().asDict()
     if not touched and pointer is not None:
         return counts
     if scan_bytes(delta) > broadcast_limit(spark):
         # Too large to broadcast: shuffle the curated rows once, for join and write.
         state = aligned(state, keys, total)
+    elif pointer is not None and retyped(ctx.contract, pointer):
+        state = aligned(state, keys, total)
     write_curated(
-        apply_delta(state, aligned(delta, keys, total), keys, guard=guard),
+        apply_delta(state, aligned(delta, keys, total), keys, guard=guard, columns=columns),
         ctx.target_root,
         keys,
         run_id or ctx.run_id,

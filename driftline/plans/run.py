@@ -23,6 +23,7 @@ from driftline.sources.landing import (
     artifact_keys,
     land_accepted,
     land_errors,
+    quarantine_key,
     read_error_lines,
     write_manifest,
 )
@@ -201,7 +202,7 @@ class RunContext:
         lines = read_error_lines(self.spark, self.path(error_key)).withColumns(
             {"run_id": F.lit(self.run_id), "stage_name": F.lit(stage_name)}
         )
-        rows = normalize_error_lines(lines, ["run_id", "stage_name"], ["part", "line_no"])
+        rows = normalize_error_lines(lines, ["run_id", "stage_name"])
         identity = F.concat_ws("/", "run_id", "stage_name", "part", F.col("line_no").cast("string"))
         full = rows.withColumns(
             {
@@ -216,12 +217,18 @@ class RunContext:
         write_stage_errors(self.spark, f"{self.ledger.root}/validation_errors", full, self.run_id, stage_name)
 
 
+def land_quarantined(ctx: RunContext, events: DataFrame) -> None:
+    """Valid events of quarantined transactions, kept so that they can be applied once mended."""
+    land_accepted(events, ctx.path(quarantine_key(ctx.strategy, ctx.namespace, ctx.name, ctx.run_id)))
+
+
 def land(
     ctx: RunContext,
     accepted: DataFrame,
     errors: DataFrame,
     counts: dict[str, int],
     window: tuple[str | None, str | None] = (None, None),
+    watermark_type: str | None = None,
 ) -> None:
     """Accepted rows, then errors, then the manifest that marks the landing complete."""
     keys = ctx.keys
@@ -245,6 +252,7 @@ def land(
         window_start=window[0],
         window_end=window[1],
         schema=ctx.contract.ddl,
+        watermark_type=watermark_type,
     )
 
 

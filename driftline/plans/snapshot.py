@@ -15,6 +15,7 @@ from driftline.operators.validation import (
     validation_counts,
     validation_gate,
 )
+from driftline.plans.deltas import retyped
 from driftline.plans.run import RunContext, land, recorded_run
 from driftline.shared import staged
 from driftline.sources.curated import (
@@ -25,7 +26,7 @@ from driftline.sources.curated import (
     touched_buckets,
     write_curated,
 )
-from driftline.sources.landing import read_landed
+from driftline.sources.landing import land_accepted, read_landed, rejected_keys_key
 
 
 def ingest_snapshot(
@@ -49,6 +50,10 @@ def ingest_snapshot(
             checked = staged(validate(rows, ctx.contract), "validated")
             accepted, rejected = split_accepted(checked)
             counts = validation_counts(checked).first()
+            some = protect_rejected and counts["invalid_row_count"] > 0
+            held = rejected.select(*ctx.contract.keys).dropna().distinct() if some else None
+            if held is not None:
+                land_accepted(held, ctx.path(rejected_keys_key(ctx.strategy, ctx.namespace, ctx.name, ctx.run_id)))
             land(
                 ctx,
                 accepted.select(*ctx.contract.columns),
@@ -77,8 +82,6 @@ def ingest_snapshot(
                 manifest_key=keys["manifest_key"],
                 source_read_seconds=round(time.monotonic() - began, 3),
             )
-        some = protect_rejected and counts["invalid_row_count"] > 0
-        held = rejected.select(*ctx.contract.keys) if some else None
         with ctx.stage("merge_curated") as out:
             out.update(merge_landed(ctx, keys["accepted_key"], held, buckets))
         with ctx.stage("persist_checkpoint") as out:
@@ -121,7 +124,9 @@ def merge_landed(
     # The one shuffle of whole rows: the join and the bucketed write both keep it.
     merged = merge_snapshot(aligned(landed, keys, buckets), curated, keys, ctx.run_id)
     if rejected is not None and pointer is not None:
-        lost = touched_buckets(rejected.dropna("any", subset=keys), keys, buckets)
+        lost = None
+        if not retyped(ctx.contract, pointer):
+            lost = touched_buckets(rejected.dropna("any", subset=keys), keys, buckets)
         merged = merged.unionByName(protected_rows(landed, _comparable(ctx, pointer, lost), keys, rejected))
     tag = _hash_tag(ctx)
     written = write_curated(merged, ctx.target_root, keys, ctx.run_id, buckets, tag, pointer, in_place=True)
@@ -143,7 +148,7 @@ def _comparable(ctx: RunContext, pointer: Pointer | None, buckets: list[int] | N
     if pointer.hash_tag == _hash_tag(ctx):
         return curated
     columns = [
-        F.col(f"`{f.name}`").cast(f.type).alias(f.name)
+        F.col(f"`{f.name}`").try_cast(f.type).alias(f.name)
         if f.name in curated.columns
         else F.lit(None).cast(f.type).alias(f.name)
         for f in ctx.contract.fields

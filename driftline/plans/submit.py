@@ -58,7 +58,8 @@ def submit(
         run_mode=run_mode,
     )
     if resolved is not None:
-        replay(ctx, resolved["artifact_key"], **options)
+        parent, reason = args.values.get("parent_run_id"), args.replay_reason
+        replay(ctx, resolved["artifact_key"], parent_run_id=parent, reason=reason, **options)
     elif strategy == "hash_diff":
         rows = snapshot_scan(spark, source_of(args), args.source_table, contract)
         ingest_snapshot(ctx, rows, source_table=args.source_table, **options)

@@ -2,33 +2,26 @@
 
 from __future__ import annotations
 
-import tempfile
 import threading
+import time
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-_SALTS = 32
-_local_fallback: str | None = None
 _scope = threading.local()
 
 
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach: the one named in ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a temporary folder of its own machine.
+    Where it is not set, as in tests, a folder of the session's warehouse, which the
+    driver and all executors share as well.
     """
-    global _local_fallback
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    if _local_fallback is None:
-        _local_fallback = tempfile.mkdtemp(prefix="driftline-")
-    return _local_fallback
+    return (folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch").rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -75,6 +68,44 @@ def list_names(spark: SparkSession, folder: str) -> list[str]:
     return [status.getPath().getName() for status in files.listStatus(path)]
 
 
+def claim_text(spark: SparkSession, path: str, text: str) -> None:
+    """One small file that only one writer can create: any other gets ``FileExistsError``."""
+    final = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = final.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(final.getParent())
+    try:
+        out = files.create(final, False)
+    except Py4JJavaError as exc:
+        if files.exists(final):
+            raise FileExistsError(path) from exc
+        raise
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
+def empty_for(spark: SparkSession, path: str) -> float | None:
+    """Seconds since an empty file was written; None where it has content or is not there."""
+    name = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = name.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(name):
+        return None
+    status = files.getFileStatus(name)
+    return None if status.getLen() else time.time() - status.getModificationTime() / 1000
+
+
+def replace_text(spark: SparkSession, path: str, text: str) -> None:
+    """One small file in place of the one before."""
+    final = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = final.getFileSystem(spark._jsc.hadoopConfiguration()).create(final, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
+def file_exists(spark: SparkSession, path: str) -> bool:
+    name = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return name.getFileSystem(spark._jsc.hadoopConfiguration()).exists(name)
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """One small file, moved into place whole so that no reader sees part of it."""
     hadoop = spark._jvm.org.apache.hadoop.fs
@@ -101,23 +132,15 @@ def broadcast_limit(spark: SparkSession) -> int:
 
 
 def keyed_join(
-    big: DataFrame,
-    small: DataFrame,
-    keys: list[str],
-    how: str,
-    limit_bytes: int | None = None,
-    salts: int = _SALTS,
+    big: DataFrame, small: DataFrame, keys: list[str], how: str, limit_bytes: int | None = None
 ) -> DataFrame:
     """Join ``big`` to ``small``, a staged table with one row per key.
 
-    Within the size limit ``small`` is broadcast and ``big`` is not shuffled at
-    all. Beyond it ``small`` is repeated once per salt, so the rows of one hot key
-    of ``big`` spread over ``salts`` reducers. The salt is the input partition
-    number, which a retried task reproduces exactly.
+    Within the size limit ``small`` is broadcast and ``big`` is not shuffled at all.
+    Beyond it both are shuffled, and the adaptive planner splits the partition of a hot
+    key of ``big``: ``small`` has only one row to repeat for it.
     """
     limit = broadcast_limit(big.sparkSession) if limit_bytes is None else limit_bytes
     if scan_bytes(small) <= limit:
         return big.join(F.broadcast(small), keys, how)
-    salted = big.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
-    copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(copies, [*keys, "_salt"], how).drop("_salt")
+    return big.join(small.hint("merge"), keys, how)

@@ -10,18 +10,21 @@ from __future__ import annotations
 
 import json
 import math
+import uuid
 from dataclasses import asdict, dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from driftline.shared import list_names, scan_bytes, write_text
+from driftline.shared import claim_text, empty_for, file_exists, replace_text, scan_bytes
 
 BUCKET = "_bucket"
 # Input bytes per shuffled partition; landed lines are compressed about tenfold.
 _PARTITION_BYTES = 16 * 1024 * 1024
+# A pointer file is filled as soon as it is claimed; one still empty by then has lost its writer.
+_ABANDONED_SECONDS = 600
 _POINTER_DDL = (
     "version bigint, run_id string, hash_tag string, keys array<string>, schema string, "
-    "row_count bigint, bucket_versions array<bigint>, bucket_rows array<bigint>"
+    "row_count bigint, bucket_versions array<bigint>, bucket_folders array<string>, bucket_rows array<bigint>"
 )
 
 
@@ -34,6 +37,7 @@ class Pointer:
     schema: str
     row_count: int
     bucket_versions: tuple[int, ...]
+    bucket_folders: tuple[str, ...]
     bucket_rows: tuple[int, ...]
 
 
@@ -47,19 +51,32 @@ def aligned(df: DataFrame, keys: list[str], buckets: int) -> DataFrame:
     Spark places a row by the same hash that names its bucket, so every task then
     holds rows of one bucket only, and a join on the keys keeps it that way.
     """
+    size = scan_bytes(df)
+    # The planner's mark for a frame of unknown size is the largest number there is.
+    unknown = size >= 1 << 62
     shuffle = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # Small inputs take fewer partitions; the setting bounds large or unknown sizes.
-    wanted = min(shuffle, math.ceil(scan_bytes(df) / _PARTITION_BYTES))
+    wanted = shuffle if unknown else math.ceil(size / _PARTITION_BYTES)
     return df.repartition(buckets * max(1, math.ceil(wanted / buckets)), *keys)
 
 
 def read_pointer(spark: SparkSession, root: str) -> Pointer | None:
-    """The pointer in force, or None before the first write."""
-    versions = [int(n[1:-5]) for n in list_names(spark, f"{root}/pointer") if n.startswith("v")]
-    if not versions:
-        return None
-    row = spark.read.schema(_POINTER_DDL).json(f"{root}/pointer/v{max(versions)}.json").first()
-    return Pointer(**{k: tuple(v) if isinstance(v, list) else v for k, v in row.asDict().items()})
+    """The pointer in force, or None before the first write.
+
+    A small file names a version at or just below the newest; from there the next ones
+    are tried, so the pointers ever written need not be listed.
+    """
+    hint = f"{root}/pointer/_newest"
+    told = spark.read.text(hint).first() if file_exists(spark, hint) else None
+    newest = int(told[0]) if told and told[0].isdigit() else 0
+    while file_exists(spark, f"{root}/pointer/v{newest + 1}.json"):
+        newest += 1
+    while newest:
+        row = spark.read.schema(_POINTER_DDL).json(f"{root}/pointer/v{newest}.json").first()
+        if row is not None and row["version"] is not None:
+            return Pointer(**{k: tuple(v) if isinstance(v, list) else v for k, v in row.asDict().items()})
+        # Its writer stopped between claiming the version and filling the file.
+        newest -= 1
+    return None
 
 
 def read_curated(
@@ -71,7 +88,7 @@ def read_curated(
         return None
     wanted = range(len(pointer.bucket_versions)) if buckets is None else sorted(buckets)
     paths = [
-        f"{root}/data/version={pointer.bucket_versions[b]}/{BUCKET}={b}"
+        f"{root}/data/{pointer.bucket_folders[b]}/{BUCKET}={b}"
         for b in wanted
         if pointer.bucket_rows[b] > 0
     ]
@@ -86,6 +103,13 @@ def touched_buckets(delta: DataFrame, keys: list[str], buckets: int) -> list[int
     return sorted(r["b"] for r in rows)
 
 
+def _free_version(spark: SparkSession, root: str, version: int) -> int:
+    """``version``, or the next one where a writer claimed it long ago and never filled it."""
+    while (age := empty_for(spark, f"{root}/pointer/v{version}.json")) is not None and age > _ABANDONED_SECONDS:
+        version += 1
+    return version
+
+
 def write_curated(
     df: DataFrame,
     root: str,
@@ -110,12 +134,14 @@ def write_curated(
         buckets = len(previous.bucket_versions)
     elif only is not None:
         raise ValueError("a first version must hold every bucket")
-    version = previous.version + 1 if previous else 1
-    target = f"{root}/data/version={version}"
+    version = _free_version(spark, root, previous.version + 1 if previous else 1)
+    # Every writer has a folder of its own; only the claimed pointer makes one current.
+    folder = f"version={version}-{uuid.uuid4().hex}"
+    target = f"{root}/data/{folder}"
     schema = _ddl(df)
     placed = df if in_place else aligned(df, keys, buckets)
     bucketed = placed.withColumn(BUCKET, bucket_of(keys, buckets))
-    bucketed.write.mode("overwrite").partitionBy(BUCKET).parquet(target)
+    bucketed.write.partitionBy(BUCKET).parquet(target)
 
     written = spark.read.schema(f"{schema}, {BUCKET} int").parquet(target)
     counted = {r[BUCKET]: r["n"] for r in written.groupBy(BUCKET).agg(F.count("*").alias("n")).collect()}
@@ -128,9 +154,13 @@ def write_curated(
         raise ValueError(f"rows fell outside the buckets to rewrite: {sorted(stray)}")
     versions = [version if b in rewritten else previous.bucket_versions[b] for b in range(buckets)]
     rows = [counted.get(b, 0) if b in rewritten else previous.bucket_rows[b] for b in range(buckets)]
-    pointer = Pointer(version, run_id, hash_tag, tuple(keys), schema, sum(rows), tuple(versions), tuple(rows))
-    # A second writer of the same version fails here instead of replacing it.
-    write_text(spark, f"{root}/pointer/v{version}.json", json.dumps(asdict(pointer)))
+    folders = [folder if b in rewritten else previous.bucket_folders[b] for b in range(buckets)]
+    pointer = Pointer(
+        version, run_id, hash_tag, tuple(keys), schema, sum(rows), tuple(versions), tuple(folders), tuple(rows)
+    )
+    # A second writer of the same version fails here, and its files are never read.
+    claim_text(spark, f"{root}/pointer/v{version}.json", json.dumps(asdict(pointer)))
+    replace_text(spark, f"{root}/pointer/_newest", str(version))
     return pointer
 
 

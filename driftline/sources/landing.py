@@ -12,6 +12,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from driftline.contracts import Contract
+from driftline.functions.payload import strip
 from driftline.shared import write_text
 
 # Directory and file names of the three strategies' artifacts.
@@ -22,6 +23,7 @@ LAYOUT = {
 }
 ERRORS_FILE = "errors.ndjson.gz"
 MANIFEST_FILE = "manifest.json"
+REJECTED_KEYS_FILE = "rejected_keys.ndjson.gz"
 
 # Microseconds survive the round trip; the JSON writer's default keeps milliseconds.
 _TIME_FORMATS = {
@@ -39,7 +41,7 @@ MANIFEST_DDL = (
     "run_id string, pipeline_id string, strategy string, contract_id string, "
     "contract_version string, checksum string, accepted_key string, error_key string, "
     "source_count bigint, accepted_count bigint, invalid_count bigint, error_count bigint, "
-    "window_start string, window_end string, schema string"
+    "window_start string, window_end string, schema string, watermark_type string"
 )
 
 
@@ -56,6 +58,18 @@ def artifact_keys(strategy: str, namespace: str, name: str, run_id: str) -> dict
     }
 
 
+def quarantine_key(strategy: str, namespace: str, name: str, run_id: str) -> str:
+    """Key of the valid events that a run held back with their transactions."""
+    folder = artifact_keys(strategy, namespace, name, run_id)["manifest_key"].rpartition("/")[0]
+    return f"{folder}/quarantined.ndjson.gz"
+
+
+def rejected_keys_key(strategy: str, namespace: str, name: str, run_id: str) -> str:
+    """Key of the keys whose rows a snapshot run rejected and left as they were."""
+    folder = artifact_keys(strategy, namespace, name, run_id)["manifest_key"].rpartition("/")[0]
+    return f"{folder}/{REJECTED_KEYS_FILE}"
+
+
 def with_artifact_keys(
     runs: DataFrame,
     namespace: str = "namespace",
@@ -173,8 +187,8 @@ def _artifact_members(payloads: DataFrame, ids: list[str], payload: str) -> Data
     named = F.map_filter(
         members,
         lambda key, value: (key.endswith("_object_key") | key.endswith("_manifest_key"))
-        & (F.trim(value) != ""),
+        & (strip(value) != ""),
     )
     return payloads.select(*ids, F.explode(named).alias("metric_key", "artifact_key")).withColumn(
-        "artifact_key", F.trim("artifact_key")
+        "artifact_key", strip(F.col("artifact_key"))
     )

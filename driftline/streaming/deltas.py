@@ -1,8 +1,8 @@
 """Change events applied by micro-batch, with the batch operators.
 
-Each micro-batch lands nothing half-way: the transactions it completes are
-validated, quarantined, compacted and applied, and the curated pointer names the
-batch. A batch that is run again after a failure finds its own name there and does
+The transactions a micro-batch completes are validated and quarantined; accepted
+events, held-back events and errors are landed; then the delta is compacted and
+applied, and the curated pointer names the batch. A batch that is run again after a failure finds its own name there and does
 nothing. The stream's offset log commits after that, as an acknowledgement would.
 """
 
@@ -15,11 +15,12 @@ from typing import Any
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from driftline.operators.validation import REJECTED, quarantine_counts, quarantine_transactions, validate
+from driftline.operators.validation import REJECTED, explode_errors, quarantine_counts, quarantine_transactions, validate
 from driftline.plans.deltas import apply_compacted, last_events
 from driftline.plans.run import RunContext
 from driftline.shared import keyed_join, scratch_scope, staged
 from driftline.sources.curated import read_pointer
+from driftline.sources.landing import artifact_keys, land_accepted, land_errors, quarantine_key
 
 
 def stream_deltas(
@@ -72,24 +73,42 @@ def _closed_transactions(
         before = batch.sparkSession.read.schema(batch.schema).parquet(f"{held}/batch={batch_id - 1}")
         known = before.unionByName(batch)
     known = staged(known, "stream-batch")
-    ended = staged(known.filter(F.col(commit)).select("xid").distinct(), "stream-ended")
-    keyed_join(known, ended, ["xid"], "left_anti").write.mode("overwrite").parquet(f"{held}/batch={batch_id}")
-    return keyed_join(known, ended, ["xid"], "left_semi")
+    # An event without an id belongs to no transaction that could still be open.
+    alone, grouped = known.filter("xid IS NULL"), known.filter("xid IS NOT NULL")
+    ended = staged(grouped.filter(F.col(commit)).select("xid").distinct(), "stream-ended")
+    keyed_join(grouped, ended, ["xid"], "left_anti").write.mode("overwrite").parquet(f"{held}/batch={batch_id}")
+    return keyed_join(grouped, ended, ["xid"], "left_semi").unionByName(alone)
 
 
 def _apply_batch(ctx: RunContext, events: DataFrame, name: str, buckets: int) -> None:
     checked = validate(
-        events, ctx.contract, row_number=F.col("seq"), unique_keys=False, rules_when=F.col("op") != "D"
+        events, ctx.contract, row_number=F.col("seq"), unique_keys=False, rules_when=F.col("op") != "D", op="op"
     )
     invalid = F.col(REJECTED)
     marked = staged(quarantine_transactions(checked, invalid), "stream-marked")
     counts = quarantine_counts(marked, invalid).first().asDict()
+    _land_batch(ctx, marked, name)
     clean = marked.filter(~F.col("_quarantined"))
     delta = staged(last_events(ctx.contract, clean, "logical_cdc"), "stream-delta")
     counts.update(apply_compacted(ctx, delta, buckets, run_id=name))
     ctx.results[name] = counts
 
 
+def _land_batch(ctx: RunContext, marked: DataFrame, name: str) -> None:
+    """Lands a batch's accepted events, held-back events and errors before they are applied.
+
+    A batch that runs again overwrites its own artifacts with the same rows.
+    """
+    old = [f"old_{k}" for k in ctx.contract.keys]
+    columns = ["lsn", "seq", "xid", "op", *old, *ctx.contract.columns]
+    batch = name.replace(":", "-")
+    keys = artifact_keys(ctx.strategy, ctx.namespace, ctx.name, batch)
+    held = quarantine_key(ctx.strategy, ctx.namespace, ctx.name, batch)
+    land_accepted(marked.filter(~F.col("_quarantined")).select(*columns), ctx.path(keys["accepted_key"]))
+    land_accepted(marked.filter(F.col("_quarantined") & ~F.col(REJECTED)).select(*columns), ctx.path(held))
+    land_errors(explode_errors(marked.filter(REJECTED)), ctx.path(keys["error_key"]))
+
+
 @dataclass(frozen=True)
 class DrainReport:
     reached_window_end: bool

@@ -141,7 +141,11 @@ def test_watermark_modes(spark, sf_dir):
     events = frame(spark, sf_dir, "audit_events")
     assert resolve_watermark_mode(events, "auto") == "recorded_at"
     assert resolve_watermark_mode(events.dropna(subset=["commit_timestamp"]), "auto") == "commit_timestamp"
-    assert resolve_watermark_mode(events, "auto", stored="commit_timestamp") == "commit_timestamp"
+    complete = events.dropna(subset=["commit_timestamp"])
+    assert resolve_watermark_mode(complete, "auto", stored="commit_timestamp") == "commit_timestamp"
+    for mode, stored in (("auto", "commit_timestamp"), ("commit_timestamp", None)):
+        with pytest.raises(ValueError, match="events have no commit_timestamp"):
+            resolve_watermark_mode(events, mode, stored=stored)
     with pytest.raises(ValueError, match="changed"):
         resolve_watermark_mode(events, "recorded_at", stored="commit_timestamp")
     with pytest.raises(ValueError, match="must be one of: auto, commit_timestamp, recorded_at"):

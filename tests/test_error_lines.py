@@ -38,10 +38,10 @@ def test_long_strings_are_read_whole(spark):
     assert [r["ok"] for r in df.select(is_json(F.col("line")).alias("ok")).collect()] == [True, False]
 
 
-def normalized(spark, lines, limit=None):
+def normalized(spark, lines):
     rows = [("r", "p", i, line) for i, line in enumerate(lines)]
     df = spark.createDataFrame(rows, "run_id string, part string, n bigint, line string")
-    return normalize_error_lines(df, ["run_id"], ["part", "n"], limit=limit).orderBy("n").collect()
+    return normalize_error_lines(df, ["run_id"]).orderBy("n").collect()
 
 
 def test_field_defaults(spark):
@@ -70,18 +70,10 @@ def test_one_broken_line_drops_the_artifact(spark):
     assert normalized(spark, ['{"field":"f"}', "{broken", '{"field":"g"}']) == []
 
 
-def test_nothing_after_the_limit_counts(spark):
-    lines = ['{"n":1}', "[0]", '{"n":2}', "{broken", '{"n":3}']
-    assert len(normalized(spark, lines, limit=2)) == 2
-    assert normalized(spark, lines, limit=3) == []
-    assert normalized(spark, ["{broken", '{"n":1}'], limit=1) == []
-    assert normalized(spark, ['{"n":1}', "oops"], limit=5) == []
-
-
 def test_other_artifacts_are_unharmed(spark):
     rows = [("a", 1, "{bad"), ("a", 2, "{}"), ("b", 1, "{}")]
     df = spark.createDataFrame(rows, "run_id string, n int, line string")
-    assert [r["run_id"] for r in normalize_error_lines(df, ["run_id"], ["n"]).collect()] == ["b"]
+    assert [r["run_id"] for r in normalize_error_lines(df, ["run_id"]).collect()] == ["b"]
 
 
 def test_an_empty_set_clears_the_stage(spark, tmp_path):
@@ -95,18 +87,18 @@ def test_an_empty_set_clears_the_stage(spark, tmp_path):
     assert [(r["stage_name"], r["v"]) for r in left.collect()] == [("t", 2)]
 
 
-@pytest.mark.parametrize("salted", [False, True])
-def test_hot_artifact(spark, monkeypatch, salted):
+@pytest.mark.parametrize("shuffled", [False, True])
+def test_hot_artifact(spark, monkeypatch, shuffled):
     import driftline.operators.error_lines as module
     from driftline.shared import keyed_join
 
-    if salted:
+    if shuffled:
         monkeypatch.setattr(module, "keyed_join", lambda b, s, k, h: keyed_join(b, s, k, h, limit_bytes=0))
     df = spark.range(900).select(
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("r"), F.col("id") % 9)).alias("run_id"),
         F.col("id").alias("n"),
         F.when(F.col("id") == 4, "{bad").otherwise("{}").alias("line"),
     )
-    rows = normalize_error_lines(df, ["run_id"], ["n"]).groupBy("run_id").count().collect()
+    rows = normalize_error_lines(df, ["run_id"]).groupBy("run_id").count().collect()
     counts = {r["run_id"]: r["count"] for r in rows}
     assert counts["hot"] == 300 and "r4" not in counts and sum(counts.values()) == 800

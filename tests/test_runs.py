@@ -169,7 +169,7 @@ def test_drain_stops_on_time_and_silence(spark, tmp_path):
 
 BASE = {"namespace": "sales", "name": "orders", "target_dsn": "t", "target_table_curated": "c", "landing_s3_bucket": "b"}
 SOURCE = {**BASE, "source_dsn": "s", "source_table": "public.orders"}
-CDC = {**SOURCE, "source_replication_dsn": "postgresql://h/db", "source_publication_name": "p", "source_slot_name": "l"}
+CDC = {**SOURCE, "source_publication_name": "p", "source_slot_name": "l"}
 
 
 def test_argument_defaults():
@@ -177,10 +177,9 @@ def test_argument_defaults():
     assert run.pipeline_id == "sales.orders.hash_diff" and run.contract_version == "1.0"
     assert run.source_batch_size == 1000 and run.landing_root == "s3a://b/accepted"
     audit = RunArguments.from_conf("incremental_audit", "ingest", {**SOURCE, "source_audit_table": "a"})
-    assert audit.watermark_mode == "auto" and audit.auto_setup_audit is False
-    cdc = RunArguments.from_conf("logical_cdc", "ingest", {**CDC, "idle_timeout_seconds": "3", "create_slot_if_missing": "no"})
-    assert cdc.max_extract_seconds == 30 and cdc.idle_timeout_seconds == 3 and cdc.create_slot_if_missing is False
-    assert cdc.replica_identity_mode == "default" and cdc.output_plugin == "pgoutput"
+    assert audit.watermark_mode == "auto" and audit.extract_batch_size == 1000
+    cdc = RunArguments.from_conf("logical_cdc", "ingest", {**CDC, "change_feed_path": " f ", "not_acted_on": 1})
+    assert cdc.change_feed_path == "f" and cdc.output_plugin == "pgoutput" and cdc.source_slot_name == "l"
     with pytest.raises(AttributeError):
         cdc.nothing
 
@@ -189,8 +188,8 @@ def test_argument_defaults():
     "kind, conf, message",
     [
         (("hash_diff", "ingest"), {**SOURCE, "source_table": " ", "name": None}, "name, source_table"),
-        (("hash_diff", "ingest"), {**SOURCE, "upsert_batch_size": 0}, "greater than zero"),
-        (("hash_diff", "ingest"), {**SOURCE, "upsert_batch_size": "x"}, "must be integers"),
+        (("hash_diff", "ingest"), {**SOURCE, "source_batch_size": 0}, "greater than zero"),
+        (("hash_diff", "ingest"), {**SOURCE, "source_batch_size": "x"}, "must be an integer"),
         (("hash_diff", "ingest"), {**SOURCE, "landing_s3_bucket": ""}, "landing_s3_bucket"),
         (("hash_diff", "replay"), BASE, "exactly one"),
         (("hash_diff", "replay"), {**BASE, "accepted_object_key": "a", "parent_run_id": "r"}, "exactly one"),
@@ -199,11 +198,8 @@ def test_argument_defaults():
         (("incremental_audit", "replay"), {**BASE, "delta_object_key": "d", "parent_run_id": "r"}, "not supported"),
         (("incremental_audit", "replay"), BASE, "parent_run_id"),
         (("logical_cdc", "ingest"), {**CDC, "output_plugin": "wal2json"}, "output_plugin"),
-        (("logical_cdc", "ingest"), {**CDC, "replica_identity_mode": "none"}, "replica_identity_mode"),
-        (("logical_cdc", "ingest"), {**CDC, "idle_timeout_seconds": 0}, "idle_timeout_seconds"),
-        (("logical_cdc", "ingest"), {**CDC, "source_replication_dsn": "postgresql+psycopg2://h/d"}, "form postgresql://"),
-        (("logical_cdc", "ingest"), {**CDC, "auto_setup_logical_cdc": "yes"}, "source_admin_dsn"),
-        (("logical_cdc", "ingest"), {**CDC, "auto_setup_logical_cdc": "maybe"}, "must be a boolean"),
+        (("logical_cdc", "ingest"), {**CDC, "source_slot_name": None}, "source_slot_name"),
+        (("logical_cdc", "ingest"), {**CDC, "source_num_partitions": "-1"}, "greater than zero"),
         (("other", "ingest"), SOURCE, "no such run kind"),
     ],
 )
