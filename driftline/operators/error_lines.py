@@ -55,6 +55,11 @@ def error_artifact_key(payload: Column) -> Column:
     )
 
 
+def broken_lines(lines: DataFrame, line: str = "line") -> DataFrame:
+    """The lines that are neither blank nor JSON."""
+    return lines.filter((strip(F.col(line)) != "") & ~is_json(strip(F.col(line))))
+
+
 def normalize_error_lines(lines: DataFrame, artifact: list[str], line: str = "line") -> DataFrame:
     """Error rows of each artifact, parsed and with defaults filled in.
 

@@ -20,7 +20,7 @@ from driftline.operators.validation import (
 )
 from driftline.plans.deltas import apply_landed, change_log_ddl
 from driftline.plans.run import RunContext, land, land_quarantined, recorded_run
-from driftline.shared import staged
+from driftline.shared import keyed_join, staged
 from driftline.sources.landing import quarantine_key
 from driftline.sources.scan import change_event_scan
 
@@ -35,9 +35,14 @@ def ingest_change_log(
     source_table: str | None = None,
     publication: str | None = None,
     slot: str | None = None,
+    commit: str | None = None,
 ) -> dict[str, dict[str, Any]]:
     """Runs the change-log strategy once: events after the stored position, up to
-    ``end_lsn`` if given. The feed has lsn, xid, seq, op, the contract's columns and
+    ``end_lsn``, by default the highest position of the feed when the run starts.
+
+    ``commit`` names the flag on a transaction's last event. With it, events of
+    transactions that the window cuts are left for a later run, and the stored position
+    stays before them. The feed has lsn, xid, seq, op, the contract's columns and
     the old key columns with the prefix ``old_``."""
     contract = ctx.contract
     with recorded_run(ctx, "apply_delta"):
@@ -49,13 +54,19 @@ def ingest_change_log(
         with ctx.stage("extract_validate_land_wal_delta") as out:
             began = time.monotonic()
             own = F.lit(True) if table is None else F.col("source_table") == table
-            stop = F.lit(end_lsn) if end_lsn is not None else F.lit((1 << 63) - 1)
+            # Only events after the stored position are read at all.
+            fresh = feed if start is None else feed.filter(F.col("lsn") > start)
+            if end_lsn is None:
+                end_lsn = fresh.agg(F.max("lsn")).first()[0] or start or 0
             # Bounds before rows: once the feed has passed the window end, a later
             # read holds every event of the window.
-            bounds = lsn_window(feed, F.lit(start or 0).cast("bigint"), stop, own).first()
-            inside = feed if end_lsn is None else feed.filter(F.col("lsn") <= end_lsn)
+            bounds = lsn_window(fresh, F.lit(start or 0).cast("bigint"), F.lit(end_lsn), own).first()
+            inside = fresh.filter(F.col("lsn") <= end_lsn)
             old = [f"old_{k}" for k in contract.keys]
             events = change_event_scan(inside, contract, start, table, keep=("xid", "seq", "op", *old))
+            held_from = None
+            if commit is not None:
+                events, held_from = _whole_transactions(events, inside, commit)
             rows = staged(events, "change-window")
             highest = rows.agg(F.max("lsn").alias("m")).first()["m"]
             checked = validate(
@@ -102,8 +113,10 @@ def ingest_change_log(
         with ctx.stage("apply_delta") as out:
             out.update(apply_landed(ctx, keys["accepted_key"], change_log_ddl(contract), buckets))
         with ctx.stage("persist_checkpoint") as out:
-            reached = end_lsn if bounds["reached_window_end"] and end_lsn is not None else 0
+            reached = end_lsn if bounds["reached_window_end"] else 0
             number = max(start or 0, highest or 0, reached)
+            if held_from is not None:
+                number = max(start or 0, min(number, held_from - 1))
             position = lsn_text(number) if number else None
             ctx.save_checkpoint(
                 {
@@ -133,3 +146,13 @@ def ingest_change_log(
         with ctx.stage("ack_replication_slot") as out:
             out.update(status="skipped", reason="positions_are_kept_in_the_checkpoint")
     return ctx.results
+
+
+def _whole_transactions(events: DataFrame, window: DataFrame, commit: str) -> tuple[DataFrame, int | None]:
+    """Events of transactions that end inside the window, and the first position of any other."""
+    ended = staged(window.filter(F.col(commit) & F.col("xid").isNotNull()).select("xid").distinct(), "ended")
+    known = staged(events, "window-events")
+    grouped = known.filter("xid IS NOT NULL")
+    first = keyed_join(grouped, ended, ["xid"], "left_anti").agg(F.min("lsn")).first()[0]
+    whole = keyed_join(grouped, ended, ["xid"], "left_semi").select(*known.columns)
+    return whole.unionByName(known.filter("xid IS NULL")), first

@@ -14,11 +14,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from driftline.contracts import Contract
 from driftline.operators.checkpoint import CHECKPOINT_MEMBERS, latest_checkpoint
-from driftline.operators.error_lines import normalize_error_lines, write_stage_errors
+from driftline.operators.error_lines import broken_lines, normalize_error_lines, write_stage_errors
 from driftline.operators.ledger import COUNTS, EXPECTED_TASKS, EXTRACT_STAGES, fold_runs, latest_stages
 from driftline.operators.metrics import enrich_metrics
 from driftline.operators.validation import ValidationFailed
-from driftline.shared import list_names, scratch_scope, write_text
+from driftline.shared import file_exists, list_names, scratch_scope, stored_bytes, write_text
 from driftline.sources.landing import (
     artifact_keys,
     land_accepted,
@@ -159,6 +159,7 @@ class RunContext:
             }
             if isinstance(exc, ValidationFailed):
                 told.update(exc.context())
+                told.update(self.artifact_sizes(told))
             self.ledger.add_stage(
                 **record,
                 status="failed",
@@ -168,11 +169,22 @@ class RunContext:
             )
             self.results[f"failed:{name}"] = told
             raise
+        payload.update(self.artifact_sizes(payload))
         self.ledger.add_stage(
             **record, status="success", finished_at=utc_now(), metrics_json=json.dumps(payload)
         )
         self.results[name] = payload
 
+    def artifact_sizes(self, payload: dict[str, Any]) -> dict[str, Any]:
+        """Bytes of the landed artifacts that a payload names, and their sum; what is not there is left out."""
+        sizes = {}
+        for name, key in payload.items():
+            if name.endswith(("_object_key", "_manifest_key")) and key and str(key).strip():
+                size = stored_bytes(self.spark, self.path(str(key).strip()))
+                if size is not None:
+                    sizes[name] = size
+        return {"artifact_sizes_bytes": sizes, "artifact_total_bytes": sum(sizes.values())} if sizes else {}
+
     def finish(
         self, status: str, counts: dict[str, Any], metrics: dict[str, Any], error_text: str | None = None
     ) -> None:
@@ -196,12 +208,17 @@ class RunContext:
         )
 
     def record_errors(self, stage_name: str, error_key: str | None) -> None:
-        """Replaces the stored validation errors of a stage by those of its artifact."""
-        if not error_key:
+        """Replaces the stored validation errors of a stage by those of its artifact.
+
+        What is stored stays where there is no artifact, or one with a broken line.
+        """
+        if not error_key or not file_exists(self.spark, self.path(error_key)):
             return
         lines = read_error_lines(self.spark, self.path(error_key)).withColumns(
             {"run_id": F.lit(self.run_id), "stage_name": F.lit(stage_name)}
         )
+        if broken_lines(lines).limit(1).count():
+            return
         rows = normalize_error_lines(lines, ["run_id", "stage_name"])
         identity = F.concat_ws("/", "run_id", "stage_name", "part", F.col("line_no").cast("string"))
         full = rows.withColumns(
@@ -283,7 +300,9 @@ def _close(ctx: RunContext, apply_stage: str) -> None:
         "validation_error_object_key": error_key,
         "validation_manifest_key": extract.get("validation_manifest_key") or extract.get("manifest_key"),
         "checkpoint_persisted": "persist_checkpoint" in ctx.results,
+        **{k: extract[k] for k in ("accepted_object_key", "delta_object_key") if extract.get(k)},
     }
+    metrics.update(ctx.artifact_sizes(metrics))
     counts = {name: applied.get(name, 0) for name in COUNTS}
     if missing:
         if not replay:

@@ -83,6 +83,13 @@ def claim_text(spark: SparkSession, path: str, text: str) -> None:
     out.close()
 
 
+def stored_bytes(spark: SparkSession, path: str) -> int | None:
+    """Bytes of a file, or of all files in a folder; None where there is neither."""
+    name = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = name.getFileSystem(spark._jsc.hadoopConfiguration())
+    return int(files.getContentSummary(name).getLength()) if files.exists(name) else None
+
+
 def empty_for(spark: SparkSession, path: str) -> float | None:
     """Seconds since an empty file was written; None where it has content or is not there."""
     name = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -12,6 +12,7 @@ from driftline.operators.diff import hash_diff
 from driftline.operators.ledger import EXPECTED_TASKS, fold_runs, run_outcomes
 from driftline.operators.metrics import enrich_metrics, rate_metrics
 from driftline.operators.validation import quarantine_counts, quarantine_transactions
+from driftline.plans import ingest_change_log
 from driftline.plans.snapshot import current_rows
 from driftline.shared import claim_text, replace_text
 from driftline.sources import curated
@@ -116,3 +117,32 @@ def test_payloads_with_repeated_members_and_no_numbers(spark):
     members = json.loads(enrich_metrics(payloads, "payload").first()["payload"])
     assert members["a"] == "x" and members["b"] == 2
     assert rate_metrics(payloads).first()["processed_records_per_second"] is None
+
+
+def test_a_window_that_cuts_a_transaction_leaves_it_whole(spark, tmp_path):
+    ctx = _context(spark, USERS, "logical_cdc", str(tmp_path))
+    events = [(1, 1, 1, "I", None, 1, 5.0, True), (2, 2, 2, "I", None, 2, 6.0, False), (3, 3, 3, "I", None, 3, 7.0, True), (4, 2, 4, "I", None, 4, 1.0, True)]
+    feed = spark.createDataFrame(events, EVENT)
+    first = ingest_change_log(ctx, feed, end_lsn=3, buckets=2, commit="tx_end")
+    assert rows_of(current_rows(ctx)) == [(1, 5.0), (3, 7.0)]
+    assert ctx.ledger.checkpoint(ctx.pipeline_id)["last_applied_lsn"] == "0/1"
+    again = _context(spark, USERS, "logical_cdc", str(tmp_path))
+    second = ingest_change_log(again, feed, buckets=2, commit="tx_end")
+    assert rows_of(current_rows(again)) == [(1, 5.0), (3, 7.0)]
+    told = second["extract_validate_land_wal_delta"]
+    assert (told["window_end_lsn"], told["reached_window_end"], told["quarantined_event_count"]) == ("0/4", True, 2)
+    assert first["extract_validate_land_wal_delta"]["artifact_total_bytes"] > 0
+    run = again.ledger.runs().filter(F.col("run_id") == again.run_id).first()
+    metrics = json.loads(run["metrics_json"])
+    assert metrics["artifact_total_bytes"] > 0 and metrics["delta_object_key"] == again.keys["accepted_key"]
+
+
+def test_a_broken_error_artifact_keeps_what_is_stored(spark, tmp_path):
+    ctx = _context(spark, USERS, "logical_cdc", str(tmp_path))
+    path = f"{tmp_path}/landing/errors"
+    for lines, kept in ((['{"row_number": 1}', '{"row_number": 2}'], 2), (['{"row_number": 3}', "{broken"], 2), (['{"row_number": 4}'], 1)):
+        spark.createDataFrame([(x,) for x in lines], "value string").write.mode("overwrite").text(path)
+        ctx.record_errors("stage", "errors")
+        assert spark.read.parquet(f"{ctx.ledger.root}/validation_errors").count() == kept
+    ctx.record_errors("stage", "missing")
+    assert spark.read.parquet(f"{ctx.ledger.root}/validation_errors").count() == 1
