@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark.sql import Column, DataFrame, functions as F
 
 from driftline.llm.common import parts_for
@@ -201,16 +202,24 @@ def repeated_anchors(docs: DataFrame, parts: int) -> DataFrame:
     return dealt.repartition(parts, "bucket").mapInPandas(meet, "text_hash long, anchors binary")
 
 
+def _squeeze(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Texts as compressed bytes: they cross the network twice."""
+    squeezer = zstandard.ZstdCompressor(level=3)
+    for rows in batches:
+        rows["squeezed"] = [squeezer.compress(_utf8(t)) for t in rows.pop("text")]
+        yield rows.astype({"doc_id": "Int64"})
+
+
 _STRINGS = "anchor long, doc_id long, text_hash long, start long, bytes binary, local binary"
 
 
 def _strings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """The bytes around each repeated anchor; repeats inside a text are settled here."""
-    hasher = Hasher()
+    hasher, squeezed = Hasher(), zstandard.ZstdDecompressor()
     for rows in batches:
         texts = (
-            ((d, h, np.unique(np.concatenate([np.frombuffer(a, np.uint64) for a in found]))), _utf8(t))
-            for d, h, t, found in zip(rows["doc_id"], rows["text_hash"], rows["text"], rows["anchors"], strict=True)
+            ((d, h, np.unique(np.concatenate([np.frombuffer(a, np.uint64) for a in found]))), squeezed.decompress(t))
+            for d, h, t, found in zip(rows["doc_id"], rows["text_hash"], rows["squeezed"], rows["anchors"], strict=True)
         )
         for owners, offsets, pieces in _chunks(texts):
             sums, owner, keys, first, last = _anchors(hasher, pieces)
@@ -286,10 +295,11 @@ def _earlier(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _remove(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    squeezed = zstandard.ZstdDecompressor()
     for rows in batches:
         out = []
-        for doc_id, text_hash, text, packed in zip(rows["doc_id"], rows["text_hash"], rows["text"], rows["spans"], strict=True):
-            data, kept, at, removed, count = _utf8(text), [], 0, 0, 0
+        for doc_id, text_hash, text, packed in zip(rows["doc_id"], rows["text_hash"], rows["squeezed"], rows["spans"], strict=True):
+            data, kept, at, removed, count = squeezed.decompress(text), [], 0, 0, 0
             spans = np.concatenate([np.frombuffer(s, np.int64).reshape(-1, 2) for s in packed])
             spans = spans[np.argsort(spans[:, 0], kind="stable")]
             reach = np.maximum.accumulate(spans[:, 1])
@@ -335,16 +345,17 @@ def remove_repeats(docs: DataFrame, with_kept: bool = False) -> DataFrame:
     wanted = found.join(
         first.select(F.col("first_id"), F.col("first_hash").alias("text_hash")), "text_hash"
     ).withColumnRenamed("text_hash", "hash")
-    mine = (named["text_hash"] == F.col("hash")) & named["doc_id"].eqNullSafe(F.col("first_id"))
-    texts = named.join(wanted, mine).dropDuplicates(["text_hash", "doc_id"])
-    texts = staged(texts.select("doc_id", "text_hash", "text", "anchors"), "candidates")
+    small = named.mapInPandas(_squeeze, "doc_id long, text_hash long, squeezed binary")
+    mine = (small["text_hash"] == F.col("hash")) & small["doc_id"].eqNullSafe(F.col("first_id"))
+    texts = small.join(wanted, mine).dropDuplicates(["text_hash", "doc_id"])
+    texts = staged(texts.select("doc_id", "text_hash", "squeezed", "anchors"), "candidates")
 
     strings = texts.mapInPandas(_strings, _STRINGS).repartition(parts, "anchor")
     strings = strings.sortWithinPartitions(F.col("doc_id").asc_nulls_last(), "text_hash", "start")
     spans = staged(strings.mapInPandas(_earlier, "text_hash long, spans binary"), "spans")
     spans = spans.groupBy("text_hash").agg(F.collect_list("spans").alias("spans"))
     shape = "doc_id long, text_hash long, n_removed long, n_spans long, kept_sha256 string, kept binary"
-    cut = texts.select("doc_id", "text_hash", "text").join(spans, "text_hash").mapInPandas(_remove, shape)
+    cut = texts.select("doc_id", "text_hash", "squeezed").join(spans, "text_hash").mapInPandas(_remove, shape)
     if not with_kept:
         cut = cut.drop("kept")
     cut = staged(cut, "cut").withColumnsRenamed({"doc_id": "cut_id", "text_hash": "cut_hash"})
