@@ -131,6 +131,84 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_ASSIGN = (
+    "([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]"
+    "|[aA][pP][iI]_?[kK][eE][yY])[\"'']?\\x20*[:=]\\x20*[\"'']?([A-Za-z0-9+/_.=-]+)"
+)
+_OP6 = f"""
+WITH texts AS (
+  SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS text FROM documents
+), kinds(k, kind, pattern, part, least) AS (VALUES
+  (0, 'assign', '{_ASSIGN}', 2, 6), (1, 'access', 'AKIA[A-Z0-9]{{16,}}', 0, 20),
+  (2, 'hex', '[0-9a-f]{{24,}}', 0, 24), (3, 'mixed', '[A-Za-z0-9+/_=-]{{20,}}', 0, 20)
+), matched AS (
+  SELECT r, doc_id, source, k, kind, least, regexp_extract_all(text, pattern) AS hits,
+    string_split_regex(text, pattern) AS gaps,
+    CASE WHEN part = 2 THEN regexp_extract_all(text, '{_ASSIGN}', 2) ELSE regexp_extract_all(text, pattern) END AS parts
+  FROM texts, kinds WHERE regexp_matches(text, pattern)
+), each AS (
+  SELECT *, unnest(range(1, len(hits) + 1)) AS i FROM matched
+), placed AS (
+  SELECT r, doc_id, source, k, kind, parts[i] AS value, length(hits[i]) AS size,
+    (list_sum(list_transform(gaps[1:i], lambda x: length(x)))
+      + coalesce(list_sum(list_transform(hits[1:i-1], lambda x: length(x))), 0))::BIGINT AS start
+  FROM each WHERE length(parts[i]) >= least
+), kept AS (
+  SELECT * FROM placed p WHERE k < 3 OR (regexp_matches(value, '[0-9]') AND regexp_matches(value, '[a-z]')
+    AND regexp_matches(value, '[A-Z]') AND NOT EXISTS (SELECT 1 FROM placed b WHERE b.r = p.r AND b.k < 3
+      AND b.start < p.start + p.size AND p.start < b.start + b.size))
+), owned AS (
+  SELECT value, count(DISTINCT source) < {secret_scan.EXAMPLE_OWNERS} AS live FROM kept GROUP BY value
+), per AS (
+  SELECT r, count(*) FILTER (k = 0) AS n_assign, count(*) FILTER (k = 1) AS n_access, count(*) FILTER (k = 2) AS n_hex,
+    string_agg(kind || ':' || start || ':' || start + size, ',' ORDER BY start, k) FILTER (k < 3) AS base,
+    string_agg(kind || ':' || start || ':' || start + size, ',' ORDER BY start, k) FILTER (k < 3 OR live) AS spans,
+    count(*) FILTER (live) AS n_live, count(*) FILTER (k < 3 AND NOT live) AS n_example
+  FROM kept JOIN owned USING (value) GROUP BY r
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
+  coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example
+FROM texts LEFT JOIN per USING (r)
+"""
+
+_LOWER_WORDS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+    "'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\\x{80}-\\x{10FFFF}]+')"
+)
+_OP7 = f"""
+WITH items AS (
+  SELECT item_id, words, len(words) AS n, least(len(words), {decontamination.SHINGLE_WORDS}) AS size
+  FROM (SELECT DISTINCT item_id, {_LOWER_WORDS} AS words FROM benchmark) WHERE len(words) > 0
+), places AS (
+  SELECT item_id, n, size, q, array_to_string(words[q + 1:q + size], ' ') AS shingle
+  FROM (SELECT *, unnest(range(0, n - size + 1)) AS q FROM items)
+), weights AS (
+  SELECT item_id, sum(length(replace(shingle, ' ', ''))) AS weight
+  FROM (SELECT DISTINCT item_id, shingle FROM places) GROUP BY item_id
+), docs AS (
+  SELECT DISTINCT doc_id, {_LOWER_WORDS} AS words FROM documents
+), runs AS (
+  SELECT doc_id, len(words) AS n_doc, size, p, array_to_string(words[p + 1:p + size], ' ') AS shingle
+  FROM (SELECT doc_id, words, size, unnest(range(0, len(words) - size + 1)) AS p
+    FROM docs, (SELECT DISTINCT size FROM items) WHERE len(words) >= size)
+), hits AS (
+  SELECT doc_id, item_id, n, r.size, p, shingle, greatest(0, least(p - q, n_doc - n)) AS start
+  FROM runs r JOIN places USING (shingle, size)
+), shared AS (
+  SELECT DISTINCT s.doc_id, s.item_id, s.start, h.shingle
+  FROM (SELECT DISTINCT doc_id, item_id, n, size, start FROM hits) s
+  JOIN hits h ON h.doc_id = s.doc_id AND h.item_id = s.item_id AND h.p BETWEEN s.start AND s.start + s.n - s.size
+), scored AS (
+  SELECT doc_id, item_id, start, sum(length(replace(shingle, ' ', ''))) / any_value(weight)::DOUBLE AS similarity
+  FROM shared JOIN weights USING (item_id) GROUP BY doc_id, item_id, start
+)
+SELECT doc_id, item_id, start::BIGINT AS start_word, similarity FROM scored
+WHERE similarity >= {decontamination.MIN_SIMILARITY}
+QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, start) = 1
+"""
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     leaks = decontamination.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return leaks.select("doc_id", "item_id", "start_word", "similarity")
@@ -160,8 +238,8 @@ QUERIES = {
     "op3_suffix_dedup": (op3_suffix_dedup, None),
     "op4_language_id": (op4_language_id, None),
     "op5_sentencepiece": (op5_sentencepiece, None),
-    "op6_secret_scan": (op6_secret_scan, None),
-    "op7_decontamination": (op7_decontamination, None),
+    "op6_secret_scan": (op6_secret_scan, _OP6),
+    "op7_decontamination": (op7_decontamination, _OP7),
     "op8_embedding_dedup": (op8_embedding_dedup, None),
     "op9_toxicity": (op9_toxicity, None),
     "op10_simhash_dedup": (op10_simhash_dedup, None),
