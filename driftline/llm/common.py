@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import math
 import string
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 
 #: A word: ASCII letters and digits, and every character beyond ASCII.
@@ -21,6 +24,37 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
 
 
+def extend(
+    df: DataFrame,
+    use: str,
+    make: Callable[[], Callable[[pa.Array], list[pa.Array]]],
+    added: str,
+    drop: tuple[str, ...] = (),
+    rows: int = 10_000,
+) -> DataFrame:
+    """``df`` without ``drop``, and with the columns ``added`` that are made from column ``use``.
+
+    ``make`` runs once in a task and returns the function for its batches of at most
+    ``rows`` rows. All other columns pass through as they are, whatever their types and
+    nulls. Columns of ``df`` that have the name of an added one give way to it.
+    """
+    fields = StructType.fromDDL(added).fields
+    names = {f.name for f in fields}
+    kept = [c for c in df.columns if c not in names and (c not in drop or c == use)]
+    out = [c for c in kept if c not in drop]
+    source = df.select(*kept)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        work = make()
+        for batch in batches:
+            for at in range(0, batch.num_rows, rows):
+                part = batch.slice(at, rows)
+                columns = [part.column(c) for c in out] + work(part.column(use))
+                yield pa.RecordBatch.from_arrays(columns, names=[*out, *(f.name for f in fields)])
+
+    return source.mapInArrow(run, StructType([*(source.schema[c] for c in out), *fields]))
+
+
 def packed(docs: DataFrame, **extra: Column) -> DataFrame:
     """The rows whole, in one column ``row``, beside ``extra``: no name of theirs can clash."""
     return docs.select(

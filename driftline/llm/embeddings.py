@@ -14,9 +14,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from driftline.llm import block_tree
+from driftline.llm.common import extend
 from driftline.llm.components import connected_components, merge_labels
 from driftline.shared import keyed_join, staged
 
@@ -44,15 +46,17 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str, label_col: str) ->
     """(id, label, width, packed) of the vectors that can link, as packed doubles."""
     rows = _marked(vectors, id_col, vector_col, label_col).where("links").drop("links")
 
-    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in batches:
+    def make():
+        def pack(vectors: pa.Array) -> list[pa.Array]:
+            ends = vectors.offsets.to_numpy()
             # Adding zero turns -0.0 into 0.0, so equal vectors have equal bytes.
-            rows["packed"] = [(np.asarray(v, dtype=np.float64) + 0.0).tobytes() for v in rows.pop("v")]
-            rows["width"] = rows["packed"].str.len() // 8
-            yield rows
+            parts = vectors.values.to_numpy(zero_copy_only=False) + 0.0
+            packed = [parts[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)]
+            return [pa.array(packed, pa.binary()), pa.array(np.diff(ends), pa.int32())]
+
+        return pack
 
-    kind = dict(rows.dtypes)["id"]
-    return rows.mapInPandas(pack, f"id {kind}, label string, packed binary, width int")
+    return extend(rows, "v", make, "packed binary, width int", ("v",))
 
 
 def principal_directions(distinct: DataFrame, count: int = DIRECTIONS) -> dict[int, np.ndarray]:

@@ -14,8 +14,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
+from driftline.llm.common import extend
 from driftline.shared import staged
 
 #: Most training documents of one language, and most landmarks of all languages together.
@@ -114,24 +116,24 @@ def identify(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
     language by name wins. A text that is null or has no letter is ``und`` with score 0, as
     is every text when there was nothing to learn from. Repeated rows stay repeated.
     """
-    spark = docs.sparkSession
-    kind = dict(docs.dtypes)["doc_id"]
-    sent = spark.sparkContext.broadcast((model.languages, model.weights) if model else None)
+    sent = docs.sparkSession.sparkContext.broadcast((model.languages, model.weights) if model else None)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def make():
         model = LanguageModel(*sent.value) if sent.value else None
-        for rows in batches:
-            names = np.full(len(rows), UNKNOWN, dtype=object)
-            score = np.zeros(len(rows))
-            at = np.flatnonzero(rows["lettered"].to_numpy(dtype=bool))
+
+        def run(texts: pa.Array) -> list[pa.Array]:
+            # Texts that cannot be judged come as null.
+            texts = texts.to_pylist()
+            names, score = np.full(len(texts), UNKNOWN, dtype=object), np.zeros(len(texts))
+            at = np.array([i for i, t in enumerate(texts) if t is not None], dtype=np.int64)
             if model and len(at):
-                outputs = model.scores([grams(t) for t in rows["text"].iloc[at]])
-                best = outputs.argmax(axis=1)
-                names[at] = np.array(model.languages, dtype=object)[best]
+                outputs = model.scores([grams(texts[i]) for i in at])
+                names[at] = np.array(model.languages, dtype=object)[outputs.argmax(axis=1)]
                 score[at] = np.clip((outputs.max(axis=1) + 1) / 2, 0, 1)
-            yield pd.DataFrame({"doc_id": rows["doc_id"], "lang_pred": names, "score": score})
+            return [pa.array(names, pa.string()), pa.array(score)]
+
+        return run
 
-    lettered = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("lettered")
-    return docs.select("doc_id", "text", lettered).mapInPandas(
-        run, f"doc_id {kind}, lang_pred string, score double"
-    )
+    lettered = F.when(F.col("text").rlike(r"\p{L}"), F.col("text"))
+    named = docs.select("doc_id", lettered.alias("text"))
+    return extend(named, "text", make, "lang_pred string, score double", drop=("text",))

@@ -19,9 +19,11 @@ import types
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from driftline.llm.common import extend
+
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -329,33 +331,33 @@ def encode_documents(
     """
     spark = docs.sparkSession
     sent = spark.sparkContext.broadcast(read_model(spark, path))
-    kept = docs.select("doc_id", *(keep or []))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def make():
         coder = _coder(sent.value)
-        for rows in batches:
-            for at in range(0, len(rows), _TEXTS):
-                part = rows.iloc[at : at + _TEXTS].copy()
-                part["ids"] = coder.encode([t or "" for t in part.pop("text")])
-                if with_decoded:
-                    part["decoded"] = [coder.decode(i) for i in part["ids"]]
-                yield part
 
-    shape = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
-    shape += ", ids array<int>" + (", decoded string" if with_decoded else "")
-    return docs.select(*kept.columns, "text").mapInPandas(run, shape)
+        def run(texts: pa.Array) -> list[pa.Array]:
+            ids = coder.encode([t or "" for t in texts.to_pylist()])
+            ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+            out = [pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids).astype(np.int32)))]
+            if with_decoded:
+                out.append(pa.array([coder.decode(i) for i in ids], pa.string()))
+            return out
+
+        return run
+
+    added = "ids array<int>" + (", decoded string" if with_decoded else "")
+    return extend(docs.select("doc_id", *(keep or []), "text"), "text", make, added, ("text",), _TEXTS)
 
 
 def decode_ids(encoded: DataFrame, path: str = MODEL) -> DataFrame:
     """(doc_id, text) of rows ``(doc_id, ids)``; null ids give the empty text."""
     spark = encoded.sparkSession
     sent = spark.sparkContext.broadcast(read_model(spark, path))
-    kind = dict(encoded.dtypes)["doc_id"]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def make():
         coder = _coder(sent.value)
-        for rows in batches:
-            rows["text"] = [coder.decode(np.asarray([] if i is None else i, dtype=np.int64)) for i in rows.pop("ids")]
-            yield rows
+        return lambda rows: [
+            pa.array([coder.decode(np.array(ids or [], dtype=np.int64)) for ids in rows.to_pylist()], pa.string())
+        ]
 
-    return encoded.select("doc_id", "ids").mapInPandas(run, f"doc_id {kind}, text string")
+    return extend(encoded.select("doc_id", "ids"), "ids", make, "text string", ("ids",))

@@ -13,11 +13,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from driftline.llm import block_tree
-from driftline.llm.common import packed
+from driftline.llm.common import extend, packed
 from driftline.llm.components import connected_components, merge_labels
 from driftline.shared import keyed_join, staged
 
@@ -52,16 +53,12 @@ def fingerprint(text: str | None, shingle_words: int = SHINGLE_WORDS) -> int:
 
 def with_fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
     """(doc_id, text_hash, fp) for every row of ``docs(doc_id, text)``."""
-    kind = dict(docs.dtypes)["doc_id"]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in batches:
-            rows["fp"] = np.array([fingerprint(t, shingle_words) for t in rows.pop("text")], dtype=np.int64)
-            yield rows
+    def make():
+        return lambda texts: [pa.array([fingerprint(t, shingle_words) for t in texts.to_pylist()], pa.int64())]
 
-    return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInPandas(
-        run, f"doc_id {kind}, text_hash long, fp long"
-    )
+    named = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    return extend(named, "text", make, "fp long", drop=("text",))
 
 
 def gray_rank(fp: Column) -> Column:

@@ -199,7 +199,7 @@ def repeated_anchors(docs: DataFrame, parts: int) -> DataFrame:
     dealt = docs.select("text_hash", "text").mapInPandas(
         sample, "bucket long, keys binary, places binary, texts binary"
     )
-    return dealt.repartition(parts, "bucket").mapInPandas(meet, "text_hash long, anchors binary")
+    return dealt.repartitionById(parts, F.col("bucket").cast("int")).mapInPandas(meet, "text_hash long, anchors binary")
 
 
 def _squeeze(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -207,10 +207,10 @@ def _squeeze(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     squeezer = zstandard.ZstdCompressor(level=3)
     for rows in batches:
         rows["squeezed"] = [squeezer.compress(_utf8(t)) for t in rows.pop("text")]
-        yield rows.astype({"doc_id": "Int64"})
+        yield rows
 
 
-_STRINGS = "anchor long, doc_id long, text_hash long, start long, bytes binary, local binary"
+_STRINGS = "anchor long, place long, text_hash long, start long, bytes binary, local binary"
 
 
 def _strings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -219,7 +219,7 @@ def _strings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for rows in batches:
         texts = (
             ((d, h, np.unique(np.concatenate([np.frombuffer(a, np.uint64) for a in found]))), squeezed.decompress(t))
-            for d, h, t, found in zip(rows["doc_id"], rows["text_hash"], rows["squeezed"], rows["anchors"], strict=True)
+            for d, h, t, found in zip(rows["place"], rows["text_hash"], rows["squeezed"], rows["anchors"], strict=True)
         )
         for owners, offsets, pieces in _chunks(texts):
             sums, owner, keys, first, last = _anchors(hasher, pieces)
@@ -247,9 +247,7 @@ def _strings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for n in np.unique(whose[again]).tolist():
                 spans = _runs(starts[again & (whose == n)] - begins[n] + offsets[n])
                 out.append((owners[n][1], owners[n][0], owners[n][1], 0, None, spans.tobytes()))
-            yield pd.DataFrame(out, columns=["anchor", "doc_id", "text_hash", "start", "bytes", "local"]).astype(
-                {"doc_id": "Int64"}
-            )
+            yield pd.DataFrame(out, columns=["anchor", "place", "text_hash", "start", "bytes", "local"])
 
 
 def _runs(starts: np.ndarray) -> np.ndarray:
@@ -298,7 +296,7 @@ def _remove(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     squeezed = zstandard.ZstdDecompressor()
     for rows in batches:
         out = []
-        for doc_id, text_hash, text, packed in zip(rows["doc_id"], rows["text_hash"], rows["squeezed"], rows["spans"], strict=True):
+        for place, text_hash, text, packed in zip(rows["place"], rows["text_hash"], rows["squeezed"], rows["spans"], strict=True):
             data, kept, at, removed, count = squeezed.decompress(text), [], 0, 0, 0
             spans = np.concatenate([np.frombuffer(s, np.int64).reshape(-1, 2) for s in packed])
             spans = spans[np.argsort(spans[:, 0], kind="stable")]
@@ -310,10 +308,8 @@ def _remove(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 at, removed, count = b, removed + b - a, count + 1
             kept.append(data[at:])
             rest = b"".join(kept)
-            out.append((doc_id, text_hash, removed, count, hashlib.sha256(rest).hexdigest(), rest))
-        yield pd.DataFrame(
-            out, columns=["doc_id", "text_hash", "n_removed", "n_spans", "kept_sha256", "kept"]
-        ).astype({"doc_id": "Int64"})
+            out.append((place, text_hash, removed, count, hashlib.sha256(rest).hexdigest(), rest))
+        yield pd.DataFrame(out, columns=["place", "text_hash", "n_removed", "n_spans", "kept_sha256", "kept"])
 
 
 def remove_repeats(docs: DataFrame, with_kept: bool = False) -> DataFrame:
@@ -327,56 +323,50 @@ def remove_repeats(docs: DataFrame, with_kept: bool = False) -> DataFrame:
     ``kept``, the remaining bytes. An empty table gives no rows; other columns are not read.
     """
     spark = docs.sparkSession
-    kind = dict(docs.dtypes)["doc_id"]
     text = F.coalesce("text", F.lit(""))
-    named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
-    base = staged(
-        named.select("doc_id", "text_hash", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("sha")),
-        "texts",
-    )
+    # The place of a document: its id, or the last of all places without one. Never null.
+    place = F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1))
+    named = docs.select("doc_id", place.alias("place"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
+    size, sha = F.octet_length("text").cast("long"), F.sha2("text", 256)
+    base = staged(named.select("doc_id", "place", "text_hash", size.alias("n_bytes"), sha.alias("sha")), "texts")
     total = base.agg(F.sum("n_bytes")).first()[0] or 0
     parts = parts_for(spark, total, _BYTES_PER_RANGE)
-    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"))
-    first = base.groupBy("sha").agg(F.min(order)["id"].alias("first_id"), F.min("text_hash").alias("first_hash"))
+    first = base.groupBy("sha").agg(F.min("place").alias("first"), F.min("text_hash").alias("text_hash"))
     first = staged(first, "first")
 
     anchors = staged(repeated_anchors(named, parts), "anchors")
     found = anchors.groupBy("text_hash").agg(F.collect_list("anchors").alias("anchors"))
-    wanted = found.join(
-        first.select(F.col("first_id"), F.col("first_hash").alias("text_hash")), "text_hash"
-    ).withColumnRenamed("text_hash", "hash")
-    small = named.mapInPandas(_squeeze, "doc_id long, text_hash long, squeezed binary")
-    mine = (small["text_hash"] == F.col("hash")) & small["doc_id"].eqNullSafe(F.col("first_id"))
-    texts = small.join(wanted, mine).dropDuplicates(["text_hash", "doc_id"])
-    texts = staged(texts.select("doc_id", "text_hash", "squeezed", "anchors"), "candidates")
+    wanted = found.join(first.select(F.col("first").alias("place"), "text_hash"), "text_hash")
+    small = named.select("place", "text_hash", "text").mapInPandas(
+        _squeeze, "place long, text_hash long, squeezed binary"
+    )
+    texts = small.join(wanted, ["text_hash", "place"]).dropDuplicates(["text_hash", "place"])
+    texts = staged(texts.select("place", "text_hash", "squeezed", "anchors"), "candidates")
 
     strings = texts.mapInPandas(_strings, _STRINGS).repartition(parts, "anchor")
-    strings = strings.sortWithinPartitions(F.col("doc_id").asc_nulls_last(), "text_hash", "start")
+    strings = strings.sortWithinPartitions("place", "text_hash", "start")
     spans = staged(strings.mapInPandas(_earlier, "text_hash long, spans binary"), "spans")
     spans = spans.groupBy("text_hash").agg(F.collect_list("spans").alias("spans"))
-    shape = "doc_id long, text_hash long, n_removed long, n_spans long, kept_sha256 string, kept binary"
-    cut = texts.select("doc_id", "text_hash", "squeezed").join(spans, "text_hash").mapInPandas(_remove, shape)
-    if not with_kept:
-        cut = cut.drop("kept")
-    cut = staged(cut, "cut").withColumnsRenamed({"doc_id": "cut_id", "text_hash": "cut_hash"})
+    shape = "place long, text_hash long, n_removed long, n_spans long, kept_sha256 string, kept binary"
+    cut = texts.select("place", "text_hash", "squeezed").join(spans, "text_hash").mapInPandas(_remove, shape)
+    cut = staged(cut if with_kept else cut.drop("kept"), "cut")
 
-    marked = keyed_join(base, first.drop("first_hash"), ["sha"], "inner")
-    own = (marked["text_hash"] == cut["cut_hash"]) & marked["doc_id"].eqNullSafe(cut["cut_id"])
-    joined = marked.join(cut, own, "left")
-    copy = ~F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("n_bytes") >= LENGTH)
+    marked = keyed_join(base, first.drop("text_hash"), ["sha"], "inner")
+    joined = marked.join(cut, ["text_hash", "place"], "left")
+    copy = (F.col("place") != F.col("first")) & (F.col("n_bytes") >= LENGTH)
 
     def column(name: str, of_copy: Column, of_whole: Column) -> Column:
         return F.when(copy, of_copy).otherwise(F.coalesce(F.col(name), of_whole)).alias(name)
 
     columns = [
-        F.col("doc_id").cast(kind).alias("doc_id"),
+        "doc_id",
         "n_bytes",
         column("n_removed", F.col("n_bytes"), F.lit(0).cast("long")),
         column("n_spans", F.lit(1).cast("long"), F.lit(0).cast("long")),
         column("kept_sha256", F.lit(_EMPTY), F.col("sha")),
     ]
     if with_kept:
-        whole = named.select(F.col("doc_id").alias("w_id"), F.col("text_hash").alias("w_hash"), F.encode("text", "UTF-8").alias("w_text")).distinct()
-        joined = joined.join(whole, joined["doc_id"].eqNullSafe(whole["w_id"]) & (joined["text_hash"] == whole["w_hash"]))
-        columns.append(column("kept", F.lit(b""), F.col("w_text")))
+        whole = named.select("place", "text_hash", F.encode("text", "UTF-8").alias("whole")).distinct()
+        joined = joined.join(whole, ["text_hash", "place"])
+        columns.append(column("kept", F.lit(b""), F.col("whole")))
     return joined.select(*columns)

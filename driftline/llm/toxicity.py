@@ -15,9 +15,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from driftline.llm.common import held_out
+from driftline.llm.common import extend, held_out
 from driftline.shared import staged
 
 #: Most labelled documents that the fit reads, spread evenly over all by a hash of their id.
@@ -165,25 +166,27 @@ def score_documents(docs: DataFrame, model: ToxicityModel, threshold: float = TH
     """
     sent = docs.sparkSession.sparkContext.broadcast((model.weights, model.bias))
     extra = "score double, predicted int, n_sentences int, offending array<struct<start:int,end:int,score:double>>"
-    names = ["score", "predicted", "n_sentences", "offending"]
-    rest = [c for c in docs.columns if c not in names]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def make():
         score = ToxicityModel(*sent.value).scorer()
-        for rows in batches:
-            found = [score(t) for t in rows["text"]]
-            rows["score"] = [s for s, _ in found]
-            rows["predicted"] = (rows["score"] >= threshold).astype("int32")
-            rows["n_sentences"] = np.array([len(x) for _, x in found], dtype="int32")
-            rows["offending"] = [
+        kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
+
+        def run(texts: pa.Array) -> list[pa.Array]:
+            found = [score(t) for t in texts.to_pylist()]
+            offending = [
                 [x for x in spans if x[2] >= threshold] or ([max(spans, key=lambda x: x[2])] if s >= threshold else [])
                 for s, spans in found
             ]
-            yield rows
+            return [
+                pa.array([s for s, _ in found], pa.float64()),
+                pa.array([int(s >= threshold) for s, _ in found], pa.int32()),
+                pa.array([len(spans) for _, spans in found], pa.int32()),
+                pa.array([[dict(zip(("start", "end", "score"), x, strict=True)) for x in row] for row in offending], kind),
+            ]
+
+        return run
 
-    plain = docs.select(*rest)
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema)
-    return plain.mapInPandas(run, f"{kept}, {extra}")
+    return extend(docs, "text", make, extra)
 
 
 def fit_held_in(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_DOCS) -> ToxicityModel:

@@ -21,7 +21,7 @@ _BOUND_SAMPLES = 100
 _BOUND_CHARS = 300
 _TOP = chr(0x10FFFF) * 4
 
-_RESULT = "page_id {id}, host string, path string, rule string, verdict string"
+_RESULT = "page_id string, host string, path string, rule string, verdict string"
 
 
 def host_and_path(url):
@@ -50,7 +50,8 @@ def filter_urls(pages: DataFrame, rules: DataFrame, default: str = "allow") -> D
     repeated; an empty table gives no rows; other columns of ``pages`` are not read.
     """
     spark = pages.sparkSession
-    urls = pages.select(F.col("page_id"), F.col("url").alias("_url"))
+    # Ids travel as text: a null among them would turn whole numbers into fractions.
+    urls = pages.select(F.col("page_id").cast("string").alias("page_id"), F.col("url").alias("_url"))
     rest, host, path = host_and_path(F.col("_url"))
     urls = urls.withColumn("_rest", rest).withColumn("_raw", host)
     urls = urls.withColumn("_host", F.col("_raw")).withColumn("path", path)
@@ -94,9 +95,8 @@ def filter_urls(pages: DataFrame, rules: DataFrame, default: str = "allow") -> D
             rows["range"] = [list(range(a, b + 1)) for a, b in zip(first, last, strict=True)]
             yield rows.explode("range").astype({"range": "int64"})
 
-    kind = dict(urls.dtypes)["page_id"]
     left = urls.mapInPandas(
-        ranges_of_urls, f"page_id {kind}, host string, path string, key string, range long"
+        ranges_of_urls, "page_id string, host string, path string, key string, range long"
     )
     right = known.mapInPandas(
         ranges_of_rules,
@@ -108,11 +108,8 @@ def filter_urls(pages: DataFrame, rules: DataFrame, default: str = "allow") -> D
     def sweep(urls: pd.DataFrame, rules: pd.DataFrame) -> pd.DataFrame:
         return _sweep(urls, rules, default)
 
-    return (
-        left.groupBy("range")
-        .cogroup(right.groupBy("range"))
-        .applyInPandas(sweep, _RESULT.format(id=kind))
-    )
+    judged = left.groupBy("range").cogroup(right.groupBy("range")).applyInPandas(sweep, _RESULT)
+    return judged.withColumn("page_id", F.col("page_id").cast(dict(pages.dtypes)["page_id"]))
 
 
 def _bounds(urls: DataFrame) -> np.ndarray:
