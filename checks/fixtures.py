@@ -375,15 +375,13 @@ _TEXTS = {"error_lines", "payloads", "requests", "stage_rows", "run_audit", "tas
 def frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A fixture as a Spark frame.
 
-    A test table is one file with one row group, which one task reads. Where there
-    are fewer files than cores the rows of text fixtures are spread out first; a
-    table of many files is read as it lies.
+    A test table is one file with one row group, which one task reads. The rows of
+    text fixtures, which are built by long expressions, are spread out first.
     """
     source, columns, condition, grouping = FIXTURES[name]
     df = table(spark, sf_dir, source)
-    cores = spark.sparkContext.defaultParallelism
-    if name in _TEXTS and len(df.inputFiles()) < cores:
-        df = df.repartition(cores, df.columns[0])
+    if name in _TEXTS:
+        df = df.repartition(spark.sparkContext.defaultParallelism, df.columns[0])
     if condition:
         df = df.where(condition)
     if grouping:

@@ -239,6 +239,7 @@ won AS (SELECT DISTINCT ON (pipeline_id) pipeline_id, coalesce(finished_at, star
 state AS (SELECT l.pipeline_id, l.ended AS last_run_at, w.ended AS last_success_at, l.status AS last_status,
   CASE WHEN l.status <> 'success' THEN l.error_text END AS last_error
   FROM latest l LEFT JOIN won w ON l.pipeline_id = w.pipeline_id)"""
+# The tasks of each kind of run, in pipeline order.
 _EXPECTED = """expected(strategy, run_mode, pos, task) AS (VALUES
   ('hash_diff', 'ingest', 1, 'fetch_contract'), ('hash_diff', 'ingest', 2, 'read_checkpoint'),
   ('hash_diff', 'ingest', 3, 'start_run'), ('hash_diff', 'ingest', 4, 'extract_validate_land'),
