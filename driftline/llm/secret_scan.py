@@ -22,15 +22,18 @@ _EITHER = "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in _NAMES)
 _ASSIGN = rf"""({_EITHER})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 
 # Base kinds in their fixed order: pattern, group that holds the value, smallest value
-# length, and a quick sign that a text has any.
+# length, and a quick sign that a text has any. Runs shorter than their smallest length are
+# not matched at all, which drops the same runs as matching them and measuring them does.
 BASE_KINDS = {
     "assign": (_ASSIGN, 2, 6, _ASSIGN),
-    "access": (r"AKIA[A-Z0-9]+", 0, 20, r"AKIA[A-Z0-9]{16}"),
-    "hex": (r"[0-9a-f]+", 0, 24, r"[0-9a-f]{24}"),
+    "access": (r"AKIA[A-Z0-9]{16,}", 0, 20, r"AKIA[A-Z0-9]{16}"),
+    "hex": (r"[0-9a-f]{24,}", 0, 24, r"[0-9a-f]{24}"),
 }
 # The method's own kind: a long run with digits and letters of both cases, kept when live.
-_MIXED = r"[A-Za-z0-9+/_=-]{20,}"
+_RUN = "[A-Za-z0-9+/_=-]"
+_MIXED = rf"{_RUN}{{20,}}"
 _MIXED_PARTS = (r"[0-9]", r"[a-z]", r"[A-Z]")
+_MIXED_SIGN = f"(?<!{_RUN})" + "".join(f"(?={_RUN}*{part})" for part in _MIXED_PARTS) + f"{_RUN}{{20}}"
 KINDS = [*BASE_KINDS, "mixed"]
 
 _SPAN = "array<struct<start:int,kind:int,stop:int,value:string>>"
@@ -40,7 +43,9 @@ def _spans(text: Column, kind: int, pattern: str, group: int, least: int) -> Col
     """Spans of all matches in order: what lies between matches gives their places."""
     gaps = F.split(text, pattern, -1)
     hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    steps = F.transform(hits, lambda h, i: F.struct(F.length(F.get(gaps, i)).alias("gap"), h.alias("hit")))
+    # Side by side, so that neither is made anew for every match; the last gap has no hit.
+    steps = F.zip_with(hits, gaps, lambda h, g: F.struct(F.length(g).alias("gap"), h.alias("hit")))
+    steps = F.filter(steps, lambda step: step["hit"].isNotNull())
     start = F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("out"))
 
     def add(seen: Column, step: Column) -> Column:
@@ -67,10 +72,7 @@ def scan(docs: DataFrame) -> DataFrame:
     """
     text = F.coalesce("text", F.lit(""))
     base = F.concat(*[_found(text, k, *rule) for k, rule in enumerate(BASE_KINDS.values())])
-    parts = F.lit(True)
-    for part in _MIXED_PARTS:
-        parts = parts & text.rlike(part)
-    runs = F.when(text.rlike(_MIXED) & parts, _spans(text, len(BASE_KINDS), _MIXED, 0, 20))
+    runs = _found(text, len(BASE_KINDS), _MIXED, 0, 20, _MIXED_SIGN)
     marked = docs.select("doc_id", "text", "owner", "repo", F.array_sort(base).alias("base"), runs.alias("runs"))
 
     def own(span: Column) -> Column:
@@ -79,7 +81,7 @@ def scan(docs: DataFrame) -> DataFrame:
             telling = telling & span["value"].rlike(part)
         return telling & ~F.exists("base", lambda b: (b["start"] < span["stop"]) & (span["start"] < b["stop"]))
 
-    mixed = F.coalesce(F.filter("runs", own), F.array().cast(_SPAN))
+    mixed = F.filter("runs", own)
     return marked.select(
         "doc_id", F.xxhash64("text").alias("text_hash"), "owner", "repo", "base", mixed.alias("mixed")
     )
