@@ -90,10 +90,19 @@ def train(sample: DataFrame, landmarks: int = LANDMARKS) -> LanguageModel | None
     share = max(1, landmarks // len(languages))
     chosen = np.concatenate([np.flatnonzero(np.array(names) == c)[:share] for c in languages])
 
-    dense = np.zeros((len(chosen), 1 << _SLOT_BITS), dtype=np.float32)
+    # Only n-grams of some landmark add to a kernel value.
+    slots = np.unique(np.concatenate([found[at] for at in chosen]))
+    place = np.full(1 << _SLOT_BITS, -1, dtype=np.int64)
+    place[slots] = np.arange(len(slots))
+    dense = np.zeros((len(chosen), len(slots)))
     for i, at in enumerate(chosen):
-        dense[i, found[at]] = 1 / np.sqrt(len(found[at]))
-    kernel = np.stack([dense[:, g].sum(axis=1) / np.sqrt(len(g)) for g in found]).astype(float)
+        dense[i, place[found[at]]] = 1 / np.sqrt(len(found[at]))
+
+    def to_landmarks(grams: np.ndarray) -> np.ndarray:
+        at = place[grams]
+        return dense[:, at[at >= 0]].sum(axis=1) / np.sqrt(len(grams))
+
+    kernel = np.stack([to_landmarks(g) for g in found])
 
     # Nystroem features: kernel to the landmarks, whitened by their own kernel.
     values, vectors = np.linalg.eigh(kernel[chosen] + 1e-8 * np.eye(len(chosen)))
@@ -106,7 +115,9 @@ def train(sample: DataFrame, landmarks: int = LANDMARKS) -> LanguageModel | None
     ridge = weighted.T @ features + _RIDGE * len(names) * np.eye(features.shape[1])
     fitted = whiten @ np.linalg.solve(ridge, weighted.T @ target)
     # The regression is linear in the kernel, so the landmarks fold into one weight per slot.
-    return LanguageModel(languages, (dense.T @ fitted).astype(np.float64))
+    weights = np.zeros((1 << _SLOT_BITS, len(languages)))
+    weights[slots] = dense.T @ fitted
+    return LanguageModel(languages, weights)
 
 
 def identify(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
