@@ -135,7 +135,7 @@ def _block_links(left: np.ndarray, right: np.ndarray | None, most: int) -> pd.Da
     b_low, b_up = (a_low, a_up) if right is None else _levels(right)
     i, j = (x.ravel() for x in np.indices((len(a_up[0]), len(b_up[0]))))
     seen = a_up[1][i] & b_up[1][j]
-    apart = np.bitwise_count((a_up[0][i] ^ b_up[0][j]) & seen)
+    apart = _ones((a_up[0][i] ^ b_up[0][j]) & seen)
     near = apart <= most
     i, j, seen, apart = i[near], j[near], seen[near], apart[near]
     ratio = _UPPER // _LOWER
@@ -147,7 +147,7 @@ def _block_links(left: np.ndarray, right: np.ndarray | None, most: int) -> pd.Da
     i, j, seen, apart = i[real], j[real], seen[real], apart[real]
     # Only the bits that the parents did not share are compared; their differences are kept.
     fresh = a_low[1][i] & b_low[1][j] & ~seen
-    apart = apart + np.bitwise_count((a_low[0][i] ^ b_low[0][j]) & fresh)
+    apart = apart + _ones((a_low[0][i] ^ b_low[0][j]) & fresh)
     i, j = i[apart <= most], j[apart <= most]
     inside = np.arange(_LOWER)
     for at in range(0, len(i), 128):
@@ -155,7 +155,7 @@ def _block_links(left: np.ndarray, right: np.ndarray | None, most: int) -> pd.Da
         cols = j[at : at + 128, None] * _LOWER + inside
         x = left[np.minimum(rows, len(left) - 1)]
         y = (left if right is None else right)[np.minimum(cols, len(fps) - offset - 1)]
-        linked = np.bitwise_count(x[:, :, None] ^ y[:, None, :]) <= most
+        linked = _ones(x[:, :, None] ^ y[:, None, :]) <= most
         linked &= (rows < len(left))[:, :, None] & (cols < len(fps) - offset)[:, None, :]
         pair, r, c = np.nonzero(linked)
         merge_labels(labels, rows[pair, r], cols[pair, c] + offset)
@@ -163,6 +163,11 @@ def _block_links(left: np.ndarray, right: np.ndarray | None, most: int) -> pd.Da
     return pd.DataFrame({"a": fps[child], "b": fps[labels[child]]})
 
 
+def _ones(bits: np.ndarray) -> np.ndarray:
+    """How many of the 64 bits are set; numpy counts those of the absolute value in signed numbers."""
+    return np.bitwise_count(bits.view(np.uint64))
+
+
 def _levels(fps: np.ndarray) -> tuple:
     """(bits, mask of shared bits) of the nodes over every _LOWER and every _UPPER fingerprints."""
     out = []

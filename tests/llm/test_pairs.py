@@ -94,6 +94,26 @@ def test_simhash_blocks_find_every_link(spark):
         assert {s: found.get(s, s) for s in signed} == expected
 
 
+def test_simhash_links_across_the_sign_bit(spark):
+    rand = random.Random(6)
+    bases = [rand.getrandbits(64) for _ in range(600)]
+    masks = [1 << 63 | 1 << b for b in range(63)] + [1 << 63, 7 << 61, 15 << 60, 1 << 63 | 3]
+    prints = set(bases) | {b ^ m for b, m in zip(bases, masks * 9, strict=False)}
+    links = [(a, b) for a, b in itertools.combinations(prints, 2) if (a ^ b).bit_count() <= 2]
+    roots = smallest_reachable(prints, links)
+    signed = {p: p - 2**64 if p >> 63 else p for p in prints}
+    for block in (64, 4096):
+        simhash.BLOCK, before = block, simhash.BLOCK
+        frame = spark.createDataFrame([(s,) for s in signed.values()], "fp long")
+        found = dict(connected_components(simhash.fingerprint_links(frame, 2)).collect())
+        simhash.BLOCK = before
+        groups = {}
+        for p in prints:
+            groups.setdefault(roots[p], set()).add(found.get(signed[p], signed[p]))
+        assert all(len(g) == 1 for g in groups.values())
+        assert len(set.union(*groups.values())) == len(groups)
+
+
 def test_keep_one_keeps_one_row_of_each_group(spark):
     rows = [(1, "a b c d", "u"), (2, "A B C D", "v"), (1, "a b c d", "w"), (3, None, "x"), (None, "", "y"), (4, "z", "z")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, text_hash string")
