@@ -141,6 +141,22 @@ def _chunks(texts: Iterator[tuple]) -> Iterator[tuple[list, list, list]]:
         yield rows, offsets, pieces
 
 
+def _in_earlier_pieces(
+    before: Levels, offsets: list[int], pieces: list[bytes], owner: np.ndarray, keys: np.ndarray
+) -> np.ndarray:
+    """Which anchors an earlier piece of the same cut text has; ``before`` carries them over its pieces."""
+    found = np.zeros(len(keys), dtype=bool)
+    for n, (at, piece) in enumerate(zip(offsets, pieces, strict=True)):
+        if not at:
+            before.runs.clear()
+        if at or len(piece) > _PIECE:
+            part = slice(*np.searchsorted(owner, [n, n + 1]))
+            found[part] = before.holds(keys[part])
+            if part.stop > part.start:
+                before.add(np.unique(keys[part]))
+    return found
+
+
 def _utf8(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "surrogatepass")
 
@@ -155,13 +171,15 @@ def repeated_anchors(docs: DataFrame, parts: int) -> DataFrame:
         hasher = Hasher()
         for rows in batches:
             texts = ((h, _utf8(t)) for h, t in zip(rows["text_hash"], rows["text"], strict=True))
-            for hashes, _, pieces in _chunks(texts):
+            before = Levels()
+            for hashes, offsets, pieces in _chunks(texts):
                 _, owner, keys, _, _ = _anchors(hasher, pieces)
                 pairs = np.empty(len(keys), dtype=_PAIR)
                 pairs["key"], pairs["text"] = keys, np.array(hashes, dtype=np.int64)[owner]
+                recurring = pairs[_in_earlier_pieces(before, offsets, pieces, owner, keys)]
                 pairs = np.sort(pairs, order=["key", "text"])
                 same = (pairs["key"][1:] == pairs["key"][:-1]) & (pairs["text"][1:] == pairs["text"][:-1])
-                twice = np.unique(pairs[1:][same])
+                twice = np.unique(np.concatenate([pairs[1:][same], recurring]))
                 pairs = pairs[np.concatenate([[True], ~same])] if len(pairs) else pairs
                 bucket = ((pairs["key"] >> np.uint64(20)) % np.uint64(parts)).astype(np.int64)
                 order = np.argsort(bucket, kind="stable")

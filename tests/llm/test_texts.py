@@ -139,6 +139,16 @@ def test_suffix_dedup_equals_brute_force(spark, monkeypatch, piece):
     assert [r.kept_sha256 for r in found] == [hashlib.sha256(e[3]).hexdigest() for e in expected]
 
 
+def test_suffix_dedup_across_pieces_of_one_text(spark):
+    rand = random.Random(11)
+    passage = "(" + "".join(rand.choices("uvwxyz", k=300)) + ")"
+    texts = [passage + rand.randbytes(size // 2).hex() + passage + "." for size in (5_000_000, 9_000_000, 18_000_000)]
+    for text, passage_at in zip(texts, (5, 9, 18), strict=True):
+        [row] = suffix_dedup.remove_repeats(docs_of(spark, [text]), with_kept=True).collect()
+        assert (row.n_removed, row.n_spans) == (len(passage), 1), passage_at
+        assert bytes(row.kept) == text[: -len(passage) - 1].encode() + b"."
+
+
 def test_suffix_dedup_of_null_ids_repeated_rows_and_nothing(spark):
     text = "".join(random.Random(1).choices("abcdef", k=300))
     rows = spark.createDataFrame([(None, text), (7, text), (7, text)], "doc_id long, text string")
