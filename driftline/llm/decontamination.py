@@ -1,10 +1,10 @@
-"""Benchmark decontamination by SimHash windows of the size of an item.
+"""Benchmark decontamination by windows of the size of an item.
 
 A window can be similar to an item only if it holds item shingles of at least the asked
 weight, so windows are laid only where a document does. Each window has as many words as
-its item. Its weighted SimHash is cut into one block more than bits may differ: two
-fingerprints within that radius agree in at least one whole block, and equal blocks are
-found by joins. What they bring together is verified by exact weighted shingle similarity.
+its item, and is verified by exact weighted shingle similarity with it. The weighted SimHash
+of a window only tells how far it is from its item: a long foreign word turns most of its
+bits whatever the similarity is, so no window is dropped by it.
 Column expressions only; the index over the items is joined, broadcast while it is small.
 """
 
@@ -17,7 +17,6 @@ from driftline.shared import keyed_join, staged
 
 SHINGLE_WORDS = 5
 MIN_SIMILARITY = 0.8
-RADIUS = 20
 _BITS = 64
 
 
@@ -49,20 +48,6 @@ aggregate(sequence(0, {_BITS - 1}), 0L, (f, b) -> f | shiftleft(
 """
 
 
-def _blocks(fingerprint: str, radius: int) -> Column:
-    """(block, value) of the ``radius + 1`` blocks of a fingerprint."""
-    cuts = [_BITS * i // (radius + 1) for i in range(radius + 2)]
-    return F.array(
-        *[
-            F.struct(
-                F.lit(n).alias("block"),
-                F.shiftrightunsigned(fingerprint, low).bitwiseAND((1 << (high - low)) - 1).alias("value"),
-            )
-            for n, (low, high) in enumerate(zip(cuts, cuts[1:], strict=False))
-        ]
-    )
-
-
 def _total(shingles: Column) -> Column:
     return F.aggregate(shingles, F.lit(0).cast("long"), lambda s, x: s + x["w"])
 
@@ -89,10 +74,10 @@ def find_leaks(
     benchmark: DataFrame,
     shingle_words: int = SHINGLE_WORDS,
     min_similarity: float = MIN_SIMILARITY,
-    radius: int = RADIUS,
 ) -> DataFrame:
     """(row_key, doc_id, item_id, start_word, differing_bits, similarity) of every leaked item.
 
+    differing_bits is the distance of the fingerprints of item and window, for information.
     similarity is the share of the item's shingle weight that the best window of the
     document holds; among equal windows the first counts. Whole texts are read. A null
     text has no words and leaks nothing. Rows that agree in id and text give one result
@@ -122,6 +107,7 @@ def find_leaks(
         F.collect_set(F.struct("h", "place.w")).alias("held"), F.collect_set(begin).alias("begins")
     )
     laid = laid.where(_total(F.col("held")) >= min_similarity * F.col("weight"))
+    laid = staged(laid.select("row_key", "item", "n_words", "begins"), "laid")
     spots = laid.select("row_key", F.explode("begins").alias("begin"), "n_words")
     spots = staged(
         spots.groupBy("row_key").agg(F.collect_set(F.struct("begin", "n_words")).alias("spots")), "spots"
@@ -135,15 +121,10 @@ def find_leaks(
     windows = windows.withColumn("shingles", _weighted(F.col("words"), size)).drop("words")
     windows = staged(windows.withColumn("fp", F.expr(_SIMHASH)), "windows")
 
-    index = items.select("item", "n_words", F.col("fp").alias("item_fp"), F.explode(_blocks("fp", radius)).alias("part"))
-    index = index.select("n_words", "part.block", "part.value", "item", "item_fp")
-    probes = windows.select("row_key", "begin", "n_words", "fp", F.explode(_blocks("fp", radius)).alias("part"))
-    probes = probes.select("row_key", "begin", "n_words", "fp", "part.block", "part.value")
-    bits = F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp")))
-    near = probes.join(index, ["n_words", "block", "value"]).withColumn("differing_bits", bits)
-    near = near.where(F.col("differing_bits") <= radius).select("row_key", "begin", "n_words", "item", "differing_bits").distinct()
-    known = items.select("item", "item_id", F.col("shingles").alias("wanted"), "weight")
-    pairs = near.join(windows.drop("fp"), ["row_key", "begin", "n_words"]).join(known, "item")
+    near = laid.select("row_key", "item", "n_words", F.explode("begins").alias("begin"))
+    known = items.select("item", "item_id", F.col("shingles").alias("wanted"), "weight", F.col("fp").alias("item_fp"))
+    pairs = near.join(windows, ["row_key", "begin", "n_words"]).join(known, "item")
+    pairs = pairs.withColumn("differing_bits", F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))))
     there = F.transform("shingles", lambda x: x["h"])
     shared = _total(F.filter("wanted", lambda x: F.array_contains(there, x["h"])))
     pairs = pairs.withColumn("similarity", shared / F.col("weight")).where(F.col("similarity") >= min_similarity)

@@ -334,6 +334,22 @@ def test_leaks_equal_brute_force(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(range(len(texts))) - {i for i, _ in expected})
 
 
+def test_leaks_beside_long_foreign_words(spark):
+    rand = random.Random(12)
+    known = ["".join(rand.choices("abcdefghij", k=rand.randrange(2, 8))) for _ in range(400)]
+    items = [(i, " ".join(rand.choices(known, k=40 + 60 * (i % 2)))) for i in range(12)]
+    texts = []
+    for n in range(60):
+        item = items[n % 12][1].split()
+        # At the second word, so that few shingles hold it.
+        item[1] = "".join(rand.choices("klmnop漢字", k=(60, 120, 300, 3000)[n % 4]))
+        texts.append(f"{rand.choice(known)} {' '.join(item)}")
+    expected = leaks(texts, items)
+    assert len(expected) == len(texts)
+    found = decontamination.find_leaks(docs_of(spark, texts), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id): r.similarity for r in found} == pytest.approx(expected)
+
+
 def test_leaks_of_nothing(spark):
     bench = spark.createDataFrame([(1, "a b c")], "item_id long, text string")
     assert decontamination.find_leaks(empty_docs(spark), bench).collect() == []
