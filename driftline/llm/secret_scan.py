@@ -150,20 +150,34 @@ def count_kind(spans: Column, kind: str) -> Column:
 
 
 def redact(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with every live value replaced in its text; examples and all else stay.
+    """``docs`` with the value of every live span replaced where it stands; examples and all else stay.
 
+    Live values that overlap are replaced together.
     ``n_chars``, where there is such a column, follows the new text.
     """
     found = find_secrets(docs, **options)
     live = F.filter("spans", lambda s: s["live"])
-    values = F.array_distinct(F.transform(live, lambda s: F.struct((-F.length(s["value"])).alias("n"), s["value"].alias("v"))))
+    # A value ends where its span does.
+    values = F.transform(live, lambda s: F.struct((s["stop"] - F.length(s["value"])).alias("a"), s["stop"].alias("b")))
     bad = found.select(
         F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.array_sort(values).alias("_values")
     ).where("size(_values) > 0").distinct()
     rows = packed(docs, id=F.col("doc_id"), hash=F.xxhash64("text"))
     same = rows["id"].eqNullSafe(bad["_id"]) & (rows["hash"] == bad["_hash"])
-    # Longer values first, so that none is cut by a shorter one inside it.
-    clean = F.aggregate("_values", F.col("row.text"), lambda t, v: F.replace(t, v["v"], F.lit(REDACTED)))
+    text = F.col("row.text")
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
+
+    def cut(seen: Column, value: Column) -> Column:
+        before = F.substr(text, seen["at"] + 1, value["a"] - seen["at"])
+        out = F.when(value["a"] < seen["at"], seen["out"]).otherwise(
+            F.concat(seen["out"], F.array(before, F.lit(REDACTED)))
+        )
+        return F.struct(F.greatest(seen["at"], value["b"]).alias("at"), out.alias("out"))
+
+    def close(seen: Column) -> Column:
+        return F.concat(F.array_join(seen["out"], ""), F.substr(text, seen["at"] + 1))
+
+    clean = F.aggregate("_values", start, cut, close)
     row = F.col("row").withField("text", clean)
     if "n_chars" in docs.columns:
         row = row.withField("n_chars", F.length(clean).cast(dict(docs.dtypes)["n_chars"]))

@@ -282,6 +282,20 @@ def test_redaction_takes_live_values_only(spark):
     assert secret_scan.redact(docs.limit(0)).collect() == []
 
 
+def test_redaction_cuts_spans_and_nothing_else(spark):
+    rows = [
+        (1, 'token: string, substring 漢😀 string; secret="hunter2x"', "x", 0),
+        (2, "token=string1\npassword=string1abc AKIA" + "Q" * 16 + " password=AKIA" + "R" * 16, "x", 0),
+        (3, "password=string1abc", "y", 0),
+        (4, "password=string1abc", "z", 0),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long")
+    kept = {r.doc_id: r.text for r in secret_scan.redact(docs).collect()}
+    assert kept[1] == 'token: <secret>, substring 漢😀 string; secret="<secret>"'
+    assert kept[2] == "token=<secret>\npassword=string1abc <secret> password=<secret>"
+    assert kept[3] == kept[4] == rows[2][1]
+
+
 # Decontamination
 
 
