@@ -4,6 +4,11 @@ Only documents carry labels. A sentence has probability sigmoid(bias + sum of it
 words' weights), a word's weight being the sum over its whole form and its prefixes; a
 document combines its sentences by noisy-or, 1 - prod(1 - p). The weights are fitted to
 the document labels through that formula, so the fit itself finds the offending sentences.
+
+Even a clean sentence adds a little, and thousands of them would add up to a toxic text. So
+a score is the noisy-or of the worst run of consecutive sentences, each less the leak: what
+a sentence of a clean document adds, learnt with the weights. It never falls below the worst
+sentence's probability.
 """
 
 from __future__ import annotations
@@ -31,6 +36,8 @@ _RATE = 0.08
 # Strength of the pull towards zero weights, against all documents together.
 _PRIOR = 0.3
 _MIN_DOCS = 3
+# Deviations between clean documents by which the leak lies above their mean.
+_LEAK_DEVIATIONS = 2
 _CACHE = 400_000
 
 _SENTENCE = re.compile(r"[^.!?\n]+")
@@ -47,10 +54,11 @@ def _features(word: str) -> list[int]:
 class ToxicityModel:
     weights: np.ndarray
     bias: float
+    leak: float = 0.0
 
     def scorer(self):
         """A function from a text to (score, [(start, end, probability) of every sentence])."""
-        weights, bias, known = self.weights, self.bias, {}
+        weights, bias, leak, known = self.weights, self.bias, self.leak, {}
 
         def score(text: str | None):
             spans, logits = [], []
@@ -67,9 +75,11 @@ class ToxicityModel:
             if not spans:
                 spans, logits = [(0, 0)], [bias]
             z = np.clip(np.array(logits), -30, 30)
-            clean = -np.logaddexp(0, z)
+            heavy = np.logaddexp(0, z)
             chances = 1 / (1 + np.exp(-z))
-            return float(-np.expm1(clean.sum())), [(a, b, float(p)) for (a, b), p in zip(spans, chances, strict=True)]
+            upto = np.concatenate([[0], np.cumsum(heavy - leak)])
+            worst = max(heavy.max(), (upto - np.minimum.accumulate(upto)).max())
+            return float(-np.expm1(-worst)), [(a, b, float(p)) for (a, b), p in zip(spans, chances, strict=True)]
 
         return score
 
@@ -153,7 +163,22 @@ def _fit(toxic: np.ndarray, words: list, sizes: list, places: list) -> ToxicityM
         move = _RATE * (means / (1 - 0.9**step)) / (np.sqrt(squares / (1 - 0.99**step)) + 1e-8)
         weights -= move[:-1]
         bias -= move[-1]
-    return ToxicityModel(weights, float(bias))
+    return ToxicityModel(weights, float(bias), _leak(weights, bias, toxic, forms, own, sizes, places))
+
+
+def _leak(weights: np.ndarray, bias: float, toxic: np.ndarray, forms: list, own: list, sizes: list, places: list) -> float:
+    """What a sentence of a clean document adds to -log(1 - score): mean and some deviations between documents."""
+    by_word = np.array([weights[f].sum() for f in forms])
+    counts, rates = [], []
+    for n in np.flatnonzero((toxic == 0) & [len(s) > 0 for s in sizes]):
+        sentence_of = np.repeat(np.arange(len(sizes[n])), sizes[n])
+        z = bias + np.bincount(sentence_of, by_word[own[n][places[n]]], len(sizes[n]))
+        counts.append(len(z))
+        rates.append(np.logaddexp(0, np.clip(z, -30, 30)).mean())
+    if not counts:
+        return 0.0
+    mean = np.average(rates, weights=counts)
+    return float(mean + _LEAK_DEVIATIONS * np.sqrt(np.average((rates - mean) ** 2, weights=counts)))
 
 
 def score_documents(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD) -> DataFrame:
@@ -164,7 +189,7 @@ def score_documents(docs: DataFrame, model: ToxicityModel, threshold: float = TH
     read; a null text counts as empty, and a text without sentences has the model's score
     of an empty sentence. Columns of those four names are replaced; all others stay.
     """
-    sent = docs.sparkSession.sparkContext.broadcast((model.weights, model.bias))
+    sent = docs.sparkSession.sparkContext.broadcast((model.weights, model.bias, model.leak))
     extra = "score double, predicted int, n_sentences int, offending array<struct<start:int,end:int,score:double>>"
 
     def make():

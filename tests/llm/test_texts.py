@@ -403,6 +403,35 @@ def test_toxicity_learns_words_and_finds_sentences(spark):
     assert {r.predicted for r in toxicity.score_documents(docs, nothing).collect()} == {0}
 
 
+def test_toxicity_of_long_clean_texts(spark):
+    sf_dir = "/root/testdata/sf0.1"
+    docs = queries.table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = queries.table(spark, sf_dir, "labels")
+    score = toxicity.fit_held_in(docs, labels).scorer()
+    texts = {r.doc_id: r.text for r in docs.join(labels.select("doc_id").distinct(), "doc_id").collect()}
+    toxic = {r.doc_id: r.toxic for r in labels.collect()}
+    kept_back = [i for i in sorted(texts) if zlib.crc32(str(i).encode()) % 4 == 2 and texts[i]]
+    clean = [texts[i] for i in kept_back if toxic[i] == 0 and score(texts[i])[0] < 0.3]
+    rand = random.Random(13)
+
+    def long_text(sentences):
+        parts, n = [], 0
+        while n < sentences:
+            parts.append(rand.choice(clean))
+            n += len(score(parts[-1])[1])
+        return parts
+
+    for sentences in (300, 1000, 3000, 10000):
+        marked = sum(score("\n".join(long_text(sentences)))[0] >= 0.3 for _ in range(20))
+        assert marked <= 1, sentences
+    # A toxic text is found in the middle of a long one as often as alone.
+    found = [texts[i] for i in kept_back if toxic[i] == 1 and score(texts[i])[0] >= 0.3]
+    around = long_text(3000)
+    half = len(around) // 2
+    buried = sum(score("\n".join([*around[:half], t, *around[half:]]))[0] >= 0.3 for t in found)
+    assert len(found) > 80 and buried == len(found)
+
+
 def test_toxicity_on_held_out_documents(spark, sf_dir):
     found = queries.op9_toxicity(spark, sf_dir).collect()
     assert len(found) == queries.table(spark, sf_dir, "documents").count()
