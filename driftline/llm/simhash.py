@@ -185,7 +185,11 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
     Among rows with that doc_id the one with the smallest text hash stays, once. A
     component with no doc_id but null keeps one such row.
     """
-    marked = staged(near_duplicates(docs, **options), "components")
+    return keep_least(docs, staged(near_duplicates(docs, **options), "components"))
+
+
+def keep_least(docs: DataFrame, marked: DataFrame) -> DataFrame:
+    """``keep_one`` of components that are known: ``marked`` has (doc_id, text_hash, root) of every row."""
     order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"))
     chosen = marked.groupBy("root").agg(F.min(order).alias("least")).select(
         F.col("least.id").alias("_id"), F.col("least.hash").alias("_hash")
