@@ -8,20 +8,28 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from driftline.llm import decontamination, near_copies, pieces, secret_scan, toxicity
+from driftline.llm import decontamination, pieces, secret_scan, simhash, toxicity
 from driftline.llm.common import table
-from driftline.shared import staged
+from driftline.shared import scratch_path, scratch_scope
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose toxicity stays under the threshold, by the model learnt on the labels."""
+    """Documents whose toxicity stays under the threshold, by the model learnt on the labels.
+
+    Columns named like those of a score come back as they were.
+    """
     model = toxicity.fit_held_in(docs.select("doc_id", "text"), table(spark, sf_dir, "labels"))
-    return toxicity.score_documents(docs, model).where("predicted = 0").select(*docs.columns)
+    own = {c: c if c == "text" else f"own_{c}" for c in docs.columns}
+    scored = toxicity.score_documents(docs.select(*[F.col(c).alias(name) for c, name in own.items()]), model)
+    return scored.where("predicted = 0").select(*[F.col(name).alias(c) for c, name in own.items()])
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of texts whose five-word similarity is 0.8 or more the document with the smallest id."""
-    return near_copies.keep_one(docs)
+    """Of each group of texts whose SimHash fingerprints link the document with the smallest id.
+
+    Shingle length and bit distance are those of ``op10``.
+    """
+    return simhash.keep_one(docs)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,5 +64,11 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        target = scratch_path(spark, f"pipeline-{name}")
+        # What a stage stages for itself goes once its result is written.
+        with scratch_scope(spark):
+            found = stage(spark, docs, sf_dir)
+            schema = found.schema
+            found.write.parquet(target)
+        docs = spark.read.schema(schema).parquet(target)
     return docs

@@ -13,6 +13,7 @@ sentence's probability.
 
 from __future__ import annotations
 
+import hashlib
 import re
 import zlib
 from collections.abc import Iterator
@@ -111,29 +112,30 @@ def train(sample: DataFrame) -> ToxicityModel:
                 out.append((int(toxic), " ".join(words), sizes.tobytes(), at.tobytes()))
             yield pd.DataFrame(out, columns=["toxic", "words", "sizes", "places"])
 
-    rows = sample.mapInPandas(digest, "toxic int, words string, sizes binary, places binary").collect()
-    if not rows:
+    # Written once, then a sixteenth at a time reaches the driver, where words become numbers at once.
+    rows = staged(sample.mapInPandas(digest, "toxic int, words string, sizes binary, places binary"), "digests").coalesce(16)
+    numbers: dict[str, int] = {}
+    found = []
+    for r in rows.toLocalIterator():
+        own = np.array([numbers.setdefault(w, len(numbers)) for w in r["words"].split()], np.int32)
+        mark = hashlib.sha256(r["words"].encode("utf-8", "surrogatepass") + bytes(r["places"])).digest()
+        sizes, places = (np.frombuffer(bytes(r[c]), np.int32) for c in ("sizes", "places"))
+        found.append((mark, r["toxic"] > 0, own, sizes, places))
+    if not found:
         return ToxicityModel(np.zeros(_SLOTS), -30.0)
-    rows.sort(key=lambda r: (r["words"], bytes(r["places"]), r["toxic"]))
-    return _fit(
-        np.array([r["toxic"] > 0 for r in rows], float),
-        [r["words"].split() for r in rows],
-        [np.frombuffer(r["sizes"], np.int32) for r in rows],
-        [np.frombuffer(r["places"], np.int32) for r in rows],
-    )
+    found.sort(key=lambda f: f[:2])
+    return _fit(np.array([f[1] for f in found], float), list(numbers), *([f[n] for f in found] for n in (2, 3, 4)))
 
 
-def _fit(toxic: np.ndarray, words: list, sizes: list, places: list) -> ToxicityModel:
+def _fit(toxic: np.ndarray, words: list[str], own: list, sizes: list, places: list) -> ToxicityModel:
     """Adam on the mean noisy-or log loss with a Gaussian prior; all documents in every step.
 
-    ``words[i]`` are the distinct words of document i; ``places[i]`` points into them,
+    ``own[i]`` numbers the distinct words of document i; ``places[i]`` points into them,
     sentence after sentence, ``sizes[i]`` giving how many each sentence has.
     """
-    numbers: dict[str, int] = {}
-    own = [np.array([numbers.setdefault(w, len(numbers)) for w in doc], np.int64) for doc in words]
-    forms = [_features(w) for w in numbers]
-    pair_word = np.repeat(np.arange(len(forms)), [len(f) for f in forms])
-    pair_slot = np.array([f for fs in forms for f in fs], np.int64)
+    forms = [_features(w) for w in words]
+    pair_word = np.repeat(np.arange(len(forms), dtype=np.int32), [len(f) for f in forms])
+    pair_slot = np.fromiter((f for fs in forms for f in fs), np.int32)
     first = np.searchsorted(pair_word, np.arange(len(forms) + 1))
     # A form seen in very few documents says nothing about others.
     seen = np.zeros(_SLOTS, np.int64)
@@ -143,8 +145,8 @@ def _fit(toxic: np.ndarray, words: list, sizes: list, places: list) -> ToxicityM
             seen[np.unique(slots)] += 1
     keep = seen[pair_slot] >= _MIN_DOCS
     pair_word, pair_slot = pair_word[keep], pair_slot[keep]
-    doc_of = np.repeat(np.arange(len(sizes)), [len(s) for s in sizes])
-    sentence_of = np.repeat(np.arange(len(doc_of)), np.concatenate(sizes))
+    doc_of = np.repeat(np.arange(len(sizes), dtype=np.int32), [len(s) for s in sizes])
+    sentence_of = np.repeat(np.arange(len(doc_of), dtype=np.int32), np.concatenate(sizes))
     word_of = np.concatenate([doc[at] for doc, at in zip(own, places, strict=True)])
     weights, bias = np.zeros(_SLOTS), -4.0
     means, squares = np.zeros(_SLOTS + 1), np.zeros(_SLOTS + 1)

@@ -61,6 +61,17 @@ def test_pipeline_stages_take_effect(spark):
         assert coded[i].ids == coder.encode([row.text])[0].tolist()
 
 
+def test_pipeline_keeps_columns_named_like_a_score(spark, sf_dir):
+    docs = queries.table(spark, sf_dir, "documents")
+    named = docs.selectExpr("*", "lang AS score", "doc_id AS predicted", "source AS n_sentences", "text AS offending")
+    kept = corpus_pipeline.drop_toxic(spark, named, sf_dir)
+    assert kept.schema == named.schema
+    plain = {r.doc_id for r in corpus_pipeline.drop_toxic(spark, docs, sf_dir).collect()}
+    rows = kept.collect()
+    assert {r.doc_id for r in rows} == plain and len(rows) == len(plain)
+    assert all((r.score, r.predicted, r.n_sentences, r.offending) == (r.lang, r.doc_id, r.source, r.text) for r in rows)
+
+
 def test_pipeline_runs_whole(spark, sf_dir):
     found = corpus_pipeline.run(spark, sf_dir)
     assert found.columns == ["doc_id", "lang", "source", "n_pieces", "ids"]
