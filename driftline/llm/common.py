@@ -7,9 +7,13 @@ import string
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StructType
 
+from driftline.shared import keyed_join, staged
+
+# Bits of Spark's increasing id that number the rows inside a partition.
+_ROW_BITS = 33
 
 #: A word: ASCII letters and digits, and every character beyond ASCII.
 WORD = r"[0-9A-Za-z\x{80}-\x{10FFFF}]+"
@@ -79,3 +83,29 @@ def bucket_of(key: Column, salt: int, parts: int) -> Column:
 def held_out(doc_id: Column, folds: int, fold: int) -> Column:
     """Whether crc32 of an id's text falls on the fold that no fit may learn from."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds == fold, F.lit(False))
+
+
+def ranked(rows: DataFrame, group: list[str], order: list[str], label: str, per_part: int = 1_000_000) -> DataFrame:
+    """``rows`` with ``idx``: the place of a row, from 0, among those of its group in the given order.
+
+    Group columns hold no nulls; nulls of an order column come first. Rows that tie in all
+    columns of the order come in that of ``tie``, a number that every row gets once and
+    keeps, so that a recomputed task places rows as before. A range shuffle deals one group
+    to as many tasks as it needs; only one row for each task and group is ordered across them.
+    """
+    raw = staged(rows.withColumn("tie", F.monotonically_increasing_id()), f"{label}-raw")
+    by = [*group, *order, "tie"]
+    parts = parts_for(rows.sparkSession, raw.count(), per_part)
+    sorted_rows = raw.repartitionByRange(parts, *by).sortWithinPartitions(*by)
+    number = F.monotonically_increasing_id()
+    placed = staged(
+        sorted_rows.select(
+            "*", F.shiftright(number, _ROW_BITS).alias("part"), number.bitwiseAND(F.lit((1 << _ROW_BITS) - 1)).alias("at")
+        ),
+        label,
+    )
+    pieces = placed.groupBy("part", *group).agg(F.count("*").alias("size"), F.min("at").alias("first"))
+    upto = F.sum("size").over(Window.partitionBy(*group).orderBy("part"))
+    shift = pieces.select("part", *group, (upto - F.col("size") - F.col("first")).alias("shift"))
+    found = keyed_join(placed, staged(shift, f"{label}-starts"), ["part", *group], "inner")
+    return found.withColumn("idx", F.col("at") + F.col("shift")).drop("tie", "part", "at", "shift")

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from driftline.llm import decontamination, embeddings, language, licenses, pieces, secret_scan, simhash, suffix_dedup, toxicity, url_filter
-from driftline.llm.common import held_out, table
+from driftline.llm import decontamination, embeddings, language, licenses, merkle, pieces, prefix_trie, secret_scan, simhash, suffix_dedup, toxicity, url_filter
+from driftline.llm.common import ascii_lower, held_out, table
 
 # Fixed values of the rule set: host, path, verdict.
 URL_RULES = [
@@ -231,6 +231,142 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    columns = ["doc_id", "source", "lang", "n_chars", "text"]
+    chosen = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0, F.lit(False))
+    lowered = merkle.leaf_of([ascii_lower(F.col(c)) if c == "text" else F.col(c) for c in columns])
+    found = merkle.manifest(docs, columns, "lang", "doc_id", {"tampered": F.when(chosen, F.unhex(lowered))})
+    presented = F.coalesce(F.lower(F.hex("tampered")), F.col("leaf"))
+    found = found.withColumn("folded_root", merkle.folded(presented, F.col("path")))
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", merkle.siblings_digest(F.col("path")).alias("proof_sha256"),
+        "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+#: crc32 of an id's decimal digits: the table from its rule, then one look-up for each digit.
+_CRC32 = """list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({id}::VARCHAR, ''), lambda d: ascii(d)::BIGINT)),
+    lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1]))"""
+_CRC_TABLE = """SELECT list_transform(range(256), lambda b: list_reduce(list_prepend(b::BIGINT, range(8)),
+    lambda c, i: xor(c >> 1, 3988292384 * (c & 1)))) AS crc"""
+
+
+def _framed_sql(column: str) -> str:
+    return f"coalesce(octet_length(encode({column}::VARCHAR)) || ':' || {column}::VARCHAR, '-')"
+
+
+_LOWERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_HEAD = " || ".join(_framed_sql(c) for c in ("doc_id", "source", "lang", "n_chars"))
+# Two rounds of one climb: the leaves of each language, then the subroots. Nodes are runs of 8 in order.
+_OP11 = f"""
+WITH RECURSIVE crcs AS ({_CRC_TABLE}),
+leaves AS (
+  SELECT row_number() OVER () AS r, doc_id, lang, sha256({_HEAD} || {_framed_sql("text")}) AS leaf,
+    CASE WHEN xor({_CRC32.format(id="doc_id")}, 4294967295) % 3 = 0 THEN sha256({_HEAD} || {_framed_sql(_LOWERED)}) END AS tampered
+  FROM documents, crcs
+), low AS (
+  SELECT 0 AS level, lang, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx,
+    count(*) OVER (PARTITION BY lang) AS n, leaf AS digest
+  FROM leaves
+  UNION ALL
+  SELECT any_value(level) + 1, lang, idx // 8, any_value((n + 7) // 8), sha256(string_agg(digest, '' ORDER BY idx))
+  FROM low WHERE n > 1 GROUP BY lang, idx // 8
+), subroots AS (
+  SELECT lang, digest AS subroot, row_number() OVER (ORDER BY encode(lang) NULLS FIRST) - 1 AS place, count(*) OVER () AS total
+  FROM low WHERE n = 1
+), high AS (
+  SELECT 0 AS level, place AS idx, total AS n, subroot AS digest FROM subroots
+  UNION ALL
+  SELECT any_value(level) + 1, idx // 8, any_value((n + 7) // 8), sha256(string_agg(digest, '' ORDER BY idx))
+  FROM high WHERE n > 1 GROUP BY idx // 8
+), low_runs AS (
+  SELECT level, lang, idx // 8 AS up, list(digest ORDER BY idx) AS run FROM low WHERE n > 1 GROUP BY ALL
+), high_runs AS (
+  SELECT level, idx // 8 AS up, list(digest ORDER BY idx) AS run FROM high WHERE n > 1 GROUP BY ALL
+), low_walk AS (
+  SELECT r, lang, 0 AS level, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx,
+    '' AS proof, coalesce(tampered, leaf) AS own
+  FROM leaves
+  UNION ALL
+  SELECT r, w.lang, w.level + 1, idx // 8,
+    proof || array_to_string(run[1:idx % 8] || run[idx % 8 + 2:], ''),
+    sha256(array_to_string(run[1:idx % 8] || [own] || run[idx % 8 + 2:], ''))
+  FROM low_walk w JOIN low_runs u ON u.level = w.level AND u.lang IS NOT DISTINCT FROM w.lang AND u.up = idx // 8
+), high_walk AS (
+  SELECT r, 0 AS level, place AS idx, proof, own
+  FROM low_walk w JOIN subroots s ON s.lang IS NOT DISTINCT FROM w.lang
+  WHERE w.level = (SELECT max(level) FROM low l WHERE l.lang IS NOT DISTINCT FROM w.lang)
+  UNION ALL
+  SELECT r, w.level + 1, idx // 8,
+    proof || array_to_string(run[1:idx % 8] || run[idx % 8 + 2:], ''),
+    sha256(array_to_string(run[1:idx % 8] || [own] || run[idx % 8 + 2:], ''))
+  FROM high_walk w JOIN high_runs u ON u.level = w.level AND u.up = idx // 8
+)
+SELECT doc_id, leaf, subroot, digest AS root, sha256(proof) AS proof_sha256, own AS folded_root, own = digest AS verified
+FROM high_walk w JOIN leaves USING (r) JOIN subroots s ON s.lang IS NOT DISTINCT FROM leaves.lang, high h
+WHERE h.n = 1 AND w.level = h.level
+"""
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.ordered_turns(table(spark, sf_dir, "conversations"))
+    ident = F.col("conv_id")
+    head = F.crc32(ident.cast("string").cast("binary")) % 9
+    return prefix_trie.prefix_trie(*prefix_trie.with_shared_heads(turns, ident - ident % 5, head, 8))
+
+
+_TURN = "coalesce(octet_length(encode({c})), 0) || ':' || coalesce({c}, '')"
+# Prefixes as whole text; subtrees by the path of each node's smallest member.
+_OP13 = f"""
+WITH crcs AS ({_CRC_TABLE}),
+own AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id
+      ORDER BY turn NULLS FIRST, sha256({_TURN.format(c="role")} || {_TURN.format(c="text")})) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+  SELECT conv_id, xor({_CRC32.format(id="conv_id")}, 4294967295) % 9 AS h
+  FROM (SELECT DISTINCT conv_id FROM own), crcs
+), heads AS (
+  SELECT c.conv_id, o.pos, o.role, o.text
+  FROM convs c JOIN own o ON o.conv_id = c.conv_id - c.conv_id % 5 AND o.pos <= c.h
+), taken AS (
+  SELECT c.conv_id, h, count(d.pos) AS m FROM convs c LEFT JOIN heads d USING (conv_id) GROUP BY c.conv_id, h
+), rebuilt AS (
+  SELECT conv_id, pos AS depth, role, text FROM heads
+  UNION ALL
+  SELECT conv_id, m + pos - h, role, text FROM own JOIN taken USING (conv_id) WHERE pos > h
+), pathed AS (
+  SELECT conv_id, depth, octet_length(encode(text)) AS bytes,
+    string_agg(octet_length(encode(role)) || ':' || role || octet_length(encode(text)) || ':' || text, '')
+      OVER (PARTITION BY conv_id ORDER BY depth) AS path
+  FROM rebuilt
+), members AS (
+  SELECT conv_id, 0 AS depth, 0 AS bytes, '' AS path, NULL AS parent FROM convs
+  UNION ALL
+  SELECT conv_id, depth, bytes, path, lag(path, 1, '') OVER (PARTITION BY conv_id ORDER BY depth) FROM pathed
+), nodes AS (
+  SELECT path, any_value(depth) AS depth, any_value(parent) AS parent, any_value(bytes) AS bytes,
+    min(conv_id) AS conv_id, count(*) AS n_convs
+  FROM members GROUP BY path
+), kids AS (
+  SELECT parent AS path, count(*) AS n_children FROM nodes WHERE parent IS NOT NULL GROUP BY parent
+), known AS (
+  SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN kids USING (path)
+), sums AS (
+  SELECT m.path, count(*) FILTER (n_children = 0) AS n_leaves, sum((n_convs - 1) * n.bytes) AS saved
+  FROM known n JOIN members m ON m.conv_id = n.conv_id AND m.depth <= n.depth GROUP BY m.path
+), ends AS (
+  SELECT path, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS ids
+  FROM (SELECT conv_id, path FROM members QUALIFY depth = max(depth) OVER (PARTITION BY conv_id)) GROUP BY path
+)
+SELECT n.conv_id, n.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children,
+  n_leaves, saved::BIGINT AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM known n JOIN sums USING (path) LEFT JOIN ends USING (path) LEFT JOIN nodes p ON p.path = n.parent
+"""
+
+
 #: Name: (query, SQL or None).
 QUERIES = {
     "op1_url_filter": (op1_url_filter, _OP1),
@@ -243,4 +379,6 @@ QUERIES = {
     "op8_embedding_dedup": (op8_embedding_dedup, None),
     "op9_toxicity": (op9_toxicity, None),
     "op10_simhash_dedup": (op10_simhash_dedup, None),
+    "op11_merkle_manifest": (op11_merkle_manifest, _OP11),
+    "op13_prefix_trie": (op13_prefix_trie, _OP13),
 }
