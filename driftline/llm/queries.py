@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from driftline.llm import decontamination, embeddings, language, licenses, merkle, pieces, prefix_trie, secret_scan, simhash, suffix_dedup, toxicity, url_filter
+from driftline.llm import decontamination, embeddings, language, licenses, merkle, pieces, prefix_trie, quality, secret_scan, simhash, suffix_dedup, toxicity, url_filter
 from driftline.llm.common import ascii_lower, held_out, table
 
 # Fixed values of the rule set: host, path, verdict.
@@ -309,6 +309,13 @@ WHERE h.n = 1 AND w.level = h.level
 """
 
 
+def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit_held_in(docs, table(spark, sf_dir, "labels"))
+    scored = quality.score_documents(docs, model)
+    return scored.select("doc_id", held_out(F.col("doc_id"), 4, 2).alias("held_out"), "score", "predicted")
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = prefix_trie.ordered_turns(table(spark, sf_dir, "conversations"))
     ident = F.col("conv_id")
@@ -380,5 +387,6 @@ QUERIES = {
     "op9_toxicity": (op9_toxicity, None),
     "op10_simhash_dedup": (op10_simhash_dedup, None),
     "op11_merkle_manifest": (op11_merkle_manifest, _OP11),
+    "op12_quality": (op12_quality, None),
     "op13_prefix_trie": (op13_prefix_trie, _OP13),
 }
