@@ -10,6 +10,7 @@ isotonic regression of the labels on those maps raw scores to 0..1.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -17,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from driftline.llm.common import extend, held_out, parts_for
+from driftline.llm.common import extend, held_out
 from driftline.shared import keyed_join, staged
 
 THRESHOLD = 0.7
@@ -30,7 +31,8 @@ _SEED = 12
 _FAR = 6.0
 # Raw scores are counted in steps of one in so many, between -1 and 2.
 _STEPS = 512
-_ROWS_PER_PART = 100_000
+# Rows under one task's sums, and the fewest tasks.
+_ROWS_PER_TASK, _TASKS = 1_000_000, 8
 _PIECE = 1 << 20
 
 #: The statistics, in the order of their vector.
@@ -153,25 +155,32 @@ class QualityModel:
         return np.interp(fourier(vectors, self.mean, self.spread) @ self.weights, self.raw, self.score)
 
 
-def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(fold, quality, row, vector) of every labelled row of ``docs``, written and read back; row numbers them.
+def measure(docs: DataFrame) -> DataFrame:
+    """(doc_id, vector) for every row of ``docs(doc_id, text)``, written and read back.
 
-    Of several labels of one document the largest counts. Equal ids share a fold.
+    One pass over the texts serves fit and scores; nothing later moves a text.
     """
-    known = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.max("quality").alias("quality"))
-    rows = keyed_join(docs.select("doc_id", "text"), staged(known, "labels"), ["doc_id"], "inner")
-    fold = F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS)).cast("int")
-    rows = rows.select(fold.alias("fold"), (F.col("quality") > 0).cast("double").alias("quality"), "text")
 
     def make():
         return lambda texts: [pa.array([statistics(t) for t in texts.to_pylist()], pa.list_(pa.float64()))]
 
-    found = extend(rows, "text", make, "vector array<double>", drop=("text",), rows=1000)
-    return staged(found.withColumn("row", F.monotonically_increasing_id()), "statistics")
+    found = extend(docs.select("doc_id", "text"), "text", make, "vector array<double>", drop=("text",), rows=1000)
+    return staged(found, "statistics")
+
+
+def labelled(measured: DataFrame, labels: DataFrame) -> DataFrame:
+    """(fold, quality, vector) of every labelled row of ``measured``, written and read back.
+
+    Of several labels of one document the largest counts. Equal ids share a fold.
+    """
+    known = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.max("quality").alias("quality"))
+    rows = keyed_join(measured, staged(known, "labels"), ["doc_id"], "inner")
+    fold = F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS)).cast("int")
+    return staged(rows.select(fold.alias("fold"), (F.col("quality") > 0).cast("double").alias("quality"), "vector"), "labelled")
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
-    return np.asarray(column.flatten()).reshape(len(column), -1) if len(column) else np.zeros((0, len(STATISTICS)))
+    return np.asarray(column.flatten()).reshape(-1, len(STATISTICS))
 
 
 def normal_equations(sample: DataFrame, mean: np.ndarray, spread: np.ndarray) -> np.ndarray:
@@ -200,8 +209,8 @@ def normal_equations(sample: DataFrame, mean: np.ndarray, spread: np.ndarray) ->
         )
 
     schema = "line long, sums array<double>"
-    dealt = sample.repartition(parts_for(sample.sparkSession, sample.count(), _ROWS_PER_PART), "row").sortWithinPartitions("row")
-    lines = dealt.mapInArrow(sums, schema).withColumn("task", F.spark_partition_id())
+    tasks = max(_TASKS, math.ceil(sample.count() / _ROWS_PER_TASK))
+    lines = sample.coalesce(tasks).mapInArrow(sums, schema).withColumn("task", F.spark_partition_id())
     # Lines of one number meet in the order of their tasks, so that sums come out alike each time.
     lines = lines.repartition(8, "line").sortWithinPartitions("line", "task").select("line", "sums")
     out = np.zeros((FOLDS * width, width + 1))
@@ -231,12 +240,12 @@ def isotonic(raw: np.ndarray, good: np.ndarray, count: np.ndarray) -> tuple[np.n
     return np.array([p[0] / p[2] for p in pools]), np.array([p[1] / p[2] for p in pools])
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> QualityModel:
-    """The model learnt from all ``labels(doc_id, quality)`` of ``docs(doc_id, text)``.
+def fit(measured: DataFrame, labels: DataFrame) -> QualityModel:
+    """The model learnt from all ``labels(doc_id, quality)`` of the ``measured`` documents.
 
     Without a labelled row every text scores 0; with labels of one kind, that label.
     """
-    sample = labelled(docs, labels)
+    sample = labelled(measured, labels)
     width = len(STATISTICS)
     one = [F.avg(F.col("vector")[i]).alias(f"m{i}") for i in range(width)]
     two = [F.stddev_pop(F.col("vector")[i]).alias(f"s{i}") for i in range(width)]
@@ -264,6 +273,16 @@ def fit(docs: DataFrame, labels: DataFrame) -> QualityModel:
     return QualityModel(mean, spread, ridge(whole), *isotonic(rows[:, 0] / _STEPS, rows[:, 1], rows[:, 2]))
 
 
+def score_measured(measured: DataFrame, model: QualityModel, threshold: float = THRESHOLD) -> DataFrame:
+    """(doc_id, score, predicted) for every row of ``measured``, repeated ones too."""
+    sent = measured.sparkSession.sparkContext.broadcast(model)
+
+    def make():
+        return lambda vectors: _scored(sent.value, _matrix(vectors), threshold)
+
+    return extend(measured, "vector", make, _SCORED, drop=("vector",))
+
+
 def score_documents(docs: DataFrame, model: QualityModel, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with score and predicted, from whole texts.
 
@@ -274,18 +293,23 @@ def score_documents(docs: DataFrame, model: QualityModel, threshold: float = THR
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def make():
-        model = sent.value
+        return lambda texts: _scored(sent.value, _table([statistics(t) for t in texts.to_pylist()]), threshold)
+
+    return extend(docs, "text", make, _SCORED, rows=1000)
+
+
+_SCORED = "score double, predicted int"
+
 
-        def run(texts: pa.Array) -> list[pa.Array]:
-            found = [statistics(t) for t in texts.to_pylist()]
-            score = model.scores(np.stack(found)) if found else np.zeros(0)
-            return [pa.array(score), pa.array((score >= threshold).astype(np.int32))]
+def _table(vectors: list[np.ndarray]) -> np.ndarray:
+    return np.array(vectors).reshape(-1, len(STATISTICS))
 
-        return run
 
-    return extend(docs, "text", make, "score double, predicted int", rows=1000)
+def _scored(model: QualityModel, vectors: np.ndarray, threshold: float) -> list[pa.Array]:
+    score = model.scores(vectors)
+    return [pa.array(score), pa.array((score >= threshold).astype(np.int32))]
 
 
-def fit_held_in(docs: DataFrame, labels: DataFrame) -> QualityModel:
+def fit_held_in(measured: DataFrame, labels: DataFrame) -> QualityModel:
     """The model learnt from the labels of all folds of four but number 2."""
-    return fit(docs, labels.where(~held_out(F.col("doc_id"), 4, 2)))
+    return fit(measured, labels.where(~held_out(F.col("doc_id"), 4, 2)))

@@ -310,9 +310,9 @@ WHERE h.n = 1 AND w.level = h.level
 
 
 def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    model = quality.fit_held_in(docs, table(spark, sf_dir, "labels"))
-    scored = quality.score_documents(docs, model)
+    measured = quality.measure(table(spark, sf_dir, "documents"))
+    model = quality.fit_held_in(measured, table(spark, sf_dir, "labels"))
+    scored = quality.score_measured(measured, model)
     return scored.select("doc_id", held_out(F.col("doc_id"), 4, 2).alias("held_out"), "score", "predicted")
 
 

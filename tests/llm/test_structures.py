@@ -225,7 +225,7 @@ def test_normal_equations_equal_one_product(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
     labels = spark.createDataFrame([(i, i % 3 > 0) for i in range(len(texts))] + [(3, None)], "doc_id long, q boolean")
     labels = labels.selectExpr("doc_id", "CAST(q AS int) AS quality")
-    sample = quality.labelled(docs, labels)
+    sample = quality.labelled(quality.measure(docs), labels)
     rows = sample.collect()
     vectors = np.array([r.vector for r in rows])
     assert sorted(map(tuple, vectors)) == sorted(tuple(quality.statistics(t)) for t in texts)
@@ -267,14 +267,16 @@ def test_quality_of_odd_rows(spark):
     rows = [(i, t, "s", "p", "v") for i, t in enumerate(texts)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, score string, predicted string, vector string")
     labels = spark.createDataFrame([(i, i % 2) for i in range(len(texts))] + [(None, 1)], "doc_id long, quality int")
-    model = quality.fit(docs, labels)
+    measured = quality.measure(docs)
+    model = quality.fit(measured, labels)
     found = {r.doc_id: r for r in quality.score_documents(docs, model).collect()}
     assert len(found) == len(texts) and found[8].score == found[9].score and found[0].score == found[1].score
+    assert {(r.doc_id, r.score) for r in quality.score_measured(measured, model).collect()} == {(i, r.score) for i, r in found.items()}
     assert found[3].vector == "v" and all(0 <= r.score <= 1 for r in found.values())
     assert quality.score_documents(docs.limit(0), model).collect() == []
-    blank = quality.fit(docs, labels.limit(0))
+    blank = quality.fit(measured, labels.limit(0))
     assert {r.score for r in quality.score_documents(docs, blank).collect()} == {0.0}
-    assert quality.fit_held_in(docs.select("doc_id", "text"), labels.where(held_out(labels.doc_id, 4, 2))).score.tolist() == [0.0]
+    assert quality.fit_held_in(measured, labels.where(held_out(labels.doc_id, 4, 2))).score.tolist() == [0.0]
 
 
 def test_statistics_do_not_depend_on_the_pieces(monkeypatch):
