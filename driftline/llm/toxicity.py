@@ -213,7 +213,7 @@ def score_documents(docs: DataFrame, model: ToxicityModel, threshold: float = TH
 
         return run
 
-    return extend(docs, "text", make, extra)
+    return extend(docs, "text", make, extra, rows=1000)
 
 
 def fit_held_in(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_DOCS) -> ToxicityModel:
