@@ -12,7 +12,16 @@ from driftline.contracts import Contract
 from driftline.operators.delta import POSITION, SUB_ORDER, apply_delta, compact_delta, delta_counts, expand_key_changes
 from driftline.plans.run import RunContext
 from driftline.shared import broadcast_limit, scan_bytes, staged
-from driftline.sources.curated import Pointer, aligned, read_curated, read_pointer, touched_buckets, write_curated
+from driftline.sources.curated import (
+    Pointer,
+    aligned,
+    grown_buckets,
+    read_curated,
+    read_pointer,
+    touched_buckets,
+    with_splits,
+    write_curated,
+)
 from driftline.sources.landing import read_landed
 
 # Bookkeeping columns of a landed delta, beside the contract's.
@@ -37,12 +46,35 @@ def retyped(contract: Contract, pointer: Pointer) -> bool:
     return any(stored.get(f.name, f.dataType.simpleString()) != f.dataType.simpleString() for f in wanted)
 
 
+def refuse_misfits(state: DataFrame, contract: Contract, keyed: DataFrame | None = None) -> None:
+    """Fails where a stored value has no place in the contract's type, before anything is written.
+
+    With ``keyed`` only rows with one of its keys, in the contract's types, are looked at.
+    """
+    stored = {f.name: f.dataType.simpleString() for f in state.schema.fields}
+    wanted = StructType.fromDDL(contract.ddl).fields
+    moved = [f for f in wanted if stored.get(f.name, f.dataType.simpleString()) != f.dataType.simpleString()]
+    if not moved:
+        return
+    types = {f.name: f.dataType.simpleString() for f in wanted}
+    lost = {f.name: F.col(f"`{f.name}`").isNotNull() & F.col(f"`{f.name}`").try_cast(types[f.name]).isNull() for f in moved}
+    if keyed is not None:
+        keys = list(contract.keys)
+        rows = state.withColumns({f"_lost_{n}": c for n, c in lost.items()})
+        rows = rows.withColumns({k: F.col(f"`{k}`").try_cast(types[k]) for k in keys if k in lost})
+        state = rows.join(keyed.select(*keys).dropna("any").distinct(), keys, "left_semi")
+        lost = {n: F.col(f"_lost_{n}") for n in lost}
+    counts = state.agg(*[F.count_if(c).alias(n) for n, c in lost.items()]).first().asDict()
+    bad = {n: c for n, c in counts.items() if c}
+    if bad:
+        told = ", ".join(f"{n} of {stored[n]} into {types[n]} in {c} rows" for n, c in bad.items())
+        raise ValueError(f"stored values do not fit the contract: {told}; widen the contract or mend the rows")
+
+
 def conformed(state: DataFrame, contract: Contract) -> DataFrame:
-    """Curated rows under the contract: new columns are NULL, values that no longer fit too."""
+    """Curated rows under the contract; new columns are NULL. Rows that do not fit are refused before."""
     columns = [
-        F.col(f"`{f.name}`").try_cast(f.type).alias(f.name)
-        if f.name in state.columns
-        else F.lit(None).cast(f.type).alias(f.name)
+        F.col(f"`{f.name}`").cast(f.type).alias(f.name) if f.name in state.columns else F.lit(None).cast(f.type).alias(f.name)
         for f in contract.fields
     ]
     position = F.col(POSITION) if POSITION in state.columns else F.lit(None).cast("bigint").alias(POSITION)
@@ -81,26 +113,28 @@ def apply_landed(
 def apply_compacted(
     ctx: RunContext, delta: DataFrame, buckets: int = 16, guard: bool = False, run_id: str | None = None
 ) -> dict[str, Any]:
-    """Rewrites only the buckets the delta's keys fall into."""
+    """Rewrites only the buckets the delta's keys fall into, and those that are due to be split."""
     spark, keys = ctx.spark, list(ctx.contract.keys)
     pointer = read_pointer(spark, ctx.target_root)
-    total = len(pointer.bucket_versions) if pointer else buckets
-    touched = touched_buckets(delta, keys, total)
+    before = len(pointer.bucket_versions) if pointer else buckets
+    total = grown_buckets(pointer) if pointer else buckets
+    touched = set(touched_buckets(delta, keys, total))
     columns = [*ctx.contract.columns, POSITION]
+    moved = pointer is not None and retyped(ctx.contract, pointer)
+    # Where the buckets of retyped keys no longer fit, all are rewritten.
+    only, sources = (list(range(total)), list(range(before))) if moved else with_splits(touched, before, total)
     if pointer is None:
         state = spark.createDataFrame([], curated_ddl(ctx.contract))
     else:
-        if retyped(ctx.contract, pointer):
-            # Stored values, or the buckets of their keys, no longer fit: all are rewritten.
-            touched = list(range(total))
-        state = conformed(read_curated(spark, ctx.target_root, pointer, touched), ctx.contract)
+        state = read_curated(spark, ctx.target_root, pointer, sources)
+        if moved:
+            refuse_misfits(state, ctx.contract)
+        state = conformed(state, ctx.contract)
     counts = delta_counts(state, delta, keys).first().asDict()
-    if not touched and pointer is not None:
+    if not touched and not moved and pointer is not None:
         return counts
-    if scan_bytes(delta) > broadcast_limit(spark):
-        # Too large to broadcast: shuffle the curated rows once, for join and write.
-        state = aligned(state, keys, total)
-    elif pointer is not None and retyped(ctx.contract, pointer):
+    if moved or scan_bytes(delta) > broadcast_limit(spark):
+        # Too large to broadcast, or keyed anew: shuffle the curated rows once, for join and write.
         state = aligned(state, keys, total)
     write_curated(
         apply_delta(state, aligned(delta, keys, total), keys, guard=guard, columns=columns),
@@ -109,7 +143,8 @@ def apply_compacted(
         run_id or ctx.run_id,
         total,
         previous=pointer,
-        only=touched if pointer else None,
+        only=only if pointer else None,
         in_place=True,
+        grown=total,
     )
     return counts

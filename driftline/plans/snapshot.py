@@ -7,7 +7,8 @@ from typing import Any
 
 from pyspark.sql import DataFrame, functions as F
 
-from driftline.operators.diff import RUN_ID, merge_counts, merge_snapshot, protected_rows
+from driftline.functions.hashing import row_hash
+from driftline.operators.diff import ROW_HASH, RUN_ID, merge_counts, merge_snapshot, protected_rows
 from driftline.operators.validation import (
     explode_errors,
     split_accepted,
@@ -15,15 +16,19 @@ from driftline.operators.validation import (
     validation_counts,
     validation_gate,
 )
-from driftline.plans.deltas import retyped
+from driftline.plans.deltas import refuse_misfits, retyped
 from driftline.plans.run import RunContext, land, recorded_run
 from driftline.shared import staged
 from driftline.sources.curated import (
     Pointer,
     aligned,
+    bucket_digests,
+    bucket_of,
+    grown_buckets,
     read_curated,
     read_pointer,
     touched_buckets,
+    with_splits,
     write_curated,
 )
 from driftline.sources.landing import land_accepted, read_landed, rejected_keys_key
@@ -111,28 +116,66 @@ def merge_landed(
 ) -> dict[str, Any]:
     """Merges a landed snapshot into the curated table and counts what changed.
 
-    The counts are read back from the version just written, so a recomputed task
-    cannot count a row twice. Fingerprints stored under another contract or method
-    are not compared; the curated columns are hashed again instead.
+    Digests of the snapshot's buckets are compared with those in the pointer first; only
+    buckets that differ, or that are split, are read, joined and rewritten. A table that did
+    not change gets no new version. Rows keep the change mark of the run that wrote their bucket.
+
+    The counts are read back from the buckets just written, so a recomputed task cannot
+    count a row twice. Fingerprints stored under another contract or method are not
+    compared; the curated columns are hashed again and every bucket is rewritten.
     """
     spark, keys = ctx.spark, list(ctx.contract.keys)
     began = time.monotonic()
     pointer = read_pointer(spark, ctx.target_root)
-    buckets = len(pointer.bucket_versions) if pointer else buckets
     landed = read_landed(spark, ctx.path(accepted_key), ctx.contract)
-    curated = _comparable(ctx, pointer)
-    # The one shuffle of whole rows: the join and the bucketed write both keep it.
-    merged = merge_snapshot(aligned(landed, keys, buckets), curated, keys, ctx.run_id)
-    if rejected is not None and pointer is not None:
-        lost = None
-        if not retyped(ctx.contract, pointer):
-            lost = touched_buckets(rejected.dropna("any", subset=keys), keys, buckets)
-        merged = merged.unionByName(protected_rows(landed, _comparable(ctx, pointer, lost), keys, rejected))
     tag = _hash_tag(ctx)
-    written = write_curated(merged, ctx.target_root, keys, ctx.run_id, buckets, tag, pointer, in_place=True)
-    before = pointer.row_count if pointer else 0
-    counts = merge_counts(read_curated(spark, ctx.target_root, written), before).first().asDict()
-    counts["total_seconds"] = round(time.monotonic() - began, 3)
+    total, only, sources = buckets, None, None
+    if pointer is not None:
+        before = len(pointer.bucket_versions)
+        total = grown_buckets(pointer)
+        if pointer.hash_tag == tag and pointer.bucket_digests:
+            values = [c for c in ctx.contract.columns if c not in keys] or keys
+            marked = landed.select(*keys, row_hash(landed, values).alias(ROW_HASH))
+            digests = bucket_digests(marked, keys, ROW_HASH, total)
+            apart = {b for b, d in enumerate(digests) if b >= before or d != pointer.bucket_digests[b]}
+            only, sources = with_splits(apart, before, total)
+    compared = time.monotonic()
+    held_back = 0
+    if only is not None:
+        held_back = sum(n for b, n in enumerate(pointer.bucket_rows) if b not in set(sources))
+        if len(only) < total:
+            landed = landed.filter(bucket_of(keys, total).isin(only))
+    counts = dict.fromkeys(("read_count", "insert_count", "update_count", "delete_count", "unchanged_count", "protected_count"), 0)
+    written_bytes = 0
+    if only is None or only:
+        curated = _comparable(ctx, pointer, sources)
+        # The one shuffle of whole rows: the join and the bucketed write both keep it.
+        merged = merge_snapshot(aligned(landed, keys, total), curated, keys, ctx.run_id)
+        if rejected is not None and pointer is not None:
+            lost = sources
+            if not retyped(ctx.contract, pointer):
+                near = touched_buckets(rejected.dropna("any", subset=keys), keys, len(pointer.bucket_versions))
+                lost = sorted(set(near) & set(sources)) if sources is not None else near
+            else:
+                refuse_misfits(read_curated(spark, ctx.target_root, pointer), ctx.contract, rejected)
+            merged = merged.unionByName(protected_rows(landed, _comparable(ctx, pointer, lost), keys, rejected))
+        written = write_curated(
+            merged, ctx.target_root, keys, ctx.run_id, total, tag, pointer, only=only, in_place=True, grown=total, fingerprint=ROW_HASH
+        )
+        rewritten = range(total) if only is None else only
+        written_bytes = sum(written.bucket_bytes[b] for b in rewritten)
+        before_rows = (pointer.row_count if pointer else 0) - held_back
+        counts = merge_counts(read_curated(spark, ctx.target_root, written, list(rewritten)), before_rows).first().asDict()
+    counts["read_count"] += held_back
+    counts["unchanged_count"] += held_back
+    ended = time.monotonic()
+    counts.update(
+        diff_seconds=round(compared - began, 3),
+        write_seconds=round(ended - compared, 3),
+        total_seconds=round(ended - began, 3),
+        processed_batches=total if only is None else len(only),
+        written_bytes=written_bytes,
+    )
     return counts
 
 
