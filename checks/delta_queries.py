@@ -218,6 +218,46 @@ def audit_log_run(spark: SparkSession, sf: str) -> DataFrame:
     return current_rows(second)
 
 
+def audit_overlap_late_commit(spark: SparkSession, sf: str) -> DataFrame:
+    """A third of the events became visible late, also those of keys deleted meanwhile: re-reading finds their place."""
+    folder = scratch_path(spark, "late-commit")
+    events = frame(spark, sf, "audit_events")
+    seen = events.filter((F.col("audit_id") % 3 != 1) | (F.col("recorded_at") < F.lit("2024-01-05").cast("timestamp_ntz")))
+    ingest_audit_log(_context(spark, USERS, "incremental_audit", folder), seen, "recorded_at", buckets=4)
+    second = _context(spark, USERS, "incremental_audit", folder)
+    ingest_audit_log(second, events, "recorded_at", overlap=F.expr("INTERVAL 400 DAYS"), buckets=4)
+    return current_rows(second)
+
+
+def delta_run_narrower_type(spark: SparkSession, sf: str) -> DataFrame:
+    """A contract that cannot hold the stored keys is refused before it destroys any: the first run's rows stay."""
+    folder = scratch_path(spark, "narrower")
+    events = frame(spark, sf, "audit_events").withColumn("k", F.col("k") + F.lit(5_000_000_000))
+    first = _context(spark, USERS, "incremental_audit", folder)
+    ingest_audit_log(first, events.filter(F.col("recorded_at") < F.lit("2024-01-15").cast("timestamp_ntz")), buckets=4)
+    narrow = Contract("users", "2.0.0", (FieldRule("k", "int"), *[f for f in USERS.fields if f.name != "k"]), USERS.keys)
+    small = frame(spark, sf, "audit_events").filter(F.col("recorded_at") >= F.lit("2024-01-15").cast("timestamp_ntz"))
+    told = "0"
+    try:
+        ingest_audit_log(_context(spark, narrow, "incremental_audit", folder), small, buckets=4)
+    except ValueError as exc:
+        told = str(exc).split(" in ")[1].split()[0]
+    return current_rows(first).select((F.col("k") - F.lit(5_000_000_000)).alias("k"), "v", F.lit(int(told)).cast("bigint").alias("refused"))
+
+
+def change_log_windows(spark: SparkSession, sf: str) -> DataFrame:
+    """Windows that end inside transactions leave the state of one run over all."""
+    folder = scratch_path(spark, "windows")
+    feed = _feed(spark, sf)
+    ctx = _context(spark, USERS, "logical_cdc", folder)
+    _users_seed(spark, sf, ctx.target_root)
+    top = feed.agg(F.max("lsn")).first()[0]
+    for share in (0.23, 0.61, 1):
+        ctx = _context(spark, USERS, "logical_cdc", folder)
+        ingest_change_log(ctx, feed, end_lsn=int(top * share), buckets=4, commit="tx_end")
+    return current_rows(ctx)
+
+
 def audit_run_null_clock(spark: SparkSession, sf: str) -> DataFrame:
     """A run whose clock some events lack is refused, and tells how many they are."""
     ctx = _context(spark, USERS, "incremental_audit", scratch_path(spark, "null-clock"))
@@ -574,6 +614,25 @@ QUERIES = {
             QUALIFY row_number() OVER (PARTITION BY k ORDER BY recorded_at DESC, audit_id DESC) = 1 AND op <> 'D'""",
         ),
     ),
+    "audit_overlap_late_commit": (
+        audit_overlap_late_commit,
+        with_fixtures(
+            "audit_events",
+            """SELECT k, v FROM audit_events WHERE op = 'D' OR v >= 2
+            QUALIFY row_number() OVER (PARTITION BY k ORDER BY recorded_at DESC, audit_id DESC) = 1 AND op <> 'D'""",
+        ),
+    ),
+    "delta_run_narrower_type": (
+        delta_run_narrower_type,
+        with_fixtures(
+            "audit_events",
+            """WITH base AS (SELECT k, v, op FROM audit_events
+              WHERE (op = 'D' OR v >= 2) AND recorded_at < TIMESTAMP '2024-01-15'
+              QUALIFY row_number() OVER (PARTITION BY k ORDER BY recorded_at DESC, audit_id DESC) = 1)
+            SELECT k, v, (SELECT count(*) FROM base WHERE op <> 'D') AS refused FROM base WHERE op <> 'D'""",
+        ),
+    ),
+    "change_log_windows": (change_log_windows, with_fixtures("wal_events cur_users", f"WITH {_STREAM_DELTA} {_APPLIED}")),
     "audit_run_null_clock": (
         audit_run_null_clock,
         with_fixtures(

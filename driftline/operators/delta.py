@@ -12,6 +12,21 @@ WATERMARK_MODES = ("auto", "commit_timestamp", "recorded_at")
 WATERMARK = "_watermark"
 SUB_ORDER = "_sub"
 POSITION = "_position"
+#: Where an event stands among all events of a table: clock or log position, id or sequence, half of a key change.
+POSITION_TYPE = "struct<major:bigint,minor:bigint,sub:int>"
+
+
+def position(major: Column, minor: Column, sub: Column | int = 0) -> Column:
+    """The full order of an event in one comparable value."""
+    sub = F.lit(sub) if isinstance(sub, int) else sub
+    return F.struct(major.cast("bigint").alias("major"), minor.cast("bigint").alias("minor"), sub.cast("int").alias("sub"))
+
+
+def clock_micros(clock: Column, kind: str) -> Column:
+    """Microseconds of a clock, the same in any session zone; a zoneless clock counts as UTC."""
+    if kind == "timestamp":
+        return F.unix_micros(clock)
+    return F.unix_micros(F.concat(clock.cast("string"), F.lit("Z")).cast("timestamp"))
 
 
 def _check_mode(mode: str) -> None:
@@ -146,7 +161,7 @@ def apply_delta(
     event no newer than the row's ``_position`` is ignored.
     """
     if guard:
-        delta = delta.join(_outdated(curated, delta, keys), keys, "left_anti")
+        delta = newer_events(curated, delta, keys)
     # Codes other than these three change nothing: neither do they remove a row.
     delta = delta.filter(F.col(op).isin("I", "U", "D"))
     kept = curated.join(delta.select(*keys), keys, "left_anti")
@@ -155,10 +170,14 @@ def apply_delta(
     return kept.unionByName(upserts, allowMissingColumns=True).select(*columns)
 
 
-def _outdated(curated: DataFrame, delta: DataFrame, keys: list[str]) -> DataFrame:
-    seen = curated.select(*keys, F.col(POSITION).alias("_seen"))
-    newer = F.col("_seen") >= F.col(POSITION)
-    return seen.join(delta.select(*keys, POSITION), keys, "inner").filter(newer).select(*keys)
+def newer_events(known: DataFrame, delta: DataFrame, keys: list[str]) -> DataFrame:
+    """Events of a compacted delta that are newer than what is known of their key.
+
+    ``known`` has the keys and ``_position`` of curated rows and of deleted ones, in any number per key.
+    """
+    seen = known.select(*keys, F.col(POSITION).alias("_seen"))
+    passed = seen.join(delta.select(*keys, POSITION), keys, "inner").filter(F.col("_seen") >= F.col(POSITION))
+    return delta.join(passed.select(*keys).distinct(), keys, "left_anti")
 
 
 def classify_delta(

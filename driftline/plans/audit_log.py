@@ -35,11 +35,13 @@ def ingest_audit_log(
     buckets: int = 16,
     source_table: str | None = None,
     source_audit_table: str | None = None,
+    horizon: int | None = None,
 ) -> dict[str, dict[str, Any]]:
     """Runs the audit-log strategy once: everything after the stored watermark.
 
-    With ``overlap`` a margin before the watermark is read again and the position
-    guard keeps it from overwriting newer rows.
+    With ``overlap`` a margin before the watermark is read again; the position guard keeps it
+    from overwriting newer rows and from bringing back rows deleted since. Positions of
+    deleted keys are kept for ``horizon`` microseconds of the clock, by default for ever.
     """
     with recorded_run(ctx, "apply_delta"):
         previous = ctx.ledger.checkpoint(ctx.pipeline_id)
@@ -48,7 +50,11 @@ def ingest_audit_log(
             out.update(status="skipped", reason="capture_is_set_up_at_the_source")
         with ctx.stage("extract_validate_land_delta") as out:
             began = time.monotonic()
-            mode = resolve_watermark_mode(source, watermark_mode, previous.get("watermark_mode"))
+            looked = source
+            if stored and previous.get("watermark_mode"):
+                # Rows up to the watermark are done with; of later ones only those without a clock matter here.
+                looked = source.filter(F.col(previous["watermark_mode"]).isNull() & (F.col("audit_id") > stored["id"]))
+            mode = resolve_watermark_mode(looked, watermark_mode, previous.get("watermark_mode"))
             clocked = watermark_column(source, mode)
             clock = dict(clocked.dtypes)[WATERMARK]
             start = (F.lit(stored["ts"]).cast(clock), stored["id"]) if stored else None
@@ -108,7 +114,7 @@ def ingest_audit_log(
         with ctx.stage("apply_delta") as out:
             guard = overlap is not None
             ddl = f"{AUDIT_DDL}, {WATERMARK} {clock}"
-            out.update(apply_landed(ctx, keys["accepted_key"], ddl, buckets, guard))
+            out.update(apply_landed(ctx, keys["accepted_key"], ddl, buckets, guard, horizon))
         with ctx.stage("persist_checkpoint") as out:
             ctx.save_checkpoint(
                 {

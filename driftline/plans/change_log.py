@@ -42,7 +42,7 @@ def ingest_change_log(
 
     ``commit`` names the flag on a transaction's last event. With it, events of
     transactions that the window cuts are left for a later run, and the stored position
-    stays before them. The feed has lsn, xid, seq, op, the contract's columns and
+    stays before them. Without it a given window end that cuts a transaction is refused. The feed has lsn, xid, seq, op, the contract's columns and
     the old key columns with the prefix ``old_``."""
     contract = ctx.contract
     with recorded_run(ctx, "apply_delta"):
@@ -56,6 +56,8 @@ def ingest_change_log(
             own = F.lit(True) if table is None else F.col("source_table") == table
             # Only events after the stored position are read at all.
             fresh = feed if start is None else feed.filter(F.col("lsn") > start)
+            if end_lsn is not None and commit is None:
+                _refuse_cut(fresh, end_lsn)
             if end_lsn is None:
                 end_lsn = fresh.agg(F.max("lsn")).first()[0] or start or 0
             # Bounds before rows: once the feed has passed the window end, a later
@@ -156,3 +158,11 @@ def _whole_transactions(events: DataFrame, window: DataFrame, commit: str) -> tu
     first = keyed_join(grouped, ended, ["xid"], "left_anti").agg(F.min("lsn")).first()[0]
     whole = keyed_join(grouped, ended, ["xid"], "left_semi").select(*known.columns)
     return whole.unionByName(known.filter("xid IS NULL")), first
+
+
+def _refuse_cut(feed: DataFrame, end_lsn: int) -> None:
+    """Fails where the feed already holds events of one transaction on both sides of the window end."""
+    sides = feed.filter("xid IS NOT NULL").groupBy("xid").agg(F.min("lsn").alias("a"), F.max("lsn").alias("b"))
+    cut = sides.filter((F.col("a") <= end_lsn) & (F.col("b") > end_lsn)).count()
+    if cut:
+        raise ValueError(f"the window end {lsn_text(end_lsn)} cuts {cut} transactions; name their commit flag or move it")

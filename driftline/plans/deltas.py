@@ -3,13 +3,26 @@
 from __future__ import annotations
 
 import time
+import uuid
+from functools import reduce
 from typing import Any
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from driftline.contracts import Contract
-from driftline.operators.delta import POSITION, SUB_ORDER, apply_delta, compact_delta, delta_counts, expand_key_changes
+from driftline.operators.delta import (
+    POSITION,
+    POSITION_TYPE,
+    SUB_ORDER,
+    apply_delta,
+    clock_micros,
+    compact_delta,
+    delta_counts,
+    expand_key_changes,
+    newer_events,
+    position,
+)
 from driftline.plans.run import RunContext
 from driftline.shared import broadcast_limit, scan_bytes, staged
 from driftline.sources.curated import (
@@ -24,6 +37,8 @@ from driftline.sources.curated import (
 )
 from driftline.sources.landing import read_landed
 
+# Folders of deleted keys that are read side by side before they are folded into one.
+_MOST_GRAVES = 16
 # Bookkeeping columns of a landed delta, beside the contract's.
 AUDIT_DDL = "audit_id bigint, op string"
 
@@ -36,7 +51,7 @@ def change_log_ddl(contract: Contract) -> str:
 
 
 def curated_ddl(contract: Contract) -> str:
-    return f"{contract.ddl}, {POSITION} bigint"
+    return f"{contract.ddl}, {POSITION} {POSITION_TYPE}"
 
 
 def retyped(contract: Contract, pointer: Pointer) -> bool:
@@ -77,43 +92,93 @@ def conformed(state: DataFrame, contract: Contract) -> DataFrame:
         F.col(f"`{f.name}`").cast(f.type).alias(f.name) if f.name in state.columns else F.lit(None).cast(f.type).alias(f.name)
         for f in contract.fields
     ]
-    position = F.col(POSITION) if POSITION in state.columns else F.lit(None).cast("bigint").alias(POSITION)
-    return state.select(*columns, position)
+    return state.select(*columns, stored_position(state).alias(POSITION))
+
+
+def stored_position(state: DataFrame) -> Column:
+    """The position of curated rows; one that was stored as a single number is the major part."""
+    if POSITION not in state.columns:
+        return F.lit(None).cast(POSITION_TYPE)
+    if isinstance(state.schema[POSITION].dataType, StructType):
+        return F.col(POSITION)
+    return F.when(F.col(POSITION).isNotNull(), position(F.col(POSITION), F.lit(0)))
 
 
 def last_events(contract: Contract, landed: DataFrame, strategy: str) -> DataFrame:
     """Last event per key of a landed delta, with the position it came from."""
     keys = list(contract.keys)
     if strategy == "incremental_audit":
-        events = landed.withColumn(POSITION, F.col("audit_id"))
-        order = [POSITION]
+        ident = F.col("audit_id")
+        at = position(ident, F.lit(0))
         if "_watermark" in landed.columns:
-            order = ["_watermark", POSITION]
+            at = position(clock_micros(F.col("_watermark"), dict(landed.dtypes)["_watermark"]), ident)
+        events = landed.withColumn(POSITION, at)
     else:
         events = expand_key_changes(landed, keys, [f"old_{k}" for k in keys])
-        events = events.withColumn(POSITION, F.col("lsn"))
-        order = ["lsn", "seq", SUB_ORDER]
-    kept = [*contract.columns, "op", POSITION]
-    extra = [c for c in order if c not in kept]
-    return compact_delta(events.select(*kept, *extra), keys, order).select(*kept)
+        events = events.withColumn(POSITION, position(F.col("lsn"), F.col("seq"), F.col(SUB_ORDER)))
+    return compact_delta(events.select(*contract.columns, "op", POSITION), keys, [POSITION])
+
+
+def deleted_keys(spark: SparkSession, root: str, contract: Contract, folders: list[str]) -> DataFrame:
+    """Keys and newest positions of the deletes that the folders tell of, the keys in the contract's types."""
+    types = {f.name: f.type for f in contract.fields}
+    parts = [spark.read.parquet(f"{root}/graves/{name}") for name in folders]
+    typed = [p.select(*[F.col(f"`{k}`").try_cast(types[k]).alias(k) for k in contract.keys], POSITION) for p in parts]
+    # A key that the contract's type cannot hold can be in no delta either.
+    return reduce(DataFrame.unionByName, typed).dropna("any", subset=list(contract.keys))
+
+
+def _bury(ctx: RunContext, delta: DataFrame, pointer: Pointer | None, horizon: int | None) -> dict[str, int]:
+    """Folders of deleted keys after this delta, with their marks.
+
+    Each delta adds a folder of its own, so writing is in proportion to its deletes. Folders
+    whose newest delete is more than ``horizon`` behind the newest of all are let go; many
+    small ones are folded into one.
+    """
+    spark, keys = ctx.spark, list(ctx.contract.keys)
+    graves = dict(zip(pointer.graves, pointer.grave_marks, strict=True)) if pointer else {}
+    gone = delta.filter(F.col("op") == "D").select(*keys, POSITION)
+    newest = gone.agg(F.max(f"{POSITION}.major").alias("m")).first()["m"]
+    if newest is not None:
+        name = uuid.uuid4().hex
+        gone.write.parquet(f"{ctx.target_root}/graves/{name}")
+        graves[name] = newest
+    if horizon is not None and graves:
+        graves = {n: m for n, m in graves.items() if m >= max(graves.values()) - horizon}
+    if len(graves) > _MOST_GRAVES:
+        name = uuid.uuid4().hex
+        whole = deleted_keys(spark, ctx.target_root, ctx.contract, list(graves))
+        whole.groupBy(*keys).agg(F.max(POSITION).alias(POSITION)).write.parquet(f"{ctx.target_root}/graves/{name}")
+        graves = {name: max(graves.values())}
+    return graves
 
 
 def apply_landed(
-    ctx: RunContext, delta_key: str, extra_ddl: str, buckets: int = 16, guard: bool = False
+    ctx: RunContext, delta_key: str, extra_ddl: str, buckets: int = 16, guard: bool = False, horizon: int | None = None
 ) -> dict[str, Any]:
     """Applies a landed delta to the curated table and counts its effect."""
     began = time.monotonic()
     landed = read_landed(ctx.spark, ctx.path(delta_key), ctx.contract, extra_ddl)
     delta = staged(last_events(ctx.contract, landed, ctx.strategy), "delta")
-    counts = apply_compacted(ctx, delta, buckets, guard)
+    counts = apply_compacted(ctx, delta, buckets, guard, horizon=horizon)
     counts["total_seconds"] = round(time.monotonic() - began, 3)
     return counts
 
 
 def apply_compacted(
-    ctx: RunContext, delta: DataFrame, buckets: int = 16, guard: bool = False, run_id: str | None = None
+    ctx: RunContext,
+    delta: DataFrame,
+    buckets: int = 16,
+    guard: bool = False,
+    run_id: str | None = None,
+    horizon: int | None = None,
 ) -> dict[str, Any]:
-    """Rewrites only the buckets the delta's keys fall into, and those that are due to be split."""
+    """Rewrites only the buckets the delta's keys fall into, and those that are due to be split.
+
+    With ``guard`` events no newer than the row of their key, or than its delete, are left
+    out and not counted. Positions of deleted keys are kept for ``horizon``, in microseconds
+    of the clock or bytes of the log, by default for ever.
+    """
     spark, keys = ctx.spark, list(ctx.contract.keys)
     pointer = read_pointer(spark, ctx.target_root)
     before = len(pointer.bucket_versions) if pointer else buckets
@@ -130,6 +195,11 @@ def apply_compacted(
         if moved:
             refuse_misfits(state, ctx.contract)
         state = conformed(state, ctx.contract)
+    if guard and pointer is not None:
+        known = state.select(*keys, POSITION)
+        if pointer.graves:
+            known = known.unionByName(deleted_keys(spark, ctx.target_root, ctx.contract, list(pointer.graves)))
+        delta = staged(newer_events(known, delta, keys), "newer")
     counts = delta_counts(state, delta, keys).first().asDict()
     if not touched and not moved and pointer is not None:
         return counts
@@ -137,7 +207,7 @@ def apply_compacted(
         # Too large to broadcast, or keyed anew: shuffle the curated rows once, for join and write.
         state = aligned(state, keys, total)
     write_curated(
-        apply_delta(state, aligned(delta, keys, total), keys, guard=guard, columns=columns),
+        apply_delta(state, aligned(delta, keys, total), keys, columns=columns),
         ctx.target_root,
         keys,
         run_id or ctx.run_id,
@@ -146,5 +216,6 @@ def apply_compacted(
         only=only if pointer else None,
         in_place=True,
         grown=total,
+        graves=_bury(ctx, delta, pointer, horizon),
     )
     return counts

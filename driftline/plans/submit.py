@@ -75,9 +75,11 @@ def submit(
         )
     else:
         if not args.change_feed_path:
-            raise ValueError("Missing required configuration values: change_feed_path")
+            raise ValueError("a change-log run needs change_feed_path")
         feed = read_table(spark, Source(path=args.change_feed_path), "")
         table = args.source_table if "source_table" in feed.columns else None
+        # Whole transactions only, wherever the feed says where they end.
+        options.setdefault("commit", "tx_end" if "tx_end" in feed.columns else None)
         ingest_change_log(
             ctx,
             feed,

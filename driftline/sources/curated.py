@@ -30,7 +30,8 @@ _ABANDONED_SECONDS = 600
 _POINTER_DDL = (
     "version bigint, run_id string, hash_tag string, keys array<string>, schema string, "
     "row_count bigint, bucket_versions array<bigint>, bucket_folders array<string>, bucket_rows array<bigint>, "
-    "bucket_bytes array<bigint>, bucket_digests array<string>"
+    "bucket_bytes array<bigint>, bucket_digests array<string>, "
+    "graves array<string>, grave_marks array<bigint>"
 )
 #: Bytes of a bucket on average beyond which buckets are split, and the share of them that one write splits at most.
 BUCKET_BYTES = 256 * 1024 * 1024
@@ -52,6 +53,9 @@ class Pointer:
     bucket_rows: tuple[int, ...]
     bucket_bytes: tuple[int, ...] = ()
     bucket_digests: tuple[str, ...] = ()
+    #: Folders that tell the positions of deleted keys, and the newest position's major part in each.
+    graves: tuple[str, ...] = ()
+    grave_marks: tuple[int, ...] = ()
 
 
 def _round(buckets: int) -> int:
@@ -187,11 +191,13 @@ def write_curated(
     in_place: bool = False,
     grown: int | None = None,
     fingerprint: str | None = None,
+    graves: dict[str, int] | None = None,
 ) -> Pointer:
     """Write a version and move the pointer to it.
 
     ``grown`` is the number of buckets under which ``only`` was planned, where some are
-    split. ``fingerprint`` names the column that bucket digests are made from.
+    split. ``fingerprint`` names the column that bucket digests are made from. ``graves``
+    maps the folders of deleted keys to their marks; left out, those before stay.
 
     With ``only`` the frame holds the new content of just those buckets and all
     others stay where ``previous`` points. ``expected_rows`` is checked against
@@ -236,8 +242,11 @@ def write_curated(
     }
     kept = {n: getattr(previous, f"bucket_{n}") or (("" if n == "digests" else 0),) * buckets for n in fresh} if previous else fresh
     lists = {n: tuple(fresh[n][b] if b in rewritten else kept[n][b] for b in range(buckets)) for n in fresh}
+    if graves is None:
+        graves = dict(zip(previous.graves, previous.grave_marks, strict=True)) if previous else {}
     pointer = Pointer(
-        version, run_id, hash_tag, tuple(keys), schema, sum(lists["rows"]), *(lists[n] for n in ("versions", "folders", "rows", "bytes", "digests"))
+        version, run_id, hash_tag, tuple(keys), schema, sum(lists["rows"]),
+        *(lists[n] for n in ("versions", "folders", "rows", "bytes", "digests")), tuple(graves), tuple(graves.values()),
     )
     # A second writer of the same version fails here, and its files are never read.
     claim_text(spark, f"{root}/pointer/v{version}.json", json.dumps(asdict(pointer)))
