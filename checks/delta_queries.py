@@ -358,7 +358,8 @@ def _stream(spark: SparkSession, sf: str):
         part.repartition(files).write.mode("append").parquet(f"{folder}/feed")
     source = spark.readStream.schema(feed.schema).option("maxFilesPerTrigger", files).parquet(f"{folder}/feed")
     query = stream_deltas(ctx, source, f"{folder}/checkpoint", buckets=4)
-    return ctx, drain(query, max_seconds=600)
+    end = feed.agg(F.max("lsn").alias("m")).first()["m"]
+    return ctx, drain(query, max_seconds=600, end_lsn=end)
 
 
 def streamed_deltas(spark: SparkSession, sf: str) -> DataFrame:

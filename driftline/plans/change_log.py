@@ -5,7 +5,7 @@ from __future__ import annotations
 import time
 from typing import Any
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from driftline.functions.lsn import lsn_number, lsn_text
 from driftline.operators.checkpoint import lsn_window
@@ -25,6 +25,14 @@ from driftline.sources.landing import quarantine_key
 from driftline.sources.scan import change_event_scan
 
 
+_HELD_COUNTS = (
+    "invalid_event_count",
+    "invalid_transaction_count",
+    "quarantined_event_count",
+    "quarantined_transaction_count",
+)
+
+
 def ingest_change_log(
     ctx: RunContext,
     feed: DataFrame,
@@ -42,8 +50,10 @@ def ingest_change_log(
 
     ``commit`` names the flag on a transaction's last event. With it, events of
     transactions that the window cuts are left for a later run, and the stored position
-    stays before them. Without it a given window end that cuts a transaction is refused. The feed has lsn, xid, seq, op, the contract's columns and
-    the old key columns with the prefix ``old_``."""
+    stays before them. Without it a given window end that cuts a transaction is refused.
+    The feed has lsn, xid, seq, op, the contract's columns and the old key columns with
+    the prefix ``old_``.
+    """
     contract = ctx.contract
     with recorded_run(ctx, "apply_delta"):
         previous = ctx.ledger.checkpoint(ctx.pipeline_id)
@@ -71,78 +81,21 @@ def ingest_change_log(
                 events, held_from = _whole_transactions(events, inside, commit)
             rows = staged(events, "change-window")
             highest = rows.agg(F.max("lsn").alias("m")).first()["m"]
-            checked = validate(
-                rows, contract, row_number=F.col("seq"), unique_keys=False, rules_when=F.col("op") != "D", op="op"
-            )
-            invalid = F.col(REJECTED)
-            marked = staged(quarantine_transactions(checked, invalid), "quarantine")
-            counts = validation_counts(marked, "event").first()
-            held = quarantine_counts(marked, invalid).first().asDict()
-            clean = marked.filter(~F.col("_quarantined"))
-            waiting = marked.filter(F.col("_quarantined") & ~invalid)
-            land_quarantined(ctx, waiting.select("lsn", "seq", "xid", "op", *old, *contract.columns))
-            land(
-                ctx,
-                clean.select("lsn", "seq", "xid", "op", *old, *contract.columns),
-                explode_errors(marked.filter(invalid)),
-                {
-                    "source": counts["source_event_count"],
-                    "accepted": counts["source_event_count"] - held["quarantined_event_count"],
-                    "invalid": counts["invalid_event_count"],
-                    "errors": counts["error_count"],
-                },
-                (bounds["window_start_lsn"], bounds["window_end_lsn"]),
-            )
-            keys = ctx.keys
-            validation_gate(
-                counts["invalid_event_count"],
-                policy,
-                error_object_key=keys["error_key"],
-                manifest_key=keys["manifest_key"],
-                delta_object_key=keys["accepted_key"],
-                **held,
-            )
-            out.update(
-                source_event_count=counts["source_event_count"],
-                delta_object_key=keys["accepted_key"],
-                error_object_key=keys["error_key"],
-                quarantined_object_key=quarantine_key(ctx.strategy, ctx.namespace, ctx.name, ctx.run_id),
-                manifest_key=keys["manifest_key"],
-                source_read_seconds=round(time.monotonic() - began, 3),
-                **held,
-                **bounds.asDict(),
-            )
+            out.update(land_events(ctx, rows, bounds.asDict(), policy, began)[0])
         with ctx.stage("apply_delta") as out:
-            out.update(apply_landed(ctx, keys["accepted_key"], change_log_ddl(contract), buckets))
+            out.update(apply_landed(ctx, ctx.keys["accepted_key"], change_log_ddl(contract), buckets))
         with ctx.stage("persist_checkpoint") as out:
             reached = end_lsn if bounds["reached_window_end"] else 0
             number = max(start or 0, highest or 0, reached)
             if held_from is not None:
                 number = max(start or 0, min(number, held_from - 1))
-            position = lsn_text(number) if number else None
-            ctx.save_checkpoint(
-                {
-                    "pipeline_id": ctx.pipeline_id,
-                    "contract_id": contract.contract_id,
-                    "contract_version": contract.version,
-                    "checksum": contract.checksum,
-                    "previous_checkpoint_run_id": previous.get("run_id"),
-                    "previous_checkpoint_updated_at": previous.get("updated_at"),
-                    "source_table": source_table,
-                    "source_publication_name": publication,
-                    "source_slot_name": slot,
-                    "output_plugin": "pgoutput",
-                    "target_table_curated": ctx.target_root,
-                    "delta_object_key": keys["accepted_key"],
-                    "validation_error_object_key": keys["error_key"],
-                    **held,
-                    "last_applied_lsn": position,
-                    "last_flushed_lsn": position,
-                    "extract_validate_land_wal_delta": ctx.results["extract_validate_land_wal_delta"],
-                    "ensure_source_logical_cdc_capture": ctx.results["ensure_source_logical_cdc_capture"],
-                    "apply_delta": ctx.results["apply_delta"],
-                    "last_completed_run_id": ctx.run_id,
-                }
+            save_position(
+                ctx,
+                previous,
+                number,
+                source_table=source_table,
+                source_publication_name=publication,
+                source_slot_name=slot,
             )
             out.update(status="success")
         with ctx.stage("ack_replication_slot") as out:
@@ -150,6 +103,98 @@ def ingest_change_log(
     return ctx.results
 
 
+def land_events(
+    ctx: RunContext,
+    rows: DataFrame,
+    bounds: dict[str, Any],
+    policy: str,
+    began: float,
+    given_up: Column | None = None,
+) -> tuple[dict[str, Any], DataFrame]:
+    """Validates staged events and lands them, held-back ones apart, then the manifest.
+
+    ``given_up`` marks events to be held back although they are valid. Returns what the
+    extract stage records, and the accepted events.
+    """
+    contract, keys = ctx.contract, ctx.keys
+    columns = ["lsn", "seq", "xid", "op", *[f"old_{k}" for k in contract.keys], *contract.columns]
+    checked = validate(
+        rows, contract, row_number=F.col("seq"), unique_keys=False, rules_when=F.col("op") != "D", op="op"
+    )
+    invalid = F.col(REJECTED)
+    marked = quarantine_transactions(checked, invalid)
+    if given_up is not None:
+        marked = marked.withColumn("_quarantined", F.col("_quarantined") | given_up)
+    marked = staged(marked, "quarantine")
+    counts = validation_counts(marked, "event").first()
+    held = quarantine_counts(marked, invalid).first().asDict()
+    clean = marked.filter(~F.col("_quarantined"))
+    land_quarantined(ctx, marked.filter(F.col("_quarantined") & ~invalid).select(*columns))
+    land(
+        ctx,
+        clean.select(*columns),
+        explode_errors(marked.filter(invalid)),
+        {
+            "source": counts["source_event_count"],
+            "accepted": counts["source_event_count"] - held["quarantined_event_count"],
+            "invalid": counts["invalid_event_count"],
+            "errors": counts["error_count"],
+        },
+        (bounds["window_start_lsn"], bounds["window_end_lsn"]),
+    )
+    validation_gate(
+        counts["invalid_event_count"],
+        policy,
+        error_object_key=keys["error_key"],
+        manifest_key=keys["manifest_key"],
+        delta_object_key=keys["accepted_key"],
+        **held,
+    )
+    told = {
+        "source_event_count": counts["source_event_count"],
+        "delta_object_key": keys["accepted_key"],
+        "error_object_key": keys["error_key"],
+        "quarantined_object_key": quarantine_key(ctx.strategy, ctx.namespace, ctx.name, ctx.run_id),
+        "manifest_key": keys["manifest_key"],
+        "source_read_seconds": round(time.monotonic() - began, 3),
+        **held,
+        **bounds,
+    }
+    return told, clean
+
+
+def save_position(ctx: RunContext, previous: dict[str, Any], number: int, **source: Any) -> tuple[str | None, str]:
+    """Stores the run's checkpoint, with the position up to which everything is applied.
+
+    Returns the position and the checkpoint's time.
+    """
+    extract = ctx.results["extract_validate_land_wal_delta"]
+    position = lsn_text(number) if number else None
+    stamp = ctx.save_checkpoint(
+        {
+            "pipeline_id": ctx.pipeline_id,
+            "contract_id": ctx.contract.contract_id,
+            "contract_version": ctx.contract.version,
+            "checksum": ctx.contract.checksum,
+            "previous_checkpoint_run_id": previous.get("run_id"),
+            "previous_checkpoint_updated_at": previous.get("updated_at"),
+            "output_plugin": "pgoutput",
+            "target_table_curated": ctx.target_root,
+            "delta_object_key": ctx.keys["accepted_key"],
+            "validation_error_object_key": ctx.keys["error_key"],
+            **{name: extract[name] for name in _HELD_COUNTS},
+            "last_applied_lsn": position,
+            "last_flushed_lsn": position,
+            "extract_validate_land_wal_delta": extract,
+            "ensure_source_logical_cdc_capture": ctx.results["ensure_source_logical_cdc_capture"],
+            "apply_delta": ctx.results["apply_delta"],
+            "last_completed_run_id": ctx.run_id,
+            **source,
+        }
+    )
+    return position, stamp
+
+
 def _whole_transactions(events: DataFrame, window: DataFrame, commit: str) -> tuple[DataFrame, int | None]:
     """Events of transactions that end inside the window, and the first position of any other."""
     ended = staged(window.filter(F.col(commit) & F.col("xid").isNotNull()).select("xid").distinct(), "ended")

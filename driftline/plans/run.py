@@ -198,14 +198,16 @@ class RunContext:
             **{name: int(counts.get(name) or 0) for name in COUNTS},
         )
 
-    def save_checkpoint(self, members: dict[str, Any]) -> None:
-        """Stores the run's checkpoint; nested stage results are kept as JSON objects."""
+    def save_checkpoint(self, members: dict[str, Any]) -> str:
+        """Stores the run's checkpoint and returns its time; nested stage results are kept as JSON objects."""
         fixed = {"status": "success", "strategy": self.strategy}
         stored = {name: {**members, **fixed}.get(name) for name in CHECKPOINT_MEMBERS[self.strategy]}
         text = json.dumps(stored, default=str)
+        now = utc_now()
         self.ledger.add_checkpoint(
-            pipeline_id=self.pipeline_id, run_id=self.run_id, checkpoint_json=text, updated_at=utc_now()
+            pipeline_id=self.pipeline_id, run_id=self.run_id, checkpoint_json=text, updated_at=now
         )
+        return now.strftime("%Y-%m-%dT%H:%M:%S.%f")
 
     def record_errors(self, stage_name: str, error_key: str | None) -> None:
         """Replaces the stored validation errors of a stage by those of its artifact.

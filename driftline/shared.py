@@ -46,8 +46,7 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         for name in _scope.paths:
-            path = spark._jvm.org.apache.hadoop.fs.Path(name)
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+            remove_path(spark, name)
         _scope.paths = outer
 
 
@@ -108,6 +107,18 @@ def replace_text(spark: SparkSession, path: str, text: str) -> None:
     out.close()
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Removes a file or a folder with all that is in it; nothing happens where there is neither."""
+    name = spark._jvm.org.apache.hadoop.fs.Path(path)
+    name.getFileSystem(spark._jsc.hadoopConfiguration()).delete(name, True)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """Content of one small text file."""
+    row = spark.read.text(path, wholetext=True).first()
+    return row["value"] if row else ""
+
+
 def file_exists(spark: SparkSession, path: str) -> bool:
     name = spark._jvm.org.apache.hadoop.fs.Path(path)
     return name.getFileSystem(spark._jsc.hadoopConfiguration()).exists(name)

@@ -140,7 +140,7 @@ def test_a_batch_run_again_does_nothing(spark, sf_dir, tmp_path):
         return drain(stream_deltas(ctx, source, f"{tmp_path}/checkpoint", buckets=4), 300)
 
     report = run()
-    assert report.reached_window_end and report.input_rows == 402
+    assert report.ended and report.reached_window_end is None and report.input_rows == 402
     pointer = read_pointer(spark, ctx.target_root)
     held = spark.read.schema(feed.schema).parquet(f"{tmp_path}/checkpoint/held/batch=0")
     assert sorted(r["seq"] for r in held.collect()) == [400, 401]
@@ -163,7 +163,7 @@ def test_drain_stops_on_time_and_silence(spark, tmp_path):
         query = source.writeStream.format("noop").trigger(processingTime="200 milliseconds").start()
         began = time.monotonic()
         report = drain(query, budget, idle)
-        assert not report.reached_window_end and report.input_rows == 0 and not query.isActive
+        assert not report.ended and report.input_rows == 0 and not query.isActive
         assert time.monotonic() - began < most
 
 
