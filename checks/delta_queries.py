@@ -376,6 +376,25 @@ def streamed_counts(spark: SparkSession, sf: str) -> DataFrame:
     return spark.range(1).select(*[F.lit(v).cast("bigint").alias(n) for n, v in totals.items()])
 
 
+def streamed_ledger(spark: SparkSession, sf: str) -> DataFrame:
+    """Counts of the stream's runs as the ledger has them, and the position the last one stored."""
+    ctx, _ = _stream(spark, sf)
+    runs = ctx.ledger.runs().filter("status = 'success'").select("run_id")
+    extracts = ctx.ledger.stages().filter("stage_name = 'extract_validate_land_wal_delta'").join(runs, "run_id")
+    names = ("source_event_count", "invalid_event_count", "quarantined_event_count", "quarantined_transaction_count")
+    sums = [F.sum(F.get_json_object("metrics_json", f"$.{n}").cast("bigint")).alias(n) for n in names]
+    stored = ctx.ledger.checkpoint(ctx.pipeline_id)["last_applied_lsn"]
+    position = parse_lsn(F.lit(stored)).alias("last_applied_lsn")
+    return extracts.agg(F.count("*").alias("runs"), *sums).select("*", position)
+
+
+def streamed_errors(spark: SparkSession, sf: str) -> DataFrame:
+    """Violations that the stream's batches stored for the monitoring views."""
+    ctx, _ = _stream(spark, sf)
+    stored = spark.read.parquet(f"{ctx.ledger.root}/validation_errors")
+    return stored.select("row_number", "field", "code", "strategy", "stage_name")
+
+
 def drained_stream(spark: SparkSession, sf: str) -> DataFrame:
     _, report = _stream(spark, sf)
     return spark.range(1).select(
@@ -696,6 +715,28 @@ QUERIES = {
               count(DISTINCT CASE WHEN q = 1 THEN xid END) AS quarantined_transaction_count FROM q""",
         ),
     ),
+    "stream_ledger": (
+        streamed_ledger,
+        with_fixtures(
+            "wal_events",
+            """WITH whole AS (SELECT *, xid IN (SELECT xid FROM wal_events WHERE tx_end) AS ended FROM wal_events),
+            marked AS (SELECT xid, CASE WHEN v < 2 AND op <> 'D' THEN 1 ELSE 0 END AS b FROM whole WHERE ended),
+            q AS (SELECT *, max(b) OVER (PARTITION BY xid) AS q FROM marked)
+            SELECT CAST(3 AS BIGINT) AS runs, count(*) AS source_event_count, CAST(sum(b) AS BIGINT) AS invalid_event_count,
+              CAST(sum(q) AS BIGINT) AS quarantined_event_count,
+              count(DISTINCT CASE WHEN q = 1 THEN xid END) AS quarantined_transaction_count,
+              (SELECT coalesce(min(lsn) FILTER (WHERE NOT ended) - 1, max(lsn)) FROM whole) AS last_applied_lsn FROM q""",
+        ),
+    ),
+    "stream_errors": (
+        streamed_errors,
+        with_fixtures(
+            "wal_events",
+            """SELECT seq AS row_number, 'v' AS field, 'range' AS code, 'logical_cdc' AS strategy,
+              'extract_validate_land_wal_delta' AS stage_name
+            FROM wal_events WHERE v < 2 AND op <> 'D' AND xid IN (SELECT xid FROM wal_events WHERE tx_end)""",
+        ),
+    ),
     "drain": (
         drained_stream,
         "SELECT true AS reached_window_end, count(*) AS input_rows FROM events",

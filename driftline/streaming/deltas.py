@@ -112,7 +112,7 @@ def _run_batch(
             "reached_window_end": True,
         }
         told, clean = land_events(run, rows, bounds, "quarantine", began, F.col(GIVEN_UP))
-        out.update(told, open_transaction_count=closed.open, given_up_transaction_count=closed.given_up)
+        out.update(told, held_piece_count=closed.pieces, given_up_transaction_count=closed.given_up)
     with run.stage("apply_delta") as out:
         began = time.monotonic()
         delta = staged(last_events(run.contract, clean, run.strategy), "stream-delta")
@@ -132,9 +132,9 @@ def _add_up(totals: dict[str, Any], run: RunContext) -> None:
     totals["last_run_id"] = run.run_id
     for stage in ("extract_validate_land_wal_delta", "apply_delta"):
         for name, value in run.results[stage].items():
-            if name.endswith("_count") and name != "open_transaction_count":
+            if name.endswith("_count") and name != "held_piece_count":
                 totals[name] = totals.get(name, 0) + (value or 0)
-    totals["open_transaction_count"] = run.results["extract_validate_land_wal_delta"]["open_transaction_count"]
+    totals["held_piece_count"] = run.results["extract_validate_land_wal_delta"]["held_piece_count"]
 
 
 @dataclass(frozen=True)

@@ -44,13 +44,14 @@ class Segment:
 
 @dataclass(frozen=True)
 class Closed:
-    """Events of the transactions a batch ends, the highest position it read, and the first
-    position of any transaction still open."""
+    """Events of the transactions a batch ends, the highest position it read, a position at or
+    before the first of any transaction still open, and in how many pieces (pairs of a
+    transaction and a segment) those are held."""
 
     events: DataFrame
     highest: int | None
     first_open: int | None
-    open: int
+    pieces: int
     given_up: int
 
 
