@@ -34,18 +34,18 @@ _STAGE = """CASE l_linenumber WHEN 1 THEN 'ensure_source_logical_cdc_capture'
 _TASK = """CASE l_orderkey % 3
     WHEN 0 THEN CASE l_linenumber WHEN 1 THEN 'fetch_contract' WHEN 2 THEN 'read_checkpoint' WHEN 3 THEN 'start_run'
         WHEN 4 THEN 'extract_validate_land' WHEN 5 THEN 'merge_curated' WHEN 6 THEN 'persist_checkpoint_task'
-        ELSE 'merge_curated_replay' END
+        ELSE CASE WHEN l_orderkey % 4 = 0 THEN 'merge_curated_replay' ELSE 'merge_curated' END END
     WHEN 1 THEN CASE l_linenumber WHEN 1 THEN 'fetch_contract' WHEN 2 THEN 'read_checkpoint' WHEN 3 THEN 'start_run'
         WHEN 4 THEN 'extract_validate_land_delta' WHEN 5 THEN 'apply_delta' WHEN 6 THEN 'persist_checkpoint_task'
-        ELSE 'apply_delta_replay' END
+        ELSE CASE WHEN l_orderkey % 4 = 0 THEN 'apply_delta_replay' ELSE 'apply_delta' END END
     ELSE CASE l_linenumber WHEN 1 THEN 'fetch_contract' WHEN 2 THEN 'read_checkpoint' WHEN 3 THEN 'ack_replication_slot'
         WHEN 4 THEN 'extract_validate_land_wal_delta' WHEN 5 THEN 'apply_delta' WHEN 6 THEN 'persist_checkpoint_task'
-        ELSE 'apply_delta_replay' END END"""
+        ELSE CASE WHEN l_orderkey % 4 = 0 THEN 'apply_delta_replay' ELSE 'apply_delta' END END END"""
 _RESULT = """CASE WHEN l_linenumber IN (1, 2) THEN '{}'
     WHEN l_linenumber = 4 AND l_orderkey % 5 = 0 THEN '{}'
     WHEN l_linenumber = 4 THEN '{"source_row_count":' || CAST(l_orderkey AS STRING) || ',"source_event_count":'
         || CAST(l_orderkey % 2 * l_orderkey AS STRING) || ',"error_object_key":"e/' || CAST(l_orderkey AS STRING) || '"}'
-    WHEN l_linenumber IN (5, 7) THEN '{"read_count":' || CAST(l_orderkey % 100 AS STRING)
+    WHEN l_linenumber IN (5, 7) THEN '{"read_count":' || CAST(l_orderkey % 100 + l_linenumber AS STRING)
         || ',"insert_count":' || CAST(l_orderkey % 7 AS STRING) || ',"update_count":"'
         || CAST(l_orderkey % 11 AS STRING) || '","delete_count":' || CAST(l_orderkey % 3 AS STRING) || '}'
     ELSE '{"status":"success"}' END"""
@@ -289,7 +289,13 @@ FIXTURES: dict[str, tuple[str, list[str], str | None, str | None]] = {
     ),
     "task_results": (
         "lineitem",
-        ["CAST(l_orderkey AS STRING) AS run_id", f"{_TASK} AS task_id", f"{_RESULT} AS payload"],
+        [
+            "CAST(l_orderkey AS STRING) AS run_id",
+            f"{_TASK} AS task_id",
+            f"{_RESULT} AS payload",
+            # The seventh result repeats the fifth's task, before it or after it.
+            "CASE WHEN l_linenumber = 7 AND l_orderkey % 2 = 0 THEN 0 ELSE l_linenumber END AS told_at",
+        ],
         None,
         None,
     ),

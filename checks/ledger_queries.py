@@ -75,7 +75,7 @@ def missing_stage_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 def run_outcome_rows(spark: SparkSession, sf: str) -> DataFrame:
     runs, results, stages = (frame(spark, sf, n) for n in ("closing_runs", "task_results", "closing_stages"))
-    return run_outcomes(runs, results, stages)
+    return run_outcomes(runs, results, stages, "told_at")
 
 
 def rate_rows(spark: SparkSession, sf: str) -> DataFrame:
@@ -258,16 +258,20 @@ gaps AS (SELECT r.run_id, string_agg(e.task, ', ' ORDER BY pos) AS missing
   FROM closing_runs r JOIN expected e USING (strategy, run_mode)
   WHERE NOT EXISTS (SELECT 1 FROM task_results t WHERE t.run_id = r.run_id AND t.task_id = e.task) GROUP BY r.run_id)"""
 _OUTCOMES = f"""{_EXPECTED},
-given AS (SELECT r.*, coalesce(g.missing, '') AS failed_tasks, r.run_mode = 'ingest' AS ing,
-  (SELECT max(payload) FROM task_results t WHERE t.run_id = r.run_id AND payload <> '{{}}' AND task_id =
-    CASE strategy WHEN 'hash_diff' THEN 'extract_validate_land' WHEN 'incremental_audit' THEN 'extract_validate_land_delta'
-      ELSE 'extract_validate_land_wal_delta' END) AS xr,
-  (SELECT max(metrics_json) FROM closing_stages s WHERE s.run_id = r.run_id) AS xs,
-  (SELECT max(payload) FROM task_results t WHERE t.run_id = r.run_id AND payload <> '{{}}' AND task_id =
-    CASE strategy WHEN 'hash_diff' THEN 'merge_curated' ELSE 'apply_delta' END
-    || CASE run_mode WHEN 'replay' THEN '_replay' ELSE '' END) AS ap,
-  EXISTS (SELECT 1 FROM task_results t WHERE t.run_id = r.run_id AND task_id = 'persist_checkpoint_task') AS checkpoint_persisted
-  FROM closing_runs r LEFT JOIN gaps g ON g.run_id = r.run_id)"""
+ranked AS (SELECT *, row_number() OVER (PARTITION BY run_id, task_id ORDER BY told_at DESC, payload DESC) AS nth FROM task_results),
+told AS (SELECT run_id, task_id, nullif(payload, '{{}}') AS payload FROM ranked WHERE nth = 1),
+named AS (SELECT r.*, r.run_mode = 'ingest' AS ing,
+  CASE strategy WHEN 'hash_diff' THEN 'extract_validate_land' WHEN 'incremental_audit' THEN 'extract_validate_land_delta'
+    ELSE 'extract_validate_land_wal_delta' END AS xt,
+  CASE strategy WHEN 'hash_diff' THEN 'merge_curated' ELSE 'apply_delta' END
+    || CASE run_mode WHEN 'replay' THEN '_replay' ELSE '' END AS apt FROM closing_runs r),
+given AS (SELECT n.*, coalesce(g.missing, '') AS failed_tasks, x.payload AS xr, s.metrics_json AS xs, a.payload AS ap,
+  c.payload IS NOT NULL AS checkpoint_persisted
+  FROM named n LEFT JOIN gaps g ON g.run_id = n.run_id
+  LEFT JOIN told x ON x.run_id = n.run_id AND x.task_id = xt
+  LEFT JOIN closing_stages s ON s.run_id = n.run_id AND s.stage_name = xt
+  LEFT JOIN told a ON a.run_id = n.run_id AND a.task_id = apt
+  LEFT JOIN told c ON c.run_id = n.run_id AND c.task_id = 'persist_checkpoint_task')"""
 
 
 def _num(column: str, key: str) -> str:

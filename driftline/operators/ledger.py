@@ -131,24 +131,31 @@ def _count(payload: Column, key: str) -> Column:
     return F.get_json_object(payload, f"$.{key}").try_cast("bigint")
 
 
-def run_outcomes(runs: DataFrame, results: DataFrame, stages: DataFrame, at: str | None = None) -> DataFrame:
+def run_outcomes(runs: DataFrame, results: DataFrame, stages: DataFrame, at: str) -> DataFrame:
     """Status, counts and error text each run is closed with.
 
     ``results`` holds one payload per finished task, ``stages`` the latest record
     of every stage. A missing task fails the run; its counts come from what did
-    finish. The extract payload is the task's result, else the stage record's. ``at``
-    names the time of a result: of several of one task the last counts.
+    finish. The extract payload is the result of the strategy's extract task, else that
+    stage's record. ``at`` names the time of a result: of several of one task the last
+    counts, and of those of one time the one whose text is greatest.
     """
     task = F.col("task_id")
     ingest = F.col("run_mode") == "ingest"
-    order = F.col("payload") if at is None else F.struct(at, "payload")
+    order = F.struct(at, "payload")
 
     def last(which: Column) -> Column:
         return F.max_by(F.col("payload"), F.when(which, order))
 
+    def of_strategy(prefix: str) -> Column:
+        chosen = F.lit(None).cast("string")
+        for strategy, name in EXTRACT_STAGES.items():
+            chosen = F.when(F.col("strategy") == strategy, F.col(f"{prefix}{name}")).otherwise(chosen)
+        return _truthy(chosen)
+
     by_run = results.filter(task.isin(_KNOWN_TASKS)).groupBy("run_id").agg(
         F.collect_set("task_id").alias("_done"),
-        last(task.isin(_EXTRACTS)).alias("_extract_result"),
+        *[last(task == name).alias(f"_result_{name}") for name in _EXTRACTS],
         last(task.isin(_APPLIES)).alias("_applied"),
         last(task.isin(_REPLAYS)).alias("_replayed"),
         last(task == "persist_checkpoint_task").alias("_checkpoint"),
@@ -156,7 +163,7 @@ def run_outcomes(runs: DataFrame, results: DataFrame, stages: DataFrame, at: str
     records = (
         stages.filter(F.col("stage_name").isin(_EXTRACTS))
         .groupBy("run_id")
-        .agg(F.max("metrics_json").alias("_record"))
+        .agg(*[F.max(F.when(F.col("stage_name") == n, F.col("metrics_json"))).alias(f"_record_{n}") for n in _EXTRACTS])
     )
     joined = (
         runs.select("run_id", "pipeline_id", "strategy", "run_mode")
@@ -165,11 +172,11 @@ def run_outcomes(runs: DataFrame, results: DataFrame, stages: DataFrame, at: str
         .withColumns(
             {
                 "missing": _missing(F.col("_done")),
-                "_extract_result": _truthy(F.col("_extract_result")),
+                "_extract_result": of_strategy("_result_"),
                 "_apply": _truthy(F.when(ingest, F.col("_applied")).otherwise(F.col("_replayed"))),
             }
         )
-        .withColumn("_extract", F.coalesce("_extract_result", _truthy(F.col("_record"))))
+        .withColumn("_extract", F.coalesce("_extract_result", of_strategy("_record_")))
     )
     failed = F.size("missing") > 0
     zero = F.lit(0).cast("bigint")
