@@ -47,9 +47,9 @@ def test_runs_without_finish_or_start(spark):
 
 def outcome(spark, strategy, mode, results, stages=()):
     runs = spark.createDataFrame([("r", "p", strategy, mode)], RUNS)
-    res = spark.createDataFrame([("r", t, json.dumps(p)) for t, p in results.items()], "run_id string, task_id string, payload string")
+    res = spark.createDataFrame([("r", t, json.dumps(p), 1) for t, p in results.items()], "run_id string, task_id string, payload string, at int")
     stg = spark.createDataFrame([("r", n, "failed", json.dumps(m)) for n, m in stages], "run_id string, stage_name string, status string, metrics_json string")
-    return run_outcomes(runs, res, stg).first().asDict()
+    return run_outcomes(runs, res, stg, "at").first().asDict()
 
 
 def test_failure_takes_the_extract_count_from_the_stage_record(spark):
