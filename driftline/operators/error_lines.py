@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from driftline.functions.payload import member_int, member_text, members, strip, text_or_null
-from driftline.shared import keyed_join, staged
+from driftline.shared import keyed_join, remove_path, staged, swap_folder
 
 # Defaults of error fields that are missing or empty.
 DEFAULTS = {"field": "$", "code": "validation_error", "message": "validation error"}
@@ -115,12 +117,20 @@ def replace_stage_errors(table: DataFrame, rows: DataFrame, stages: DataFrame) -
 def write_stage_errors(spark: SparkSession, root: str, rows: DataFrame, run_id: str, stage_name: str) -> None:
     """Replaces the stored errors of one stage of one run.
 
-    The pair is a directory of its own, so its overwrite touches nothing else and an
-    empty set leaves an empty directory.
+    The pair is a directory of its own, so nothing else is touched and an empty set
+    leaves an empty directory. The new set is written beside it, where no reader looks,
+    and moved into its place at the end: a write that fails leaves the old errors.
+    Between removing the old set and the move readers see neither; a process that dies
+    there leaves the new set complete in the folder beside.
     """
     drop = [c for c in ("run_id", "stage_name") if c in rows.columns]
-    path = f"{root}/run_id={run_id}/stage_name={stage_name}"
-    rows.drop(*drop).write.mode("overwrite").parquet(path)
+    fresh = f"{root}/run_id={run_id}/_fresh-{uuid.uuid4().hex}"
+    try:
+        rows.drop(*drop).write.parquet(fresh)
+    except Exception:
+        remove_path(spark, fresh)
+        raise
+    swap_folder(spark, fresh, f"{root}/run_id={run_id}/stage_name={stage_name}")
 
 
 def validation_errors(table: DataFrame) -> DataFrame:

@@ -113,6 +113,17 @@ def remove_path(spark: SparkSession, path: str) -> None:
     name.getFileSystem(spark._jsc.hadoopConfiguration()).delete(name, True)
 
 
+def swap_folder(spark: SparkSession, fresh: str, final: str) -> None:
+    """Puts a folder that is written whole in the place of another."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    path = hadoop.Path(final)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path.getParent())
+    files.delete(path, True)
+    if not files.rename(hadoop.Path(fresh), path):
+        raise OSError(f"{fresh} could not be moved to {final}")
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     """Content of one small text file."""
     row = spark.read.text(path, wholetext=True).first()

@@ -87,6 +87,17 @@ def test_an_empty_set_clears_the_stage(spark, tmp_path):
     assert [(r["stage_name"], r["v"]) for r in left.collect()] == [("t", 2)]
 
 
+def test_a_failed_write_keeps_the_old_errors(spark, tmp_path):
+    old = spark.createDataFrame([("r", "s", 1)], "run_id string, stage_name string, v int")
+    write_stage_errors(spark, str(tmp_path), old, "r", "s")
+    broken = old.withColumn("v", F.raise_error(F.lit("no")).cast("int"))
+    with pytest.raises(Exception, match="no"):
+        write_stage_errors(spark, str(tmp_path), broken, "r", "s")
+    assert [r["v"] for r in spark.read.parquet(str(tmp_path)).collect()] == [1]
+    write_stage_errors(spark, str(tmp_path), old.withColumn("v", F.lit(2)), "r", "s")
+    assert [r["v"] for r in spark.read.parquet(str(tmp_path)).collect()] == [2]
+
+
 @pytest.mark.parametrize("shuffled", [False, True])
 def test_hot_artifact(spark, monkeypatch, shuffled):
     import driftline.operators.error_lines as module
