@@ -322,7 +322,7 @@ def _close(ctx: RunContext, apply_stage: str) -> None:
         ctx.record_errors(extract_stage, error_key)
 
 
-# Members of the extract payload that a delta run repeats in its own metrics.
+# Members of the extract payload that a delta run repeats in its own metrics.
 _EVENT_METRICS = (
     "source_event_count",
     "invalid_event_count",
