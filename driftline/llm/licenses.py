@@ -1,9 +1,11 @@
 """License scan with a positional index of rare template words.
 
 The inverse document frequency of every template word is taken over the whole corpus. A
-template's key phrase must stand in full, so only the phrase's rarest word is looked up in
-a file. A hit says where the template would begin; there the words of file and template
-are compared place by place.
+template's key phrase must stand in full, so every word of it stands at its place in a
+match. Each file looks up the two that are rarest in it: of high IDF and seldom in the
+file itself. Their postings in the template shift the places found to where the template
+would begin, and only beginnings on which both agree are left. There the key phrase is
+verified, and the words of file and template are compared place by place.
 Everything is column expressions over one row per file; no file is shuffled.
 """
 
@@ -72,10 +74,9 @@ def word_frequencies(docs: DataFrame, templates: list[Template]) -> tuple[int, d
     return docs.count(), {w: counts.get(w, 0) for w in vocabulary}
 
 
-def rarest_place(template: Template, idf: dict[str, float]) -> int:
-    """Place of the template's word to look up: the rarest of its key phrase, which all must stand."""
-    key = range(template.key_at, template.key_at + len(template.key.split()))
-    return max(key, key=lambda i: (idf[template.words[i]], -i))
+def rarest_word(template: Template, idf: dict[str, float]) -> str:
+    """The word of the key phrase that fewest files hold; a file without it has no match."""
+    return max(template.key.split(), key=lambda w: idf[w])
 
 
 def scan_licenses(docs: DataFrame, templates: list[Template] | None = None) -> DataFrame:
@@ -90,39 +91,54 @@ def scan_licenses(docs: DataFrame, templates: list[Template] | None = None) -> D
     files, counts = word_frequencies(docs, templates)
     idf = {w: math.log((1 + files) / (1 + n)) for w, n in counts.items()}
     text = F.coalesce("text", F.lit(""))
-    looked_up = {t: rarest_place(t, idf) for t in templates}
-    rare = sorted({t.words[at] for t, at in looked_up.items()})
-    sign = f"(?i)(?<!{WORD[:-1]})(?:{'|'.join(rare)})(?!{WORD[:-1]})"
+    signs = sorted({rarest_word(t, idf) for t in templates})
+    sign = f"(?i)(?<!{WORD[:-1]})(?:{'|'.join(signs)})(?!{WORD[:-1]})"
     plain = docs.select("doc_id", text.alias("text"))
     counted = plain.select(
         "doc_id",
         F.size(words_of(F.col("text"))).alias("n_words"),
         F.when(F.col("text").rlike(sign), words_of(ascii_lower(F.col("text")))).alias("words"),
     )
-    # Index hits of a file: (place, word) of its rare words, however often they stand.
+    # Index of a file: (place, word) of its key words, however often they stand.
+    keys = sorted({w for t in templates for w in t.key.split()})
     placed = F.transform("words", lambda w, i: F.struct(i.alias("at"), w.alias("word")))
-    indexed = counted.withColumn("rare", F.filter(placed, lambda p: p["word"].isin(rare)))
-    hits = F.flatten(F.array(*[_matches(t, at) for t, at in looked_up.items()]))
-    found = F.when(F.size("rare") > 0, hits)
-    return indexed.select(
+    indexed = counted.withColumn("index", F.filter(placed, lambda p: p["word"].isin(keys)))
+    begins = {f"begins_{n}": _begins(t, idf) for n, t in enumerate(templates)}
+    found = indexed.withColumns(begins)
+    hits = F.flatten(F.array(*[_matches(t, F.col(name)) for t, name in zip(templates, begins)]))
+    return found.select(
         "doc_id",
         F.col("n_words").cast("long").alias("n_words"),
-        F.coalesce(found, F.array().cast(_HIT)).alias("hits"),
+        F.coalesce(F.when(F.size("index") > 0, hits), F.array().cast(_HIT)).alias("hits"),
+    )
+
+
+def _begins(template: Template, idf: dict[str, float]) -> Column:
+    """Where the template may begin, by the two words of its key phrase that are rarest in the file."""
+
+    def postings(n: int, word: str) -> Column:
+        at = F.filter("index", lambda p: p["word"] == word)
+        begins = F.transform(at, lambda p: p["at"] - (template.key_at + n))
+        rarity = F.lit(idf[word]) - F.log(F.size(begins) + 1.0)
+        return F.struct((-rarity).alias("common"), F.lit(n).alias("n"), begins.alias("begins"))
+
+    looked_up = [postings(n, word) for n, word in enumerate(template.key.split())]
+    rarest = F.slice(F.array_sort(F.array(*looked_up)), 1, 2)
+    agreed = F.aggregate(
+        F.slice(rarest, 2, 1), F.get(rarest, F.lit(0))["begins"], lambda left, x: F.array_intersect(left, x["begins"])
     )
+    return F.when(F.size("index") > 0, agreed)
 
 
-def _matches(template: Template, place: int) -> Column:
+def _matches(template: Template, begins: Column) -> Column:
     """The template's verified matches in the row, one for each place where it begins."""
-    words, key = template.words, template.key.split()
-    wanted = F.array(*map(F.lit, words))
-    hits = F.filter("rare", lambda p: p["word"] == words[place])
-    starts = F.transform(hits, lambda p: p["at"] - place)
+    key, wanted = template.key.split(), F.array(*map(F.lit, template.words))
 
     def cover(start: Column) -> Column:
         agree = F.filter(
             F.transform(wanted, lambda w, i: F.get("words", start + i).eqNullSafe(w)), lambda same: same
         )
-        return F.size(agree) / F.lit(float(len(words)))
+        return F.size(agree) / F.lit(float(len(template.words)))
 
     def keyed(start: Column) -> Column:
         whole = F.lit(True)
@@ -130,7 +146,7 @@ def _matches(template: Template, place: int) -> Column:
             whole = whole & F.get("words", start + template.key_at + n).eqNullSafe(F.lit(word))
         return whole
 
-    whole = F.filter(starts, keyed)
+    whole = F.filter(begins, keyed)
     struct = F.transform(
         whole,
         lambda s: F.struct(

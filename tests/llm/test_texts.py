@@ -296,6 +296,20 @@ def test_redaction_cuts_spans_and_nothing_else(spark):
     assert kept[3] == kept[4] == rows[2][1]
 
 
+def test_each_file_looks_up_its_own_rare_words(spark):
+    """Files that repeat one word of a key phrase thousands of times, repeated rows and ties of rarity."""
+    texts = ["license " * 3000 + "the mit license", "mit " * 3000 + "license", "mit license " * 500]
+    texts += ["general " * 700 + "public " * 900 + "license general public license"] * 2
+    found = sorted(licenses.license_report(docs_of(spark, texts)).collect(), key=lambda r: r.doc_id)
+    assert [(r.n_base, r.first_word, r.last_word, r.base_labels) for r in found] == [
+        (1, 3001, 3001, "mit"),
+        (1, 2999, 2999, "mit"),
+        (500, 0, 998, "mit"),
+        (1, 1601, 1601, "gpl"),
+        (1, 1601, 1601, "gpl"),
+    ]
+
+
 # Decontamination
 
 
@@ -362,6 +376,25 @@ def test_leaks_beside_long_foreign_words(spark):
     assert len(expected) == len(texts)
     found = decontamination.find_leaks(docs_of(spark, texts), spark.createDataFrame(items, "item_id long, text string")).collect()
     assert {(r.doc_id, r.item_id): r.similarity for r in found} == pytest.approx(expected)
+    # Foreign words turn no bits: what differs are the item's own shingles that are gone.
+    assert max(r.differing_bits for r in found) <= decontamination.RADIUS
+
+
+def test_blocks_find_every_fingerprint_within_the_radius(spark):
+    rand = random.Random(21)
+    prints = [rand.getrandbits(64) for _ in range(200)]
+    near = [p ^ sum(1 << b for b in rand.sample(range(64), rand.randrange(30))) for p in prints for _ in range(3)]
+    signed = lambda v: v - 2**64 if v >> 63 else v
+    items = spark.createDataFrame([(i, signed(p), i % 2) for i, p in enumerate(prints)], "item long, fp long, n_words int")
+    windows = spark.createDataFrame([(i, signed(p), i % 2) for i, p in enumerate(near)], "row_key long, fp long, n_words int")
+    found = [(r.row_key, r.item, r.differing_bits) for r in decontamination.near_items(windows, items, 23).collect()]
+    expected = [
+        (a, b, (p ^ q).bit_count())
+        for a, p in enumerate(near)
+        for b, q in enumerate(prints)
+        if a % 2 == b % 2 and (p ^ q).bit_count() <= 23
+    ]
+    assert sorted(found) == expected
 
 
 def test_leaks_of_nothing(spark):
