@@ -40,10 +40,12 @@ def connected_components(links: DataFrame) -> DataFrame:
 
     Links are folded batch by batch, then hung alternately on the smallest neighbour among
     all and among the smaller ones until nothing moves. Each round is written to the shared folder.
+    The links are written first: folded where a Python function makes them, each task would
+    hold two Python workers.
     """
+    found = staged(links.where("a != b"), "found")
     edges = staged(
-        links.where("a != b")
-        .mapInPandas(_forest, "a long, b long")
+        found.mapInPandas(_forest, "a long, b long")
         .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         .distinct(),
         "links",

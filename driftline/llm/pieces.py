@@ -30,7 +30,8 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 _FILTER_BITS = 22
 _MEMO_BITS = 20
-_CELLS = 400_000
+_CELLS = 100_000
+# Encoded words that a worker may keep from one call to the next, tasks included.
 _KEEP_WORDS = 400_000
 _UNKNOWN_COST = 10.0
 _WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
@@ -284,8 +285,6 @@ class PieceCoder:
         for text in texts:
             marked = ((" " if self.prefix and text else "") + text).replace(" ", MARK)
             split.append(_WORD.findall(marked) if self.cuts else [marked] if marked else [])
-        if len(self.words) > _KEEP_WORDS:
-            self.forget()
         new = {w for words in split for w in words}.difference(self.words)
         self._learn(sorted(new))
         if self.flat and len(self.flat) > 1:
@@ -299,6 +298,8 @@ class PieceCoder:
             upto = np.cumsum(sizes)
             total = int(upto[-1]) if len(words) else 0
             out.append(flat[np.repeat(begins - upto + sizes, sizes) + np.arange(total)])
+        if len(self.words) > _KEEP_WORDS:
+            self.forget()
         return out
 
     def decode(self, ids: np.ndarray) -> str:
@@ -317,7 +318,7 @@ def _coder(model: dict) -> PieceCoder:
     return home.coder
 
 
-_TEXTS = 2000
+_TEXTS = 1000
 
 
 def encode_documents(

@@ -39,7 +39,8 @@ _PRIOR = 0.3
 _MIN_DOCS = 3
 # Deviations between clean documents by which the leak lies above their mean.
 _LEAK_DEVIATIONS = 2
-_CACHE = 400_000
+# Words whose sums a task keeps at once.
+_CACHE = 50_000
 
 _SENTENCE = re.compile(r"[^.!?\n]+")
 _WORD = re.compile(r"\w+")

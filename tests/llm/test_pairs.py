@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from driftline.llm import embeddings, simhash
+from driftline.llm import components, embeddings, simhash
 from driftline.llm.components import connected_components
 
 
@@ -34,6 +34,20 @@ def test_components_of_a_long_chain_and_a_star(spark):
     assert found == smallest_reachable({x for pair in links for x in pair}, links)
 
 
+def test_links_made_in_python_are_folded_in_a_stage_of_their_own(spark, monkeypatch):
+    plans, write = [], components.staged
+
+    def staged(df, label):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, label)
+
+    monkeypatch.setattr(components, "staged", staged)
+    made = spark.createDataFrame([(1, 2), (2, 3), (4, 4)], "a long, b long").mapInPandas(lambda rows: rows, "a long, b long")
+    assert dict(connected_components(made).collect()) == {1: 1, 2: 1, 3: 1}
+    # A stage with two of them holds two Python workers for each of its tasks.
+    assert max(plan.count("MapInPandas") for plan in plans) == 1
+
+
 def test_components_without_links(spark):
     assert connected_components(spark.createDataFrame([], "a long, b long")).collect() == []
 

@@ -209,6 +209,15 @@ def test_pieces_equal_the_library_and_come_back(spark, sf_dir):
     assert pieces.encode_documents(empty_docs(spark)).collect() == []
 
 
+def test_piece_coder_keeps_no_more_words_than_its_limit_after_a_call(spark, monkeypatch):
+    monkeypatch.setattr(pieces, "_KEEP_WORDS", 1000)
+    coder = pieces.PieceCoder(pieces.read_model(spark))
+    text = " ".join(f"{n:x}" for n in range(3000))
+    assert coder.decode(coder.encode([text])[0]) == text
+    assert len(coder.words) <= 1000
+    assert coder.decode(coder.encode(["ffff a"])[0]) == "ffff a"
+
+
 def test_unigram_path_is_the_best_of_all():
     rand = random.Random(6)
     names = ["<unk>", *"▁abc", "ab", "bc", "abc", "▁a", "▁ab", "ca", "cab"]
