@@ -30,6 +30,8 @@ LENGTH = 100
 _GRAM = 32
 _BYTES_PER_RANGE = 32 << 20
 _CHUNK = 3 << 20
+# The table of powers grows by so many places at once.
+_POWERS = 1 << 20
 # A text beyond this is cut into overlapping pieces; anchor places fit the low 24 bits.
 _PIECE = 8 << 20
 _PLACE_BITS = np.uint64(24)
@@ -40,6 +42,25 @@ _TABLE = np.random.Generator(np.random.PCG64(42)).integers(0, 1 << 64, 256, dtyp
 _EMPTY = hashlib.sha256(b"").hexdigest()
 
 
+def _order(keys: np.ndarray, owners: np.ndarray) -> np.ndarray:
+    """Places of the pairs by key, then owner, then place; owners are compared only where keys are equal."""
+    order = np.argsort(keys)
+    same = np.concatenate([[False], keys[order[1:]] == keys[order[:-1]], [False]])
+    tied = np.flatnonzero(same[1:] | same[:-1])
+    among = order[tied]
+    order[tied] = among[np.lexsort((among, owners[among], keys[among]))]
+    return order
+
+
+def _starts(*columns: np.ndarray) -> np.ndarray:
+    """Where, in sorted columns, a row differs from the one before."""
+    new = np.ones(len(columns[0]), dtype=bool)
+    new[1:] = False
+    for column in columns:
+        new[1:] |= column[1:] != column[:-1]
+    return np.flatnonzero(new)
+
+
 class Levels:
     """Sorted runs whose sizes fall geometrically; a run that is not smaller merges into the one before."""
 
@@ -50,7 +71,7 @@ class Levels:
         self.runs.append(run)
         while len(self.runs) > 1 and len(self.runs[-1]) * 2 > len(self.runs[-2]):
             last = self.runs.pop()
-            self.runs[-1] = np.unique(np.concatenate([self.runs[-1], last]))
+            self.runs[-1] = self.merged([self.runs[-1], last])
 
     def holds(self, keys: np.ndarray) -> np.ndarray:
         """Which sorted ``keys`` any level has."""
@@ -61,7 +82,23 @@ class Levels:
         return found
 
     def all(self) -> np.ndarray:
-        return np.unique(np.concatenate(self.runs)) if self.runs else np.zeros(0)
+        return self.merged(self.runs) if self.runs else np.zeros(0)
+
+    @staticmethod
+    def merged(runs: list[np.ndarray]) -> np.ndarray:
+        return np.unique(np.concatenate(runs))
+
+
+class PairLevels(Levels):
+    """Levels of (key, text) pairs, by key and then text."""
+
+    @staticmethod
+    def merged(runs: list[np.ndarray]) -> np.ndarray:
+        # Sorted columns of plain numbers; numpy compares pairs one by one.
+        pairs = np.concatenate(runs)
+        order = _order(pairs["key"], pairs["text"])
+        keys, texts = pairs["key"][order], pairs["text"][order]
+        return _pairs(keys, texts)[_starts(keys, texts)]
 
 
 def _powers(base: int, count: int) -> np.ndarray:
@@ -78,13 +115,23 @@ class Hasher:
 
     def sums(self, data: np.ndarray) -> np.ndarray:
         if len(self.up) < len(data):
-            self.up, self.down = _powers(_BASE, len(data)), _powers(_INVERSE, len(data))
+            size = -(-len(data) // _POWERS) * _POWERS
+            self.up, self.down = _powers(_BASE, size), _powers(_INVERSE, size)
         out = np.zeros(len(data) + 1, dtype=np.uint64)
-        np.cumsum(_TABLE[data] * self.up[: len(data)], out=out[1:])
+        np.cumsum(_TABLE.take(data) * self.up[: len(data)], out=out[1:])
         return out
 
     def at(self, sums: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
-        mixed = (sums[starts + length] - sums[starts]) * self.down[starts]
+        return self._mix((sums[starts + length] - sums[starts]) * self.down[starts])
+
+    def everywhere(self, sums: np.ndarray, length: int) -> np.ndarray:
+        """``at`` of all starts."""
+        each = sums[length:] - sums[:-length]
+        each *= self.down[: len(each)]
+        return self._mix(each)
+
+    @staticmethod
+    def _mix(mixed: np.ndarray) -> np.ndarray:
         mixed ^= mixed >> np.uint64(31)
         mixed *= np.uint64(0xBF58476D1CE4E5B9)
         return mixed ^ (mixed >> np.uint64(29))
@@ -102,7 +149,7 @@ def _anchors(hasher: Hasher, texts: list[bytes]):
     none = np.zeros(0, np.int64)
     if len(data) < LENGTH:
         return sums, none, none.astype(np.uint64), none, none
-    hashes = hasher.at(sums, np.arange(len(data) - _GRAM + 1), _GRAM)
+    hashes = hasher.everywhere(sums, _GRAM)
     least = (hashes >> _PLACE_BITS << _PLACE_BITS) | np.arange(len(hashes), dtype=np.uint64)
     reach = 1
     span = LENGTH - _GRAM + 1
@@ -164,6 +211,12 @@ def _utf8(text: str | None) -> bytes:
 _PAIR = np.dtype([("key", "<u8"), ("text", "<i8")])
 
 
+def _pairs(keys: np.ndarray, texts: np.ndarray) -> np.ndarray:
+    out = np.empty(len(keys), dtype=_PAIR)
+    out["key"], out["text"] = keys, texts
+    return out
+
+
 def repeated_anchors(docs: DataFrame, parts: int) -> DataFrame:
     """(text_hash, anchors): of each text the anchors that another text, or another place in it, has too."""
 
@@ -174,45 +227,50 @@ def repeated_anchors(docs: DataFrame, parts: int) -> DataFrame:
             before = Levels()
             for hashes, offsets, pieces in _chunks(texts):
                 _, owner, keys, _, _ = _anchors(hasher, pieces)
-                pairs = np.empty(len(keys), dtype=_PAIR)
-                pairs["key"], pairs["text"] = keys, np.array(hashes, dtype=np.int64)[owner]
-                recurring = pairs[_in_earlier_pieces(before, offsets, pieces, owner, keys)]
-                pairs = np.sort(pairs, order=["key", "text"])
-                same = (pairs["key"][1:] == pairs["key"][:-1]) & (pairs["text"][1:] == pairs["text"][:-1])
-                twice = np.unique(np.concatenate([pairs[1:][same], recurring]))
-                pairs = pairs[np.concatenate([[True], ~same])] if len(pairs) else pairs
-                bucket = ((pairs["key"] >> np.uint64(20)) % np.uint64(parts)).astype(np.int64)
+                texts_at = np.array(hashes, dtype=np.int64)[owner]
+                recurring = _in_earlier_pieces(before, offsets, pieces, owner, keys)
+                order = _order(keys, texts_at)
+                keys, texts_at, recurring = keys[order], texts_at[order], recurring[order]
+                new = _starts(keys, texts_at)
+                again = np.diff(np.append(new, len(keys))) > 1
+                again |= np.logical_or.reduceat(recurring, new) if len(new) else again
+                keys, texts_at = keys[new], texts_at[new]
+                # Few bits: numpy then sorts by counting.
+                bucket = ((keys >> np.uint64(20)) % np.uint64(parts)).astype(np.min_scalar_type(parts))
                 order = np.argsort(bucket, kind="stable")
-                pairs, bucket = pairs[order], bucket[order]
-                cuts = np.flatnonzero(np.diff(bucket)) + 1
+                keys, texts_at, again, bucket = keys[order], texts_at[order], again[order], bucket[order]
+                cuts = _starts(bucket)
                 # The texts of a run are numbered, so that each hash travels once.
                 out = []
-                for b, run in zip(bucket[np.concatenate([[0], cuts])] if len(bucket) else [], np.split(pairs, cuts), strict=False):
-                    texts_of, at = np.unique(run["text"], return_inverse=True)
-                    again = np.isin(run, twice)
-                    out.append((int(b), run["key"].tobytes(), (at * 2 + again).astype(np.int32).tobytes(), texts_of.tobytes()))
+                for a, b in zip(cuts.tolist(), np.append(cuts[1:], len(keys)).tolist(), strict=False):
+                    texts_of, at = np.unique(texts_at[a:b], return_inverse=True)
+                    places = (at * 2 + again[a:b]).astype(np.int32)
+                    out.append((int(bucket[a]), keys[a:b].tobytes(), places.tobytes(), texts_of.tobytes()))
                 yield pd.DataFrame(out, columns=["bucket", "keys", "places", "texts"])
 
     def meet(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        levels, doubled = Levels(), []
+        levels, doubled = PairLevels(), []
         for rows in batches:
             for keys, places, texts in zip(rows["keys"], rows["places"], rows["texts"], strict=True):
                 place = np.frombuffer(places, np.int32)
-                run = np.empty(len(place), dtype=_PAIR)
-                run["key"], run["text"] = np.frombuffer(keys, np.uint64), np.frombuffer(texts, np.int64)[place >> 1]
-                doubled.append(run[(place & 1) == 1])
-                levels.add(np.sort(run, order=["key", "text"]))
+                # Runs come sorted by key and text.
+                run = _pairs(np.frombuffer(keys, np.uint64), np.frombuffer(texts, np.int64)[place >> 1])
+                doubled.append(run["key"][(place & 1) == 1])
+                levels.add(run)
         pairs = levels.all()
         if not len(pairs):
             return
-        alike = np.concatenate([[False], pairs["key"][1:] == pairs["key"][:-1], [False]])
-        hot = alike[1:] | alike[:-1] | np.isin(pairs["key"], np.concatenate(doubled)["key"])
-        pairs = np.sort(pairs[hot], order=["text", "key"])
-        cuts = np.flatnonzero(np.diff(pairs["text"])) + 1
-        runs = [r for r in np.split(pairs, cuts) if len(r)]
-        yield pd.DataFrame(
-            {"text_hash": [int(r["text"][0]) for r in runs], "anchors": [r["key"].tobytes() for r in runs]}
-        ).astype({"text_hash": "int64"})
+        keys, texts = pairs["key"], pairs["text"]
+        alike = np.concatenate([[False], keys[1:] == keys[:-1], [False]])
+        hot = alike[1:] | alike[:-1] | np.isin(keys, np.concatenate(doubled))
+        keys, texts = keys[hot], texts[hot]
+        # By text; of one text the keys stay in order.
+        order = np.argsort(texts, kind="stable")
+        texts, raw = texts[order], keys[order].tobytes()
+        new = _starts(texts)
+        ends = np.append(new[1:], len(texts)) * 8
+        anchors = [raw[a:b] for a, b in zip((new * 8).tolist(), ends.tolist(), strict=False)]
+        yield pd.DataFrame({"text_hash": texts[new], "anchors": anchors})
 
     dealt = docs.select("text_hash", "text").mapInPandas(
         sample, "bucket long, keys binary, places binary, texts binary"
@@ -252,7 +310,7 @@ def _strings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             upto = np.cumsum(counts)
             starts = np.repeat(first - upto + counts, counts) + np.arange(upto[-1] if len(upto) else 0)
             hashes, whose = hasher.at(sums, starts, LENGTH), np.repeat(owner, counts)
-            order = np.lexsort((starts, hashes, whose))
+            order = _order(hashes, whose)
             later = (hashes[order][1:] == hashes[order][:-1]) & (whose[order][1:] == whose[order][:-1])
             again = np.zeros(len(starts), dtype=bool)
             again[order[1:][later]] = True
@@ -262,8 +320,11 @@ def _strings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             out = []
             for n, key, a, b in zip(owner[fresh].tolist(), keys[fresh].view(np.int64).tolist(), first[fresh].tolist(), last[fresh].tolist(), strict=True):
                 out.append((key, owners[n][0], owners[n][1], offsets[n] + a - int(begins[n]), data[a : b + LENGTH], None))
-            for n in np.unique(whose[again]).tolist():
-                spans = _runs(starts[again & (whose == n)] - begins[n] + offsets[n])
+            repeats = np.flatnonzero(again)
+            cuts = _starts(whose[repeats])
+            for a, b in zip(cuts.tolist(), np.append(cuts[1:], len(repeats)).tolist(), strict=False):
+                n = int(whose[repeats[a]])
+                spans = _runs(starts[repeats[a:b]] - begins[n] + offsets[n])
                 out.append((owners[n][1], owners[n][0], owners[n][1], 0, None, spans.tobytes()))
             yield pd.DataFrame(out, columns=["anchor", "place", "text_hash", "start", "bytes", "local"])
 
@@ -293,9 +354,13 @@ def _earlier(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         inside = np.arange(upto[-1]) - np.repeat(upto - counts, counts)
         sums = hasher.sums(np.frombuffer(b"".join(pieces), np.uint8))
         hashes = hasher.at(sums, np.repeat(np.cumsum(sizes) - sizes, counts) + inside, LENGTH)
-        run, first, back = np.unique(hashes, return_index=True, return_inverse=True)
-        known = levels.holds(run) if levels.runs else np.zeros(len(run), dtype=bool)
-        repeat = known[back] | (first[back] != np.arange(len(hashes)))
+        order = np.argsort(hashes)
+        new = _starts(hashes[order])
+        run, first = hashes[order[new]], np.minimum.reduceat(order, new)
+        known = levels.holds(run)
+        # Only the first of equals that no level has is no repeat.
+        repeat = np.ones(len(hashes), dtype=bool)
+        repeat[first[~known]] = False
         levels.add(run[~known]) if (~known).any() else None
         begins = rows["start"].to_numpy(np.int64)
         # Runs end with their string's row; strings of one row follow each other.

@@ -3,11 +3,14 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 import sentencepiece
+import zstandard
 
 from driftline.llm import decontamination, language, licenses, pieces, secret_scan, suffix_dedup, toxicity, url_filter
 from driftline.llm import queries
@@ -149,6 +152,37 @@ def test_suffix_dedup_across_pieces_of_one_text(spark):
         assert bytes(row.kept) == text[: -len(passage) - 1].encode() + b"."
 
 
+def test_levels_of_pairs_merge_without_comparing_pairs():
+    rand = np.random.default_rng(3)
+    pairs = np.zeros(300_000, dtype=suffix_dedup._PAIR)
+    # Half of the keys stand often, with few texts.
+    pairs["key"] = np.where(rand.random(len(pairs)) < 0.5, rand.integers(0, 50, len(pairs)), rand.integers(0, 1 << 62, len(pairs)))
+    pairs["text"] = rand.integers(-40, 40, len(pairs))
+    began = time.process_time()
+    plain = np.unique(pairs)
+    slow = time.process_time() - began
+    began = time.process_time()
+    levels = suffix_dedup.PairLevels()
+    levels.runs = np.split(pairs, 4)
+    found = levels.all()
+    assert time.process_time() - began < slow / 2
+    assert (found == plain).all()
+
+
+def test_suffix_dedup_of_many_texts_that_repeat_themselves_in_one_chunk():
+    texts = [bytes(np.random.default_rng(n).integers(97, 123, 150, dtype=np.uint8)) * 2 for n in range(300)]
+    hasher = suffix_dedup.Hasher()
+    rows = []
+    for n, text in enumerate(texts):
+        _, _, keys, _, _ = suffix_dedup._anchors(hasher, [text])
+        rows.append((n, n, zstandard.compress(text), [keys.tobytes()]))
+    frame = pd.DataFrame(rows, columns=["place", "text_hash", "squeezed", "anchors"])
+    found = pd.concat(suffix_dedup._strings(iter([frame])))
+    local = found[found["local"].notna()]
+    assert local["text_hash"].tolist() == list(range(300))
+    assert {row for row in map(lambda spans: tuple(np.frombuffer(spans, np.int64)), local["local"])} == {(150, 300)}
+
+
 def test_suffix_dedup_of_null_ids_repeated_rows_and_nothing(spark):
     text = "".join(random.Random(1).choices("abcdef", k=300))
     rows = spark.createDataFrame([(None, text), (7, text), (7, text)], "doc_id long, text string")
