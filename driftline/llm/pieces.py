@@ -30,7 +30,7 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 _FILTER_BITS = 22
 _MEMO_BITS = 20
-_CELLS = 100_000
+_CELLS = 400_000
 # Encoded words that a worker may keep from one call to the next, tasks included.
 _KEEP_WORDS = 400_000
 _UNKNOWN_COST = 10.0
@@ -318,7 +318,7 @@ def _coder(model: dict) -> PieceCoder:
     return home.coder
 
 
-_TEXTS = 1000
+_TEXTS = 2000
 
 
 def encode_documents(
