@@ -35,6 +35,8 @@ _CELLS = 400_000
 _KEEP_WORDS = 400_000
 _UNKNOWN_COST = 10.0
 _WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
+# The same words where blanks stand for marks.
+_SPACED_WORD = re.compile(_WORD.pattern.replace(MARK, " "))
 
 # Kinds of piece in a model file: fixed values of its format.
 _NORMAL, _UNK, _CONTROL, _USER, _UNUSED, _BYTE = 1, 2, 3, 4, 5, 6
@@ -109,6 +111,18 @@ def parse_model(raw: bytes) -> dict:
     }
 
 
+class _Numbers(dict):
+    """Words numbered as they first come; ``new`` lists those that are not encoded yet."""
+
+    def __init__(self):
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self.new.append(word)
+        self[word] = number = len(self)
+        return number
+
+
 class PieceCoder:
     """Encodes and decodes with one model; keeps what it learns about words and pairs."""
 
@@ -148,8 +162,8 @@ class PieceCoder:
 
     def forget(self) -> None:
         """Empties the store of encoded words."""
-        self.words: dict[str, int] = {}
-        self.flat, self.ends = [], [0]
+        self.words = _Numbers()
+        self.flat, self.ends = np.zeros(0, np.int32), np.zeros(1, np.int64)
 
     @staticmethod
     def _slot(keys: np.ndarray, bits: int) -> np.ndarray:
@@ -244,26 +258,30 @@ class PieceCoder:
         by_word = np.argsort(owners, kind="stable")
         return np.split(ids[by_word], np.cumsum(np.bincount(owners, minlength=count))[:-1])
 
-    def _learn(self, words: list[str]) -> None:
-        by_size: dict[int, list[str]] = {}
-        for word in words:
+    def _learn(self) -> None:
+        """Encodes the new words and appends their ids to the store, in the order of their numbers."""
+        words = [w.replace(" ", MARK) for w in self.words.new]
+        found: list[np.ndarray] = [self.flat] * len(words)
+        by_size: dict[int, list[int]] = {}
+        for n, word in enumerate(words):
             if self.kind == _BPE and (not self.regular or word.startswith(MARK * 2)):
-                self._store(word, np.array(self._merge(word)))
+                found[n] = self._known(word, np.array(self._merge(word)))
             else:
-                by_size.setdefault(len(word), []).append(word)
+                by_size.setdefault(len(word), []).append(n)
         for size, same in by_size.items():
             step = max(1, _CELLS // size)
             for at in range(0, len(same), step):
                 part = same[at : at + step]
-                for word, ids in zip(part, self._advance(part), strict=True):
-                    self._store(word, ids)
+                for n, ids in zip(part, self._advance([words[n] for n in part]), strict=True):
+                    found[n] = self._known(words[n], ids)
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum([len(ids) for ids in found])])
+        self.flat = np.concatenate([self.flat, *found])
+        self.words.new = []
 
-    def _store(self, word: str, ids: np.ndarray) -> None:
+    def _known(self, word: str, ids: np.ndarray) -> np.ndarray:
         if (ids < 0).any():
             ids = self._without_unknown(word, ids.tolist())
-        self.words[word] = len(self.ends) - 1
-        self.flat.append(np.asarray(ids, dtype=np.int32))
-        self.ends.append(self.ends[-1] + len(ids))
+        return np.asarray(ids, dtype=np.int32)
 
     def _without_unknown(self, word: str, ids: list[int]) -> list[int]:
         out, at = [], 0
@@ -281,23 +299,21 @@ class PieceCoder:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Piece ids of each text; none for an empty text."""
-        split = []
+        number, numbered = self.words.__getitem__, []
         for text in texts:
-            marked = ((" " if self.prefix and text else "") + text).replace(" ", MARK)
-            split.append(_WORD.findall(marked) if self.cuts else [marked] if marked else [])
-        new = {w for words in split for w in words}.difference(self.words)
-        self._learn(sorted(new))
-        if self.flat and len(self.flat) > 1:
-            self.flat = [np.concatenate(self.flat)]
-        flat = self.flat[0] if self.flat else np.zeros(0, np.int32)
-        ends, get = np.array(self.ends), self.words.__getitem__
+            # Blanks stand for marks until a word is encoded: most words then take a byte a character.
+            spaced = ((" " if self.prefix and text else "") + text).replace(MARK, " ")
+            words = _SPACED_WORD.findall(spaced) if self.cuts else [spaced] if spaced else []
+            # Only numbers are kept of a text, its words once for all texts.
+            numbered.append(np.fromiter(map(number, words), dtype=np.int32, count=len(words)))
+        if self.words.new:
+            self._learn()
         out = []
-        for words in split:
-            at = np.fromiter(map(get, words), dtype=np.int64, count=len(words))
-            begins, sizes = ends[at], ends[at + 1] - ends[at]
+        for at in numbered:
+            begins, sizes = self.ends[at], self.ends[at + 1] - self.ends[at]
             upto = np.cumsum(sizes)
-            total = int(upto[-1]) if len(words) else 0
-            out.append(flat[np.repeat(begins - upto + sizes, sizes) + np.arange(total)])
+            total = int(upto[-1]) if len(at) else 0
+            out.append(self.flat[np.repeat(begins - upto + sizes, sizes) + np.arange(total)])
         if len(self.words) > _KEEP_WORDS:
             self.forget()
         return out

@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import time
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -252,6 +253,35 @@ def test_piece_coder_keeps_no_more_words_than_its_limit_after_a_call(spark, monk
     assert coder.decode(coder.encode(["ffff a"])[0]) == "ffff a"
 
 
+def test_piece_coder_holds_numbers_for_the_words_of_a_batch_and_each_word_once(spark):
+    coder = pieces.PieceCoder(pieces.read_model(spark))
+    names = [f"w{n:x}" for n in range(5000)]
+    coder.encode([" ".join(names)])
+    texts = [" ".join(names[n:] + names[:n]) for n in range(40)]
+    tracemalloc.start()
+    try:
+        ids = coder.encode(texts)
+        held, most = (size / (40 * 5000) for size in tracemalloc.get_traced_memory())
+    finally:
+        tracemalloc.stop()
+    # Bytes a word of the batch: four for its number, beside its ids.
+    pieces_a_word = sum(map(len, ids)) / (40 * 5000)
+    assert held < 4 * pieces_a_word + 2
+    assert most < 4 * pieces_a_word + 30
+    assert [coder.decode(i) for i in ids] == texts
+
+
+def test_words_keep_their_ids_over_calls_marks_and_blanks(spark):
+    model = pieces.read_model(spark)
+    texts = ["a\u2581b", "a b", "  a  b ", " ", "", "\u2581", "b a", "caf\u00e9 \u4e2d\u6587 a", "a\n b"]
+    kept = pieces.PieceCoder(model)
+    one_by_one = [kept.encode([t])[0].tolist() for t in texts]
+    assert [i.tolist() for i in pieces.PieceCoder(model).encode(texts)] == one_by_one
+    assert [i.tolist() for i in kept.encode(texts[::-1])] == one_by_one[::-1]
+    assert one_by_one[0] == one_by_one[1] and one_by_one[3] == one_by_one[5]
+    assert [kept.decode(np.array(i, dtype=np.int64)) for i in one_by_one] == [t.replace("\u2581", " ") for t in texts]
+
+
 def test_unigram_path_is_the_best_of_all():
     rand = random.Random(6)
     names = ["<unk>", *"▁abc", "ab", "bc", "abc", "▁a", "▁ab", "ca", "cab"]
